@@ -80,17 +80,34 @@ def item_features(items: DataFrame) -> DataFrame:
     return coded.select("cOrderSn", "color", "productType", "gender", "train")
 
 
-def user_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items per (user, colour, type, label, train flag) after joining items to orders.
+KIND = ["color", "productType", "gender", "train"]
 
-    Equal items of an order are counted before the join, so an order with very many items
-    crosses the network as one row per kind of item.
-    """
-    kinds = ["color", "productType", "gender", "train"]
-    per_order = item_features(items).groupBy("cOrderSn", *kinds).agg(F.count(F.lit(1)).alias("n"))
+
+def _items_per_order(coded: DataFrame, kind: Sequence[str]) -> DataFrame:
+    """Equal items of an order counted before any join, so that an order with very many items
+    crosses the network as one row per kind of item."""
+    return coded.groupBy("cOrderSn", *kind).agg(F.count(F.lit(1)).alias("n"))
+
+
+def user_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items per (user, colour, type, label) after joining items to orders."""
+    kind = [c for c in KIND if c != "train"]
     buyers = orders.select(F.col("memberId").alias("userId"), "orderSn")
+    per_order = _items_per_order(item_features(items), kind)
     joined = per_order.join(buyers, F.col("cOrderSn") == F.col("orderSn"))
-    return joined.groupBy("userId", *kinds).agg(F.sum("n").alias("n"))
+    return joined.groupBy("userId", *kind).agg(F.sum("n").alias("n"))
+
+
+def item_kinds(coded: DataFrame, orders: DataFrame) -> DataFrame:
+    """Joined items per (colour, type, label, train flag) (J7), in one sorted partition.
+
+    At most (colours + 1) x (types + 1) x 4 rows, as the dictionaries are fixed.
+    """
+    owners = orders.groupBy("orderSn").agg(F.count(F.lit(1)).alias("owners"))
+    per_order = _items_per_order(coded, KIND)
+    joined = per_order.join(owners, F.col("cOrderSn") == F.col("orderSn"))
+    counted = joined.groupBy(*KIND).agg(F.sum(F.col("n") * F.col("owners")).alias("n"))
+    return counted.repartition(1).sortWithinPartitions(*KIND)
 
 
 def index_labels(rows: DataFrame, label: str) -> StringIndexerModel:
@@ -137,8 +154,7 @@ def tree_pipeline(
 def fit_gender_tree(kinds: DataFrame) -> PipelineModel:
     """Tree on the kinds of items, each weighted by its number of training items.
 
-    There are at most (colours + 1) x (types + 1) x 2 kinds, far fewer rows than items, and
-    weights give the same split gains as the repeated rows.
+    Weights give the same split gains as the repeated rows would.
     """
     train = kinds.where(F.col("train")).withColumn("weight", F.col("n").cast("double"))
     pipeline = tree_pipeline(
@@ -151,13 +167,6 @@ def fit_gender_tree(kinds: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 
 
-def item_kinds(per_user: DataFrame) -> DataFrame:
-    """Number of items of each kind over all users, in one sorted partition."""
-    kinds = ["color", "productType", "gender", "train"]
-    counted = per_user.groupBy(*kinds).agg(F.sum("n").alias("n"))
-    return counted.repartition(1).sortWithinPartitions(*kinds)
-
-
 def accuracy(predicted: DataFrame, weight: str | None = None) -> dict[str, float]:
     """Share of rows whose `predict` equals `label`, and the error rate."""
     evaluator = MulticlassClassificationEvaluator(
@@ -175,14 +184,20 @@ def area_under_roc(predicted: DataFrame, weight: str | None = None) -> float:
     return (evaluator.setWeightCol(weight) if weight else evaluator).evaluate(predicted)
 
 
-def votes(predicted: DataFrame, count: str = "n", predict: str = "predict") -> DataFrame:
-    """Items, items predicted male, items predicted female per user, as doubles."""
-    n = F.col(count)
-    return predicted.groupBy("userId").agg(
-        F.sum(n).cast("double").alias("total"),
-        F.sum(F.when(F.col(predict) == 0, n).otherwise(0)).cast("double").alias("male"),
-        F.sum(F.when(F.col(predict) == 1, n).otherwise(0)).cast("double").alias("female"),
+def votes(predicted: DataFrame, orders: DataFrame, predict: str = "predict") -> DataFrame:
+    """Items, items predicted male, items predicted female per user, as doubles.
+
+    Items are counted per order first: one short row per order goes into the join.
+    """
+    per_order = predicted.groupBy("cOrderSn").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col(predict) == 0).alias("male"),
+        F.count_if(F.col(predict) == 1).alias("female"),
     )
+    buyers = orders.select(F.col("memberId").alias("userId"), "orderSn")
+    joined = per_order.join(buyers, F.col("cOrderSn") == F.col("orderSn"))
+    sums = [F.sum(c).cast("double").alias(c) for c in ("total", "male", "female")]
+    return joined.groupBy("userId").agg(*sums)
 
 
 def vote_tags(voted: DataFrame, rules: Rules, share: float = fixed.USG_VOTE_SHARE) -> DataFrame:

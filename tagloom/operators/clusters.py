@@ -22,13 +22,17 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "feature") ->
 
 
 def kmeans(k: int, features: str = "feature", weight: str | None = None) -> KMeans:
-    """KMeans with the fixed settings (L2)."""
+    """KMeans with the fixed settings (L2).
+
+    The row solver, as the block solver fails where there are fewer distinct points than `k`.
+    """
     estimator = KMeans(
         k=k,
         maxIter=fixed.KMEANS_MAX_ITER,
         seed=fixed.KMEANS_SEED,
         featuresCol=features,
         predictionCol="predict",
+        solver="row",
     )
     return estimator.setWeightCol(weight) if weight else estimator
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,10 +26,42 @@ def rules_frame(spark: SparkSession, rules: Rules) -> DataFrame:
     return local_frame(spark, list(rules), ["id", "rule"], [pa.int64(), pa.string()])
 
 
-def _rule_side(frame: DataFrame, rules: Rules) -> DataFrame:
-    if not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_MAX_ROWS:
-        return F.broadcast(frame)
-    return small_side(frame)
+def _is_short_list(rules: Rules) -> bool:
+    return not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_MAX_ROWS
+
+
+def _joinable(frame: DataFrame, rules: Rules) -> DataFrame:
+    return F.broadcast(frame) if _is_short_list(rules) else small_side(frame)
+
+
+def _one_per_rule(spark: SparkSession, rules: Rules) -> DataFrame:
+    """(rule, id) with the highest id where several rules have the same text."""
+    if isinstance(rules, DataFrame):
+        return rules_frame(spark, rules).groupBy("rule").agg(F.max("id").alias("id"))
+    return rules_frame(spark, [(i, rule) for rule, i in {r: i for i, r in sorted(rules)}.items()])
+
+
+def _default_tag(spark: SparkSession, rules: Rules, default_rule: str) -> Column:
+    if isinstance(rules, DataFrame):
+        matching = rules_frame(spark, rules).where(F.col("rule") == default_rule)
+        tag = matching.agg(F.max("id")).first()[0]
+    else:
+        tag = max((i for i, rule in rules if rule == default_rule), default=None)
+    if tag is None:
+        raise ValueError(f"no rule {default_rule!r} to fall back on")
+    return F.lit(str(tag))
+
+
+def _tag_or_fallback(
+    tag: Column, key: Column, unmatched: str, default: Callable[[], Column]
+) -> Column:
+    """`tag`, or what `unmatched` puts in its place where it is null."""
+    if unmatched == "blank":
+        return F.coalesce(tag, F.lit(""))
+    if unmatched == "default":
+        return F.coalesce(tag, default())
+    message = F.concat(F.lit("no rule for "), F.coalesce(key, F.lit("null")))
+    return F.when(tag.isNull(), F.raise_error(message).cast("string")).otherwise(tag)
 
 
 def attach_tags(
@@ -47,30 +81,65 @@ def attach_tags(
     """
     if unmatched not in UNMATCHED:
         raise ValueError(f"unmatched must be one of {UNMATCHED}")
-    frame = rules_frame(users.sparkSession, rules)
-    left = users.select(F.col(user).cast("string").alias("userId"), F.col(key).alias("_key"))
-    left = left.withColumn("_key", F.col("_key").cast("string"))
-
+    spark = users.sparkSession
+    left = users.select(
+        F.col(user).cast("string").alias("userId"), F.col(key).cast("string").alias("_key")
+    )
     if unmatched == "drop":
-        tagged = left.join(_rule_side(frame, rules), F.col("_key") == F.col("rule"), "inner")
+        side = _joinable(rules_frame(spark, rules), rules)
+        tagged = left.join(side, F.col("_key") == F.col("rule"), "inner")
         return tagged.select("userId", F.col("id").cast("string").alias("tagIds"))
 
-    one_per_rule = frame.groupBy("rule").agg(F.max("id").alias("id"))
-    tagged = left.join(_rule_side(one_per_rule, rules), F.col("_key") == F.col("rule"), "left")
-    tag = F.col("id").cast("string")
-    if unmatched == "blank":
-        tag = F.coalesce(tag, F.lit(""))
-    elif unmatched == "error":
-        message = F.concat(F.lit("no rule for "), F.coalesce(F.col("_key"), F.lit("null")))
-        tag = F.when(tag.isNull(), F.raise_error(message).cast("string")).otherwise(tag)
-    else:
-        default = frame.where(F.col("rule") == default_rule).agg(F.max("id")).first()[0]
-        if default is None:
-            raise ValueError(f"no rule {default_rule!r} to fall back on")
-        tag = F.coalesce(tag, F.lit(str(default)))
+    side = _joinable(_one_per_rule(spark, rules), rules)
+    tagged = left.join(side, F.col("_key") == F.col("rule"), "left")
+    tag = _tag_or_fallback(
+        F.col("id").cast("string"),
+        F.col("_key"),
+        unmatched,
+        lambda: _default_tag(spark, rules, default_rule),
+    )
     return tagged.select("userId", tag.alias("tagIds"))
 
 
+@dataclass(frozen=True)
+class Match:
+    """One lookup of `attach_all_tags`: the arguments of `attach_tags`."""
+
+    rules: Rules
+    key: str
+    unmatched: str = "drop"
+    default_rule: str = "other"
+
+
+def attach_all_tags(users: DataFrame, matches: Sequence[Match], user: str = "id") -> DataFrame:
+    """(userId, tagIds) with the tags of several lookups as one comma list per input row.
+
+    The same tags as one `attach_tags` per lookup, but the users are scanned once and each
+    gives one row to a later shuffle. If all lookups drop, users without any tag give no row.
+    """
+    spark = users.sparkSession
+    keys = [F.col(m.key).cast("string").alias(f"_key{i}") for i, m in enumerate(matches)]
+    joined = users.select(F.col(user).cast("string").alias("userId"), *keys)
+    tags = []
+    for i, match in enumerate(matches):
+        key, tag = F.col(f"_key{i}"), F.col(f"_tag{i}")
+        if match.unmatched == "drop":
+            ids = F.array_join(F.collect_set(F.col("id").cast("string")), ",")
+            side = rules_frame(spark, match.rules).groupBy("rule").agg(ids.alias("id"))
+        else:
+            side = _one_per_rule(spark, match.rules)
+            tag = _tag_or_fallback(
+                tag, key, match.unmatched, partial(_default_tag, spark, match.rules, match.default_rule)
+            )
+        side = side.select(F.col("rule").alias(f"_rule{i}"), F.col("id").cast("string").alias(f"_tag{i}"))
+        joined = joined.join(_joinable(side, match.rules), key == F.col(f"_rule{i}"), "left")
+        tags.append(tag)
+    tagged = joined.select("userId", F.concat_ws(",", *tags).alias("tagIds"))
+    if all(match.unmatched == "drop" for match in matches):
+        return tagged.where(F.col("tagIds") != "")
+    return tagged
+
+
 def attach_band_tags(
     users: DataFrame, rules: Rules, value: Column, user: str = "id", numeric: bool = False
 ) -> DataFrame:
@@ -89,8 +158,7 @@ def attach_band_tags(
     points = users.select(F.col(user).cast("string").alias("userId"), value.alias("value"))
     points = points.where(F.col("value").isNotNull())
 
-    listed = not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_MAX_ROWS
-    if listed or fits_broadcast(bands):
+    if _is_short_list(rules) or fits_broadcast(bands):
         inside = F.col("value").between(F.col("low"), F.col("high"))
         return points.join(F.broadcast(bands), inside).select("userId", "tagIds")
     return _band_join_by_cell(points, bands)

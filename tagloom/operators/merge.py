@@ -43,16 +43,21 @@ def _typed(df: DataFrame) -> DataFrame:
 def upsert(store: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """`store` with the cells of `updates` written over it by key (S3).
 
-    A null cell writes nothing, other rows and columns stay. One shuffle with partial
-    aggregation; if `updates` repeats a key, the greatest value of a cell counts.
+    A null cell writes nothing, other rows and columns stay. `store` has one row per key; if
+    `updates` repeats a key, the greatest value of each cell counts.
     """
-    columns = store.columns + [c for c in updates.columns if c not in store.columns]
-    rows = store.withColumn("_version", F.lit(0)).unionByName(
-        updates.withColumn("_version", F.lit(1)), allowMissingColumns=True
-    )
-    cells = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("_version", c))).alias(c)
-        for c in columns
-        if c != key
-    ]
-    return rows.groupBy(key).agg(*cells).select(*columns)
+    written = [c for c in updates.columns if c != key]
+    cells = [F.max(c).alias(f"_new_{c}") for c in written]
+    fresh = updates.groupBy(key).agg(*cells) if cells else updates.select(key).distinct()
+    joined = store.join(fresh, key, "full")
+    columns = [F.col(key)]
+    for name in [*store.columns, *[c for c in written if c not in store.columns]]:
+        if name == key:
+            continue
+        if name not in written:
+            columns.append(F.col(name))
+        elif name not in store.columns:
+            columns.append(F.col(f"_new_{name}").alias(name))
+        else:
+            columns.append(F.coalesce(f"_new_{name}", name).alias(name))
+    return joined.select(*columns)

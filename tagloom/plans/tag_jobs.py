@@ -107,35 +107,31 @@ def psm_clusters(orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: flo
     return model.transform(vectors).select("userId", "psm", "predict"), model
 
 
-def usg_predictions(items: DataFrame, orders: DataFrame):
-    """Items per user and kind with the tree's class, and the class of each kind.
+def usg_kinds(items: DataFrame, orders: DataFrame):
+    """The kinds of items with counts, train flag and predicted class, and the model.
 
-    The class depends on the kind of item alone, so the tree is applied to the kinds (about a
-    thousand at most, as the dictionaries are fixed) and joined to the users' counts.
+    The class depends on the kind of item alone, so the tree is applied to the kinds.
     """
-    per_user = cut_lineage(classify.user_items(items, orders))
-    kinds = cut_lineage(classify.item_kinds(per_user))
+    kinds = cut_lineage(classify.item_kinds(classify.item_features(items), orders))
     model = classify.fit_gender_tree(kinds)
-    predicted = model.transform(kinds).select(
-        "color", "productType", "gender", "train", "n", "label", "predict"
-    )
-    classes = predicted.select("color", "productType", "gender", "predict").distinct()
-    by_user = per_user.join(F.broadcast(classes), ["color", "productType", "gender"])
-    return by_user, predicted, model
+    return model.transform(kinds).select(*classify.KIND, "n", "label", "predict"), model
 
 
 def usg_tags(
     items: DataFrame, orders: DataFrame, rules: Rules = tuple(fixed.USG_RULES)
 ) -> DataFrame:
-    """Shopping gender (T12): each item of train and test sets votes once."""
-    by_user, _, _ = usg_predictions(items, orders)
-    return classify.vote_tags(classify.votes(by_user), rules)
+    """Shopping gender (T12): each item of the train and test sets votes once."""
+    kinds, _ = usg_kinds(items, orders)
+    kind = ["color", "productType", "gender"]
+    classes = F.broadcast(kinds.select(*kind, "predict").distinct())
+    predicted = classify.item_features(items).join(classes, kind)
+    return classify.vote_tags(classify.votes(predicted, orders), rules)
 
 
 def usg_quality(items: DataFrame, orders: DataFrame) -> dict[str, dict[str, float]]:
     """Accuracy, error and area under ROC on the train and the test items."""
-    _, predicted, _ = usg_predictions(items, orders)
-    weighted = predicted.withColumn("weight", F.col("n").cast("double"))
+    kinds, _ = usg_kinds(items, orders)
+    weighted = kinds.withColumn("weight", F.col("n").cast("double"))
     parts = {"train": F.col("train"), "test": ~F.col("train")}
     result = {}
     for name, rows in parts.items():

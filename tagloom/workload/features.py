@@ -84,14 +84,13 @@ def psm_score(spark, sf_dir):
 
 def usg_features(spark, sf_dir):
     """Items per user, colour code, type code and rule label."""
-    per_user = classify.user_items(src.items(spark, sf_dir), src.orders(spark, sf_dir))
-    return per_user.groupBy("userId", "color", "productType", "gender").agg(F.sum("n").alias("n"))
+    return classify.user_items(src.items(spark, sf_dir), src.orders(spark, sf_dir))
 
 
 def usg_votes(spark, sf_dir):
     """A7 over the rule label."""
-    per_user = classify.user_items(src.items(spark, sf_dir), src.orders(spark, sf_dir))
-    return classify.votes(per_user, predict="gender")
+    coded = classify.item_features(src.items(spark, sf_dir))
+    return classify.votes(coded, src.orders(spark, sf_dir), predict="gender")
 
 
 def usg_rule_tags(spark, sf_dir):

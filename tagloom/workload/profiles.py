@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
+from tagloom.operators.lookup import Match, attach_all_tags
 from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.plans import tag_jobs
 from tagloom.plans.template import run_tag_job
@@ -64,10 +65,15 @@ def profile_all(spark, sf_dir):
     """The matching and counting jobs as one profile, merged in a single pass."""
     users, orders = src.users(spark, sf_dir), src.orders(spark, sf_dir)
     return tag_jobs.profile_of(
-        tag_jobs.gender_tags(users),
-        tag_jobs.job_tags(users),
-        tag_jobs.nationality_tags(users),
-        tag_jobs.political_face_tags(users, src.SEGMENT_RULES),
+        attach_all_tags(
+            users,
+            [
+                Match(fixed.GENDER_RULES, "gender", "error"),
+                Match(fixed.JOB_RULES, "job", "error"),
+                Match(fixed.NATIONALITY_RULES, "nationality", "drop"),
+                Match(src.SEGMENT_RULES, "politicalFace", "blank"),
+            ],
+        ),
         tag_jobs.age_tags(users),
         tag_jobs.cycle_tags(orders, as_of=src.AS_OF),
         tag_jobs.payment_tags(orders),
