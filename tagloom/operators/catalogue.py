@@ -10,7 +10,7 @@ from tagloom.session import cut_lineage
 
 ROOT_PID = -1
 PATH_LEVELS = 3
-ID_BUCKET_DIGITS = 2
+ID_BUCKET_DIGITS = 3
 
 
 def children(catalogue: DataFrame, pid: int) -> DataFrame:
@@ -54,8 +54,8 @@ def with_models(tags: DataFrame, models: DataFrame) -> DataFrame:
 def _numbered(new: DataFrame, first: int) -> DataFrame:
     """`new` with dense ids from `first` up, without bringing the rows into one task.
 
-    Rows are numbered within 256 hash buckets; the buckets' start numbers come from a running
-    sum over at most 256 counts.
+    Rows are numbered within 4096 hash buckets; the buckets' start numbers come from a running
+    sum over at most 4096 counts.
     """
     key = F.concat_ws("/", F.col("level"), F.col("pid"), F.col("name"))
     bucketed = new.withColumn("_bucket", F.substring(F.md5(key), 1, ID_BUCKET_DIGITS))

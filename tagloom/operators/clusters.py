@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,8 @@ from tagloom.operators.bounded import local_frame
 from tagloom.operators.lookup import Rules, rules_frame
 from tagloom.sources.writers import load_or_fit
 
+ELBOW_PARALLELISM = 4
+
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "feature") -> DataFrame:
     """Columns as one vector (L1)."""
@@ -59,10 +63,13 @@ def fit_score_clusters(points: DataFrame, k: int, model_path: str | None = None)
 
 
 def elbow(points: DataFrame, ks: Iterable[int] = tuple(fixed.ELBOW_KS)) -> DataFrame:
-    """Sum of squared distances to the nearest centre for each k (L4)."""
-    rows = []
-    for k in ks:
-        rows.append((k, kmeans(k, weight="weight").fit(points).summary.trainingCost))
+    """Sum of squared distances to the nearest centre for each k (L4); the fits run side by side."""
+
+    def sse(k: int) -> tuple[int, float]:
+        return k, kmeans(k, weight="weight").fit(points).summary.trainingCost
+
+    with ThreadPool(ELBOW_PARALLELISM) as pool:
+        rows = pool.map(inheritable_thread_target(points.sparkSession)(sse), list(ks), chunksize=1)
     return local_frame(points.sparkSession, rows, ["k", "sse"], [pa.int32(), pa.float64()])
 
 

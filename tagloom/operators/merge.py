@@ -40,24 +40,26 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select(F.col("userId").cast("string"), F.col("tagIds").cast("string"))
 
 
+def last_cells(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: the greatest value of each cell where a key is repeated."""
+    others = [c for c in rows.columns if c != key]
+    if not others:
+        return rows.distinct()
+    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in others]).select(*rows.columns)
+
+
 def upsert(store: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """`store` with the cells of `updates` written over it by key (S3).
 
-    A null cell writes nothing, other rows and columns stay. `store` has one row per key; if
-    `updates` repeats a key, the greatest value of each cell counts.
+    A null cell writes nothing, other rows and columns stay. `store` has one row per key;
+    `updates` is brought to one by `last_cells`.
     """
-    written = [c for c in updates.columns if c != key]
-    cells = [F.max(c).alias(f"_new_{c}") for c in written]
-    fresh = updates.groupBy(key).agg(*cells) if cells else updates.select(key).distinct()
-    joined = store.join(fresh, key, "full")
+    fresh = last_cells(updates, key)
+    written = [c for c in fresh.columns if c != key]
+    joined = store.join(fresh.withColumnsRenamed({c: f"_new_{c}" for c in written}), key, "full")
     columns = [F.col(key)]
-    for name in [*store.columns, *[c for c in written if c not in store.columns]]:
-        if name == key:
-            continue
-        if name not in written:
-            columns.append(F.col(name))
-        elif name not in store.columns:
-            columns.append(F.col(f"_new_{name}").alias(name))
-        else:
-            columns.append(F.coalesce(f"_new_{name}", name).alias(name))
-    return joined.select(*columns)
+    for name in [c for c in store.columns if c != key]:
+        cell = F.coalesce(f"_new_{name}", name) if name in written else F.col(name)
+        columns.append(cell.alias(name))
+    added = [F.col(f"_new_{c}").alias(c) for c in written if c not in store.columns]
+    return joined.select(*columns, *added)

@@ -10,14 +10,21 @@ from tagloom import fixed_values as fixed
 from tagloom.functions.text import id_list
 from tagloom.session import scratch_root
 
+MIN_BLOCKS = 10
+RATINGS_PER_BLOCK = 2_000_000
+
 
 def fit_preferences(ratings: DataFrame) -> ALSModel:
     """ALS on (userId, productId, rating), implicit.
 
-    ALS cuts its own lineage every few iterations in the session's checkpoint folder.
+    The number of factor blocks grows with the ratings, so that a block fits a task. ALS cuts
+    its own lineage every few iterations in the session's checkpoint folder.
     """
     scratch_root(ratings.sparkSession)
+    blocks = max(MIN_BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK))
     return ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         userCol="userId",
         itemCol="productId",
         ratingCol="rating",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -73,6 +74,19 @@ def rfm_tags(
     return clusters.tag_by_score_clusters(scored, columns, k, rules, model_path)
 
 
+def rfm_elbow(
+    orders: DataFrame,
+    as_of: date | str | None = None,
+    shift_days: int = fixed.RFM_SHIFT_DAYS,
+    ks: Iterable[int] = tuple(fixed.ELBOW_KS),
+    **bands,
+) -> DataFrame:
+    """Cost of the customer-value clusters for each k, to choose k by (L4)."""
+    scored = agg.rfm_scores(agg.rfm_features(orders, as_of, shift_days), **bands)
+    points = clusters.score_points(scored, ["recency", "frequency", "monetary"])
+    return clusters.elbow(cut_lineage(points), ks)
+
+
 def rfe_tags(
     views: DataFrame,
     rules: Rules = tuple(fixed.RFE_RULES),

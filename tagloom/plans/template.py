@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.operators.merge import merge_profiles, one_row_per_user
+from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.sources.readers import level5_rules, read_profile, read_source, source_options
-from tagloom.sources.writers import latest_version, save_version
+from tagloom.sources.versions import latest_version, save_version
 
 Compute = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -16,17 +16,38 @@ Compute = Callable[[DataFrame, DataFrame], DataFrame]
 def new_tags(spark: SparkSession, catalogue: DataFrame, tag_id: int, compute: Compute) -> DataFrame:
     """Read the source the tag's rule names and compute tags: `compute(rules, source)`."""
     source = read_source(spark, source_options(catalogue, tag_id), as_strings=False)
-    return one_row_per_user(compute(level5_rules(catalogue, tag_id), source))
+    return compute(level5_rules(catalogue, tag_id), source)
 
 
-def run_tag_job(
-    spark: SparkSession, catalogue: DataFrame, tag_id: int, compute: Compute, profile_root: str
+def run_tag_jobs(
+    spark: SparkSession,
+    catalogue: DataFrame,
+    jobs: Mapping[int, Compute],
+    profile_root: str,
+    merge: bool = True,
 ) -> str:
-    """Run one tag job and save the new profile version; returns its path.
+    """Run the jobs of several tags and save one new profile version; returns its path.
 
-    Users the job does not tag keep what is stored, so the saved profile is the full merge.
+    All tags are joined to the stored profile in a single merge. Users the jobs do not tag keep
+    what is stored, so the saved profile is the full merge. Without `merge` the new tags
+    replace a tagged user's stored ones (T1).
     """
-    fresh = new_tags(spark, catalogue, tag_id, compute)
+    fresh = one_row_per_user(*[new_tags(spark, catalogue, t, c) for t, c in jobs.items()])
     current = latest_version(spark, profile_root)
-    merged = fresh if current is None else merge_profiles(fresh, read_profile(spark, current), "full")
-    return save_version(merged, profile_root)
+    if current is None:
+        return save_version(fresh, profile_root)
+    stored = read_profile(spark, current)
+    result = merge_profiles(fresh, stored, "full") if merge else upsert(stored, fresh, "userId")
+    return save_version(result, profile_root)
+
+
+def run_tag_job(
+    spark: SparkSession,
+    catalogue: DataFrame,
+    tag_id: int,
+    compute: Compute,
+    profile_root: str,
+    merge: bool = True,
+) -> str:
+    """Run the job of one tag, see `run_tag_jobs`."""
+    return run_tag_jobs(spark, catalogue, {tag_id: compute}, profile_root, merge)

@@ -59,10 +59,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder once and go on from the written copy.
+    """Write `df` to the scratch folder once and go on from the written table.
 
     Used where one frame feeds both a fit and the job after it, so that the scan behind it
-    runs once and a lost executor re-reads the copy instead of the source tables.
+    runs once and a lost executor re-reads the table instead of the sources.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tagloom.fixed_values import SOURCE_KEYS
 from tagloom.functions.rules import rule_options
+from tagloom.sources.hbase import HBASE_FORMAT, hbase_options
+from tagloom.sources.versions import latest_version
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "libsvm")
 
@@ -73,20 +75,24 @@ def read_source(
     """Open the source a level-4 rule names and select its fields.
 
     `inType` is a file format with `path`, `jdbc` with `url` and `dbtable`, `table` with
-    `name`, or `HBase`. All further keys are handed to the reader as options.
+    `name`, `store` with the `path` of a store kept by `write_source`, or `HBase`. All further
+    keys are handed to the reader as options.
     """
     kind = (rule.get("inType") or "").lower()
     fields = [f.strip() for f in (rule.get("selectFields") or "").split(",") if f.strip()]
-    options = {k: v for k, v in rule.items() if k not in ("inType", "selectFields") and v is not None}
+    own = ("inType", "selectFields", "rowKey")
+    options = {k: v for k, v in rule.items() if k not in own and v is not None}
     if kind == "hbase":
-        reader = spark.read.format("org.apache.hadoop.hbase.spark").options(
-            **hbase_options(rule, fields)
-        )
-        df = reader.load()
+        df = spark.read.format(HBASE_FORMAT).options(**hbase_options(rule, fields)).load()
     elif kind == "table":
         df = spark.read.table(options["name"])
     elif kind == "jdbc":
         df = spark.read.format("jdbc").options(**options).load()
+    elif kind == "store":
+        current = latest_version(spark, options["path"])
+        if current is None:
+            raise ValueError(f"store {options['path']} is empty")
+        df = spark.read.parquet(current)
     elif kind in FILE_FORMATS:
         path = options.pop("path")
         df = spark.read.format(kind).options(**options).load(path)
@@ -95,22 +101,6 @@ def read_source(
     return select_fields(df, fields, as_strings) if fields else df
 
 
-def hbase_options(rule: Mapping[str, str], fields: list[str]) -> dict[str, str]:
-    """Options of the public HBase Spark connector for a rule; its jar must be on the class path.
-
-    Every field is a string cell of the rule's column family; the row key is read as `_key`.
-    """
-    family = rule.get("family") or ""
-    cells = ["_key STRING :key"] + [f"{f} STRING {family}:{f}" for f in fields]
-    return {
-        "hbase.table": rule.get("hbaseTable") or "",
-        "hbase.columns.mapping": ", ".join(cells),
-        "hbase.spark.use.hbasecontext": "false",
-        "hbase.zookeeper.quorum": rule.get("zkHosts") or "",
-        "hbase.zookeeper.property.clientPort": rule.get("zkPort") or "",
-    }
-
-
 def read_profile(spark: SparkSession, path: str) -> DataFrame:
     """Stored profile (userId, tagIds)."""
     return spark.read.parquet(path).select(

@@ -1,46 +1,37 @@
-"""Write profiles as whole versions, and keep fitted models."""
+"""Write sources by rule and keep fitted models."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-VERSION_PREFIX = "version="
+from tagloom.operators.merge import last_cells, upsert
+from tagloom.sources.hbase import HBASE_FORMAT, hbase_options
+from tagloom.sources.versions import latest_version, path_exists, save_version
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether `path` exists on the file system it names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)
+def write_source(df: DataFrame, rule: Mapping[str, str]) -> str | None:
+    """Upsert `df` by the rule's `rowKey` into the source the rule names.
 
-
-def _versions(spark: SparkSession, root: str, pattern: str) -> list[int]:
-    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{VERSION_PREFIX}*{pattern}")
-    fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(glob) or []
-    paths = [status.getPath().toString() for status in found]
-    return sorted(int(p.rsplit(VERSION_PREFIX, 1)[1].split("/")[0]) for p in paths)
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the newest version that was written to its end, or None."""
-    done = _versions(spark, root, "/_SUCCESS")
-    return f"{root}/{VERSION_PREFIX}{done[-1]:08d}" if done else None
-
-
-def save_version(df: DataFrame, root: str) -> str:
-    """Write `df` as the next version below `root` and return its path.
-
-    A frame that reads the current version can be saved this way, and a job that dies half
-    way leaves the current version as it was.
+    `store` saves the next version below `path` and returns its path; `HBase` puts the cells
+    through the connector.
     """
-    begun = _versions(df.sparkSession, root, "")
-    path = f"{root}/{VERSION_PREFIX}{(begun[-1] if begun else 0) + 1:08d}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    kind, key = (rule.get("inType") or "").lower(), rule.get("rowKey")
+    if kind not in ("store", "hbase"):
+        raise ValueError(f"cannot write to inType {rule.get('inType')!r}")
+    if not key:
+        raise ValueError("a rule to write by needs a rowKey")
+    if kind == "hbase":
+        options = hbase_options(rule, df.columns)
+        df.write.format(HBASE_FORMAT).options(**options).save()
+        return None
+    spark, root = df.sparkSession, rule["path"]
+    current = latest_version(spark, root)
+    if current is None:
+        return save_version(last_cells(df, key), root)
+    return save_version(upsert(spark.read.parquet(current), df, key), root)
 
 
 def load_or_fit(spark: SparkSession, path: str | None, load: Callable, fit: Callable) -> Any:

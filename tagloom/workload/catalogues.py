@@ -85,7 +85,7 @@ def _path_level_sql(level: int) -> str:
   SELECT DISTINCT {name} AS name, {level} AS level, CAST({above} AS BIGINT) AS pid
   FROM paths{join} WHERE {name} IS NOT NULL),
 new{level} AS (
-  SELECT {first} + row_number() OVER (ORDER BY substr(md5({key}), 1, 2), pid, name) AS id,
+  SELECT {first} + row_number() OVER (ORDER BY substr(md5({key}), 1, 3), pid, name) AS id,
          name, level, pid
   FROM want{level} w
   WHERE NOT EXISTS (SELECT 1 FROM catalogue c WHERE c.name = w.name AND c.level = w.level

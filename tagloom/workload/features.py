@@ -87,15 +87,15 @@ def usg_features(spark, sf_dir):
     return classify.user_items(src.items(spark, sf_dir), src.orders(spark, sf_dir))
 
 
-def usg_votes(spark, sf_dir):
+def usg_vote_counts(spark, sf_dir):
     """A7 over the rule label."""
     coded = classify.item_features(src.items(spark, sf_dir))
     return classify.votes(coded, src.orders(spark, sf_dir), predict="gender")
 
 
-def usg_rule_tags(spark, sf_dir):
+def usg_vote(spark, sf_dir):
     """F20, X5 over the rule label."""
-    return classify.vote_tags(usg_votes(spark, sf_dir), fixed.USG_RULES)
+    return classify.vote_tags(usg_vote_counts(spark, sf_dir), fixed.USG_RULES)
 
 
 def product_views(spark, sf_dir):
@@ -127,8 +127,8 @@ QUERIES = {
         psm_features,
         psm_score,
         usg_features,
-        usg_votes,
-        usg_rule_tags,
+        usg_vote_counts,
+        usg_vote,
         product_views,
         product_ratings,
     )
@@ -232,9 +232,9 @@ FROM psm WHERE tdon > 0 AND ton > 0 AND tra <> 0""",
     "usg_features": f"""WITH {ITEM_VOTES_SQL}
 SELECT member AS "userId", color, product_type AS "productType", gender, count(*) AS n
 FROM bought GROUP BY ALL""",
-    "usg_votes": f"""WITH {ITEM_VOTES_SQL}
+    "usg_vote_counts": f"""WITH {ITEM_VOTES_SQL}
 SELECT member AS "userId", total, male, female FROM votes""",
-    "usg_rule_tags": f"""WITH {ITEM_VOTES_SQL}
+    "usg_vote": f"""WITH {ITEM_VOTES_SQL}
 SELECT CAST(member AS VARCHAR) AS "userId",
        CASE WHEN male / total >= 0.6 THEN '57' WHEN female / total >= 0.6 THEN '58' ELSE '59' END
          AS "tagIds"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom import fixed_values as fixed
 from tagloom.functions.measures import from_units, money
 from tagloom.operators import aggregates as agg
-from tagloom.operators import clusters
+from tagloom.operators import classify, clusters
 from tagloom.operators.bounded import local_frame
 from tagloom.plans import tag_jobs
 from tagloom.session import scratch_path
@@ -98,11 +98,8 @@ def score_points(spark, sf_dir):
 
 def elbow_sse(spark, sf_dir):
     """L4."""
-    points = rfm_points(spark, sf_dir).persist()
-    try:
-        return clusters.elbow(points)
-    finally:
-        points.unpersist()
+    orders = src.orders(spark, sf_dir)
+    return tag_jobs.rfm_elbow(orders, src.AS_OF, shift_days=0, **ORDER_BANDS)
 
 
 def rfe_tags(spark, sf_dir):
@@ -148,12 +145,12 @@ def usg_quality(spark, sf_dir):
     )
 
 
-def brand_tags(spark, sf_dir):
+def als_top5(spark, sf_dir):
     """L15, O5, F16."""
     return tag_jobs.brand_tags(src.views(spark, sf_dir))
 
 
-def iris_clusters(spark, sf_dir):
+def kmeans_minmax(spark, sf_dir):
     """T14 over the embeddings and their labels."""
     return tag_jobs.iris_clusters(vectors(spark, sf_dir))
 
@@ -164,10 +161,12 @@ def measurements(spark, sf_dir):
     return src.table(spark, sf_dir, "embeddings").select(*slots, species)
 
 
-def iris_tree(spark, sf_dir):
-    """T15 over four slots of the embeddings: label by prediction on the test rows."""
+def tree_accuracy(spark, sf_dir):
+    """T15, L12 over four slots of the embeddings: accuracy on the test rows."""
     predicted, _ = tag_jobs.iris_tree(measurements(spark, sf_dir), MEASURES, "Species", MEASURES)
-    return clusters.confusion_counts(predicted, "Species", "labelConverted")
+    found = classify.accuracy(predicted)
+    rows = [(found["accuracy"], found["error"])]
+    return local_frame(spark, rows, ["accuracy", "error"], [pa.float64(), pa.float64()])
 
 
 def libsvm_roundtrip(spark, sf_dir):
@@ -213,9 +212,9 @@ QUERIES = {
         model_checkpoint,
         usg_tags,
         usg_quality,
-        brand_tags,
-        iris_clusters,
-        iris_tree,
+        als_top5,
+        kmeans_minmax,
+        tree_accuracy,
         libsvm_roundtrip,
         csv_roundtrip,
         top_orders,

@@ -10,8 +10,9 @@ from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.plans import tag_jobs
 from tagloom.plans.template import run_tag_job
 from tagloom.session import scratch_path
-from tagloom.sources.readers import read_profile
-from tagloom.sources.writers import save_version
+from tagloom.sources.readers import read_profile, read_source
+from tagloom.sources.versions import save_version
+from tagloom.sources.writers import write_source
 from tagloom.workload import inputs as src
 from tagloom.workload.features import PAYMENT_SQL
 from tagloom.workload.matching import _equal_match
@@ -51,6 +52,14 @@ def political_profile(spark, sf_dir):
     return merge_profiles(new, src.stored_profile(spark, sf_dir), "full")
 
 
+def gender_saved(spark, sf_dir):
+    """Gender tags written over a store without merging, and read back."""
+    rule = {"inType": "store", "path": scratch_path(spark, "store"), "rowKey": "userId"}
+    write_source(src.stored_profile(spark, sf_dir), rule)
+    write_source(tag_jobs.gender_tags(src.users(spark, sf_dir)), rule)
+    return read_source(spark, {**rule, "selectFields": "userId,tagIds"})
+
+
 def profile_upsert(spark, sf_dir):
     """S3: payment tags and segments written over the store; a null cell writes nothing."""
     store = src.stored_profile(spark, sf_dir)
@@ -110,6 +119,7 @@ QUERIES = {
         job_profile,
         nationality_profile,
         political_profile,
+        gender_saved,
         profile_upsert,
         profile_all,
         profile_run,
@@ -163,6 +173,10 @@ SQL = {
         _equal_match("politicalFace", src.SEGMENT_RULES, f"coalesce({_TAG}, '')", "LEFT JOIN"),
         "FULL JOIN",
     ),
+    "gender_saved": f"""WITH {src.STORED_SQL},
+fresh AS ({_equal_match("gender", fixed.GENDER_RULES, _TAG)})
+SELECT coalesce(f."userId", s.user_id) AS "userId", coalesce(f."tagIds", s.tags) AS "tagIds"
+FROM fresh f FULL JOIN stored s ON f."userId" = s.user_id""",
     "profile_upsert": f"""WITH {src.STORED_SQL}, {PAYMENT_SQL},
 updates AS (
   SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment AS segment, tags

@@ -1,4 +1,7 @@
-"""Run registered queries next to their SQL twins in DuckDB: `python tests/check_twins.py [sf] [name...]`."""
+"""Run registered queries next to their SQL twins in DuckDB.
+
+`python tests/check_twins.py [scale factor or folder] [query name...]`
+"""
 
 from __future__ import annotations
 
@@ -54,9 +57,14 @@ def main() -> int:
     from tagloom import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     spark = build_session(
-        master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        master="local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+            "spark.ui.enabled": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = duck(sf_dir), entry.oracle_sql(), 0

@@ -10,14 +10,14 @@ from tagloom import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tagloom-tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
-            "spark.checkpoint.dir": "file://" + str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagloom import fixed_values as fixed
 from tagloom.operators import clusters
 from tagloom.plans import tag_jobs
-from tagloom.sources.writers import path_exists
+from tagloom.sources.versions import path_exists
 
 RFM = ["recency", "frequency", "monetary"]
 

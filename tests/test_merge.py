@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.sources.readers import read_profile
-from tagloom.sources.writers import latest_version, save_version
+from tagloom.sources.versions import latest_version, save_version
 
 
 @pytest.mark.parametrize(

@@ -34,6 +34,6 @@ def test_every_twin_has_a_query():
 
 def test_no_python_functions_in_plans(spark):
     """All work stays in the JVM."""
-    for name in ("profile_all", "usg_rule_tags", "rfm_scores_spread", "product_ratings", "kv_rule_parse"):
+    for name in ("profile_all", "usg_vote", "rfm_scores_spread", "product_ratings", "kv_rule_parse"):
         plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan, name

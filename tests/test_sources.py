@@ -3,11 +3,14 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
+from tagloom.operators.lookup import attach_tags
 from tagloom.plans import tag_jobs
-from tagloom.plans.template import new_tags, run_tag_job
+from tagloom.plans.template import new_tags, run_tag_job, run_tag_jobs
 from tagloom.session import scratch_path, scratch_root
 from tagloom.sources import readers
-from tagloom.sources.writers import save_version
+from tagloom.sources.hbase import hbase_options
+from tagloom.sources.versions import save_version
+from tagloom.sources.writers import write_source
 
 CATALOGUE = "id long, name string, rule string, level int, pid long"
 
@@ -56,9 +59,11 @@ def test_source_filter_and_columns_reach_the_scan(spark, users_path):
 
 def test_hbase_options():
     rule = {"zkHosts": "z1", "zkPort": "2181", "hbaseTable": "tbl_users", "family": "detail"}
-    options = readers.hbase_options(rule, ["id", "job"])
+    options = hbase_options(rule, ["id", "job"])
     assert options["hbase.columns.mapping"] == "_key STRING :key, id STRING detail:id, job STRING detail:job"
     assert options["hbase.table"] == "tbl_users"
+    keyed = hbase_options(rule | {"rowKey": "id"}, ["id", "job"])
+    assert keyed["hbase.columns.mapping"] == "id STRING :key, job STRING detail:job"
 
 
 def test_rules_of_a_tag(spark):
@@ -137,7 +142,38 @@ def test_run_tag_job(spark, frame, users_path, pairs, tmp_path):
     }
 
 
-def test_scratch_is_the_folder_the_session_names(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    assert scratch_root(spark) == root
+def test_run_tag_jobs_without_merge(spark, frame, users_path, pairs, tmp_path):
+    rule = f"inType=parquet##path={users_path}##selectFields=id,gender,job"
+    tags = spark.createDataFrame(
+        [(4, "g", rule, 4, 3), (6, "f", "2", 5, 4), (7, "j", rule, 4, 3), (10, "x", "3", 5, 7)],
+        CATALOGUE,
+    )
+    jobs = {
+        4: lambda rules, users: attach_tags(users, rules, "gender"),
+        7: lambda rules, users: attach_tags(users, rules, "job"),
+    }
+    root = f"file://{tmp_path}/profile"
+    save_version(frame("userId,tagIds", [("1", "23"), ("77", "9")]), root)
+    path = run_tag_jobs(spark, tags, jobs, root, merge=False)
+    assert pairs(readers.read_profile(spark, path)) == {("1", "10,6"), ("10", "6"), ("77", "9")}
+
+
+def test_scratch_is_the_folder_the_session_names(spark, monkeypatch, tmp_path):
+    root = scratch_root(spark)
+    assert root == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
     assert scratch_path(spark, "a").startswith(root) and scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_store_source(spark, frame, pairs, tmp_path):
+    rule = {"inType": "store", "path": f"file://{tmp_path}/store", "rowKey": "id"}
+    with pytest.raises(ValueError, match="empty"):
+        readers.read_source(spark, rule)
+    write_source(frame("id,gender", [("1", "2"), ("2", "1"), ("2", "3")]), rule)
+    assert pairs(readers.read_source(spark, rule)) == {("1", "2"), ("2", "3")}
+    write_source(frame("id,gender,job", [("2", None, "5"), ("3", "1", None)]), rule)
+    picked = readers.read_source(spark, rule | {"selectFields": "id,gender,job"})
+    assert pairs(picked) == {("1", "2", None), ("2", "3", "5"), ("3", "1", None)}
+    with pytest.raises(ValueError, match="rowKey"):
+        write_source(picked, {"inType": "store", "path": "x"})
+    with pytest.raises(ValueError, match="cannot write"):
+        write_source(picked, {"inType": "parquet", "path": "x"})
