@@ -1,4 +1,4 @@
-"""Size checks that decide whether a frame may be broadcast."""
+"""Joins of a large frame with a rule frame: broadcast if it is small, else spread."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 BROADCAST_MAX_ROWS = 10_000
 BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 FIXED_WIDTH_BYTES = 16
+SALTS = 64
 
 
 def fits_broadcast(
@@ -27,9 +28,21 @@ def fits_broadcast(
     return n <= max_rows and size <= max_bytes
 
 
-def small_side(df: DataFrame, **bounds: int) -> DataFrame:
-    """`df` with a broadcast hint if it fits, else as it is, for a shuffled join."""
-    return F.broadcast(df) if fits_broadcast(df, **bounds) else df
+def lookup_join(
+    many: DataFrame, few: DataFrame, on: list[str], how: str, spread_by: str, is_small: bool = False
+) -> DataFrame:
+    """Equality join of a large frame with a rule frame.
+
+    A rule frame within the bounds is broadcast. Beyond them both sides are shuffled, and a hot
+    key of `many` is spread over `SALTS` tasks by the hash of `spread_by`; each rule is repeated
+    for each of them.
+    """
+    if is_small or fits_broadcast(few):
+        return many.join(F.broadcast(few), on, how)
+    salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    repeated = repeated.withColumn("_salt", F.col("_salt").cast("long"))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], names: list[str], types: list) -> DataFrame:

@@ -37,9 +37,13 @@ def find_tag(catalogue: DataFrame, name: str, level: int, pid: int) -> DataFrame
 
 
 def find_tags(catalogue: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Many (name, level, pid) lookups at once (G3); the lowest id counts if a tag is there twice."""
-    ids = catalogue.groupBy("name", "level", "pid").agg(F.min("id").alias("id"))
-    return wanted.join(ids, ["name", "level", "pid"], "left")
+    """Id of each distinct (name, level, pid) wanted, null if there is none.
+
+    The lowest id counts if a tag is there twice.
+    """
+    key = ["name", "level", "pid"]
+    ids = catalogue.groupBy(*key).agg(F.min("id").alias("id"))
+    return wanted.select(*key).distinct().join(ids, key, "left")
 
 
 def with_models(tags: DataFrame, models: DataFrame) -> DataFrame:

@@ -187,17 +187,21 @@ def area_under_roc(predicted: DataFrame, weight: str | None = None) -> float:
 def votes(predicted: DataFrame, orders: DataFrame, predict: str = "predict") -> DataFrame:
     """Items, items predicted male, items predicted female per user, as doubles.
 
-    Items are counted per order first: one short row per order goes into the join.
+    Items are counted per order and class first: at most two short rows per order go into the
+    join, whose inputs are plain shuffles that adaptive execution can split.
     """
-    per_order = predicted.groupBy("cOrderSn").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col(predict) == 0).alias("male"),
-        F.count_if(F.col(predict) == 1).alias("female"),
-    )
+    per_order = _items_per_order(predicted, [predict])
     buyers = orders.select(F.col("memberId").alias("userId"), "orderSn")
     joined = per_order.join(buyers, F.col("cOrderSn") == F.col("orderSn"))
-    sums = [F.sum(c).cast("double").alias(c) for c in ("total", "male", "female")]
-    return joined.groupBy("userId").agg(*sums)
+
+    def items(rows: Column, name: str) -> Column:
+        return F.sum(F.when(rows, F.col("n")).otherwise(0)).cast("double").alias(name)
+
+    return joined.groupBy("userId").agg(
+        items(F.lit(True), "total"),
+        items(F.col(predict) == 0, "male"),
+        items(F.col(predict) == 1, "female"),
+    )
 
 
 def vote_tags(voted: DataFrame, rules: Rules, share: float = fixed.USG_VOTE_SHARE) -> DataFrame:

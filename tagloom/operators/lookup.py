@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tagloom.functions.rules import band_end, band_start
-from tagloom.operators.bounded import BROADCAST_MAX_ROWS, fits_broadcast, local_frame, small_side
+from tagloom.operators.bounded import (
+    BROADCAST_MAX_ROWS,
+    fits_broadcast,
+    local_frame,
+    lookup_join,
+)
 
 Rules = DataFrame | Sequence[tuple[int, str]]
 
@@ -30,10 +35,6 @@ def _is_short_list(rules: Rules) -> bool:
     return not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_MAX_ROWS
 
 
-def _joinable(frame: DataFrame, rules: Rules) -> DataFrame:
-    return F.broadcast(frame) if _is_short_list(rules) else small_side(frame)
-
-
 def _one_per_rule(spark: SparkSession, rules: Rules) -> DataFrame:
     """(rule, id) with the highest id where several rules have the same text."""
     if isinstance(rules, DataFrame):
@@ -85,13 +86,14 @@ def attach_tags(
     left = users.select(
         F.col(user).cast("string").alias("userId"), F.col(key).cast("string").alias("_key")
     )
+    is_small = _is_short_list(rules)
     if unmatched == "drop":
-        side = _joinable(rules_frame(spark, rules), rules)
-        tagged = left.join(side, F.col("_key") == F.col("rule"), "inner")
+        side = rules_frame(spark, rules).withColumnRenamed("rule", "_key")
+        tagged = lookup_join(left, side, ["_key"], "inner", "userId", is_small)
         return tagged.select("userId", F.col("id").cast("string").alias("tagIds"))
 
-    side = _joinable(_one_per_rule(spark, rules), rules)
-    tagged = left.join(side, F.col("_key") == F.col("rule"), "left")
+    side = _one_per_rule(spark, rules).withColumnRenamed("rule", "_key")
+    tagged = lookup_join(left, side, ["_key"], "left", "userId", is_small)
     tag = _tag_or_fallback(
         F.col("id").cast("string"),
         F.col("_key"),
@@ -131,8 +133,9 @@ def attach_all_tags(users: DataFrame, matches: Sequence[Match], user: str = "id"
             tag = _tag_or_fallback(
                 tag, key, match.unmatched, partial(_default_tag, spark, match.rules, match.default_rule)
             )
-        side = side.select(F.col("rule").alias(f"_rule{i}"), F.col("id").cast("string").alias(f"_tag{i}"))
-        joined = joined.join(_joinable(side, match.rules), key == F.col(f"_rule{i}"), "left")
+        side = side.select(F.col("rule").alias(f"_key{i}"), F.col("id").cast("string").alias(f"_tag{i}"))
+        is_small = _is_short_list(match.rules)
+        joined = lookup_join(joined, side, [f"_key{i}"], "left", "userId", is_small)
         tags.append(tag)
     tagged = joined.select("userId", F.concat_ws(",", *tags).alias("tagIds"))
     if all(match.unmatched == "drop" for match in matches):
@@ -200,6 +203,6 @@ def _band_join_by_cell(points: DataFrame, bands: DataFrame) -> DataFrame:
     probes = points.withColumn("_at", _order_key(F.col("value"), is_text))
     probes = probes.withColumn("bits", F.explode(F.array(*[F.lit(w) for w in widths])))
     probes = probes.withColumn("cell", F.expr("shiftright(_at, bits)"))
-    joined = probes.join(cells, ["bits", "cell"])
+    joined = lookup_join(probes, cells, ["bits", "cell"], "inner", "userId")
     inside = F.col("value").between(F.col("low"), F.col("high"))
     return joined.where(inside).select("userId", "tagIds")

@@ -103,7 +103,7 @@ FROM catalogue c JOIN catalogue p ON c.pid = p.id""",
     "tag_level": f"WITH {src.CATALOGUE_SQL} SELECT * FROM catalogue WHERE level = 4",
     "tag_lookup": f"""WITH {src.CATALOGUE_SQL},
 wanted AS (
-  SELECT s_name AS name, CASE WHEN s_acctbal >= 0 THEN 3 ELSE 4 END AS level,
+  SELECT DISTINCT s_name AS name, CASE WHEN s_acctbal >= 0 THEN 3 ELSE 4 END AS level,
          CAST(s_nationkey + {src.NATION_BASE} AS BIGINT) AS pid FROM supplier)
 SELECT w.name, w.level, w.pid, c.id FROM wanted w LEFT JOIN (
   SELECT name, level, pid, min(id) AS id FROM catalogue GROUP BY ALL) AS c

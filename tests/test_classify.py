@@ -153,3 +153,31 @@ def test_iris_tree(spark):
     assert predicted.count() > 20
     assert classify.accuracy(predicted)["accuracy"] == 1.0
     assert classify.tree_text(model).startswith("DecisionTreeClassificationModel")
+
+
+def test_hot_order_is_split_by_adaptive_execution(spark, pairs):
+    """A third of the order rows share one number: the join into the votes is split."""
+    items = spark.range(20000).select(
+        F.concat(F.lit("o"), F.col("id") % 500).alias("cOrderSn"), (F.col("id") % 2).alias("predict")
+    )
+    orders = spark.range(60000).select(
+        F.col("id").cast("string").alias("memberId"),
+        F.when(F.col("id") % 3 == 0, "o7").otherwise(F.concat(F.lit("o"), F.col("id") % 500)).alias("orderSn"),
+    )
+    expected = pairs(classify.votes(items, orders))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        voted = classify.votes(items, orders)
+        assert pairs(voted) == expected
+        assert "skew=true" in voted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
-from tagloom.operators import lookup
-from tagloom.operators.bounded import fits_broadcast, small_side
+from tagloom.operators import bounded, lookup
+from tagloom.operators.bounded import fits_broadcast
 from tagloom.operators.lookup import Match, attach_all_tags, attach_band_tags, attach_tags
 from tagloom.plans import tag_jobs
 
@@ -124,6 +124,7 @@ def test_cycle(spark, frame, pairs, as_given):
 def test_large_rule_frames_join_by_cell(spark, monkeypatch, numeric):
     """The shuffled band join finds the same pairs as testing every band, also for a hot value."""
     monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(bounded, "fits_broadcast", lambda df: False)
     draw = random.Random(3)
     bands = []
     for i in range(200):
@@ -146,16 +147,24 @@ def test_broadcast_only_within_bounds(spark):
     assert fits_broadcast(df)
     assert not fits_broadcast(df, max_rows=99)
     assert not fits_broadcast(df, max_bytes=5000)
-    assert small_side(df, max_rows=10) is df
 
 
-def test_lookup_beyond_the_bound_is_a_shuffled_join(spark, frame, pairs, monkeypatch):
-    monkeypatch.setattr(lookup, "small_side", lambda df: df)
+@pytest.mark.parametrize("unmatched", lookup.UNMATCHED)
+def test_lookup_beyond_the_bound_spreads_hot_keys(spark, pairs, monkeypatch, unmatched):
+    rules = rules_df(spark, [(i, f"k{i}") for i in range(50)] + [(99, "other"), (98, "k3")])
+    keys = ["k3"] * 400 + [f"k{i % 50}" for i in range(400)]
+    if unmatched != "error":
+        keys += ["none", None]
+    users = spark.createDataFrame(list(enumerate(keys)), "id long, k string")
+    expected = pairs(attach_tags(users, rules, "k", unmatched=unmatched))
+    as_one = pairs(attach_all_tags(users, [Match(rules, "k", unmatched)]))
+    monkeypatch.setattr(bounded, "fits_broadcast", lambda df: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        users = frame("id,k", [("1", "a"), ("2", "b")])
-        tagged = attach_tags(users, rules_df(spark, [(5, "a")]), "k", unmatched="blank")
-        assert "Broadcast" not in tagged._jdf.queryExecution().executedPlan().toString()
-        assert pairs(tagged) == {("1", "5"), ("2", "")}
+        tagged = attach_tags(users, rules, "k", unmatched=unmatched)
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "_salt" in plan
+        assert pairs(tagged) == expected
+        assert pairs(attach_all_tags(users, [Match(rules, "k", unmatched)])) == as_one
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
