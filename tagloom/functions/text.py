@@ -33,14 +33,14 @@ def id_list(structs: Column, field: str) -> Column:
 
 
 def tag_array(tags: Column) -> Column:
-    """Comma list as an array; blank text and blank pieces give no element."""
-    pieces = F.filter(F.split(tags, ","), lambda t: ~is_blank(t))
+    """Comma list as an array; blank text and empty pieces give no element."""
+    pieces = F.array_remove(F.split(tags, ","), "")
     return F.when(is_blank(tags), F.array().cast("array<string>")).otherwise(pieces)
 
 
 def tag_list(tags: Column) -> Column:
     """Array of tags as a comma list in string order, null when empty."""
-    return F.when(F.size(tags) > 0, F.array_join(F.array_sort(tags), ","))
+    return F.when(F.size(tags) > 0, F.array_join(F.sort_array(tags), ","))
 
 
 def merge_tags(new: Column, old: Column) -> Column:

@@ -31,6 +31,13 @@ def rules_frame(spark: SparkSession, rules: Rules) -> DataFrame:
     return local_frame(spark, list(rules), ["id", "rule"], [pa.int64(), pa.string()])
 
 
+def short_rules(rules: DataFrame) -> Rules:
+    """A short rule frame as a list, read once; a longer one as it is."""
+    rows = rules.select(F.col("id").cast("long"), F.col("rule").cast("string"))
+    found = rows.take(BROADCAST_MAX_ROWS + 1)
+    return [tuple(r) for r in found] if len(found) <= BROADCAST_MAX_ROWS else rules
+
+
 def _is_short_list(rules: Rules) -> bool:
     return not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_MAX_ROWS
 

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from tagloom import fixed_values as fixed
+from tagloom.operators.lookup import Rules
 from tagloom.plans import tag_jobs
 from tagloom.plans.template import Compute
 
@@ -21,7 +22,7 @@ def standard_jobs(
     `orders` is the second source of the shopping-gender job, which reads order items (S8).
     """
 
-    def usg(rules: DataFrame, items: DataFrame) -> DataFrame:
+    def usg(rules: Rules, items: DataFrame) -> DataFrame:
         if orders is None:
             raise ValueError("the usg job needs the orders as a second source")
         return tag_jobs.usg_tags(items, orders, rules)

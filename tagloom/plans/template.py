@@ -6,17 +6,18 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.operators.lookup import Rules, short_rules
 from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.sources.readers import level5_rules, read_profile, read_source, source_options
 from tagloom.sources.versions import latest_version, save_version
 
-Compute = Callable[[DataFrame, DataFrame], DataFrame]
+Compute = Callable[[Rules, DataFrame], DataFrame]
 
 
 def new_tags(spark: SparkSession, catalogue: DataFrame, tag_id: int, compute: Compute) -> DataFrame:
     """Read the source the tag's rule names and compute tags: `compute(rules, source)`."""
     source = read_source(spark, source_options(catalogue, tag_id), as_strings=False)
-    return compute(level5_rules(catalogue, tag_id), source)
+    return compute(short_rules(level5_rules(catalogue, tag_id)), source)
 
 
 def run_tag_jobs(

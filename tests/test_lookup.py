@@ -142,6 +142,13 @@ def test_large_rule_frames_join_by_cell(spark, monkeypatch, numeric):
     assert "BroadcastNestedLoopJoin" not in plan and "Cartesian" not in plan
 
 
+def test_short_rules(spark, monkeypatch):
+    rules = rules_df(spark, [(5, "1"), (6, "2")])
+    assert sorted(lookup.short_rules(rules)) == [(5, "1"), (6, "2")]
+    monkeypatch.setattr(lookup, "BROADCAST_MAX_ROWS", 1)
+    assert lookup.short_rules(rules) is rules
+
+
 def test_broadcast_only_within_bounds(spark):
     df = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 100).alias("s"))
     assert fits_broadcast(df)
