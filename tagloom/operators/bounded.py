@@ -16,7 +16,7 @@ SALTS = 64
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Whether `df` stays within the broadcast bounds; looks at `max_rows` + 1 rows at most."""
+    """Whether `df` stays within the bounds; looks at `max_rows` + 1 rows at most."""
     width = F.lit(FIXED_WIDTH_BYTES * len(df.columns))
     for field in df.schema.fields:
         if isinstance(field.dataType, StringType):

@@ -21,6 +21,9 @@ from tagloom.operators.bounded import (
 
 Rules = DataFrame | Sequence[tuple[int, str]]
 
+# Up to so many bands are tested one after the other.
+BAND_SCAN_MAX_ROWS = 64
+
 UNMATCHED = ("drop", "error", "blank", "default")
 
 
@@ -167,8 +170,7 @@ def attach_band_tags(
     bands = frame.select(tag, low.alias("low"), high.alias("high"))
     points = users.select(F.col(user).cast("string").alias("userId"), value.alias("value"))
     points = points.where(F.col("value").isNotNull())
-
-    if _is_short_list(rules) or fits_broadcast(bands):
+    if fits_broadcast(bands, max_rows=BAND_SCAN_MAX_ROWS):
         inside = F.col("value").between(F.col("low"), F.col("high"))
         return points.join(F.broadcast(bands), inside).select("userId", "tagIds")
     return _band_join_by_cell(points, bands)
@@ -183,7 +185,7 @@ def _order_key(value: Column, is_text: bool) -> Column:
 
 
 def _band_join_by_cell(points: DataFrame, bands: DataFrame) -> DataFrame:
-    """Band join as an equality join, for rule frames too large to broadcast.
+    """Band join as an equality join, for rule frames too large to test band by band.
 
     Each band lies in one or two cells of the smallest power-of-two width that holds it; each
     point looks into its cell at every width in use (64 at most). The band is tested again
