@@ -151,6 +151,23 @@ def psm_scores(features: DataFrame, zero_discount_eps: float | None = None) -> D
     return features.select("userId", psm.alias("psm")).where(F.col("psm").isNotNull())
 
 
+def order_totals(orders: DataFrame) -> DataFrame:
+    """Everything the cycle, RFM and PSM features need, in one scan and one shuffle.
+
+    The columns are those of the single features, before dates are compared with today.
+    """
+    paid, coupon = money(F.col("orderAmount")), money(F.col("couponCodeValue"))
+    return orders.groupBy(F.col("memberId").alias("userId")).agg(
+        F.max(F.col("finishTime").try_cast("long")).alias("finishTime"),
+        F.count("orderSn").alias("frequency"),
+        from_units(F.sum(paid)).alias("monetary"),
+        F.sum(F.when(coupon != 0, 1).when(coupon == 0, 0)).alias("tdon"),
+        F.count(coupon).alias("ton"),
+        from_units(F.sum(coupon)).alias("tda"),
+        from_units(F.sum(paid + coupon)).alias("tra"),
+    )
+
+
 def product_views(views: DataFrame) -> DataFrame:
     """(userId, productId) of the page views that show a product."""
     return views.select(

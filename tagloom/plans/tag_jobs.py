@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
+from tagloom.functions.measures import days_since_epoch_seconds
 from tagloom.functions.text import compact_date
 from tagloom.operators import aggregates as agg
 from tagloom.operators import classify, clusters, recommend
@@ -121,6 +122,42 @@ def psm_clusters(orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: flo
     return model.transform(vectors).select("userId", "psm", "predict"), model
 
 
+def order_tags(
+    orders: DataFrame,
+    cycle_rules: Rules = tuple(fixed.CYCLE_RULES),
+    rfm_rules: Rules = tuple(fixed.RFM_RULES),
+    psm_rules: Rules = tuple(fixed.PSM_RULES),
+    as_of: date | str | None = None,
+    cycle_shift_days: int = fixed.CYCLE_SHIFT_DAYS,
+    rfm_shift_days: int = fixed.RFM_SHIFT_DAYS,
+    **bands,
+) -> DataFrame:
+    """Rows of T7, T9 and T11 from a single pass over the orders.
+
+    The per-member totals are written once; each job then reads one short row per member.
+    """
+    totals = cut_lineage(agg.order_totals(orders))
+
+    def days(shift_days: int):
+        return days_since_epoch_seconds(F.col("finishTime"), as_of, shift_days)
+
+    gaps = totals.select("userId", days(cycle_shift_days).alias("days"))
+    cycle = attach_band_tags(gaps, cycle_rules, F.col("days"), user="userId", numeric=True)
+
+    features = totals.select("userId", days(rfm_shift_days).alias("recency"), "frequency", "monetary")
+    scored = agg.rfm_scores(features, **bands)
+    columns = ["recency", "frequency", "monetary"]
+    rfm = clusters.tag_by_score_clusters(scored, columns, fixed.RFM_K, rfm_rules)
+
+    vectors = clusters.assemble(agg.psm_scores(totals), ["psm"])
+    model = clusters.kmeans(fixed.PSM_K).fit(vectors)
+    clustered = model.transform(vectors)
+    psm = clusters.zip_clusters(clustered, clusters.centre_sums(model), psm_rules)
+
+    frames = [f.select(F.col("userId").cast("string"), "tagIds") for f in (cycle, rfm, psm)]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def usg_kinds(items: DataFrame, orders: DataFrame):
     """The kinds of items with counts, train flag and predicted class, and the model.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tagloom.fixed_values import SCHEDULE_FORMAT
 from tagloom.operators import catalogue as cat
 from tagloom.workload import inputs as src
 

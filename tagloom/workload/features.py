@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
 from tagloom.functions.measures import score_sum
+from tagloom.functions.text import product_id
 from tagloom.operators import aggregates as agg
 from tagloom.operators import classify
 from tagloom.plans import tag_jobs
@@ -82,6 +83,11 @@ def psm_score(spark, sf_dir):
     return agg.psm_scores(psm_features(spark, sf_dir))
 
 
+def order_totals(spark, sf_dir):
+    """A1, A3, A5 in one pass."""
+    return agg.order_totals(src.coupon_orders(spark, sf_dir))
+
+
 def usg_features(spark, sf_dir):
     """Items per user, colour code, type code and rule label."""
     return classify.user_items(src.items(spark, sf_dir), src.orders(spark, sf_dir))
@@ -100,8 +106,6 @@ def usg_vote(spark, sf_dir):
 
 def product_views(spark, sf_dir):
     """page views per product page, and how many pages show no product."""
-    from tagloom.functions.text import product_id
-
     views = src.views(spark, sf_dir).select(product_id(F.col("loc_url")).alias("product_id"))
     return views.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -126,6 +130,7 @@ QUERIES = {
         rfe_scores_spread,
         psm_features,
         psm_score,
+        order_totals,
         usg_features,
         usg_vote_counts,
         usg_vote,
@@ -229,6 +234,12 @@ SELECT member AS "userId", tdon, ton, tda, tra FROM psm""",
 SELECT member AS "userId",
        CAST(tdon AS DOUBLE) / ton + (tda / tdon) / (tra / ton) + tda / tra AS psm
 FROM psm WHERE tdon > 0 AND ton > 0 AND tra <> 0""",
+    "order_totals": f"""WITH {src.COUPONS_SQL}
+SELECT member AS "userId", CAST(floor(epoch(max(finished))) AS BIGINT) AS "finishTime",
+       count(sn) AS frequency, CAST(sum(pa) AS DOUBLE) AS monetary,
+       CAST(count(CASE WHEN da <> 0 THEN 1 END) AS BIGINT) AS tdon, count(da) AS ton,
+       CAST(sum(da) AS DOUBLE) AS tda, CAST(sum(pa + da) AS DOUBLE) AS tra
+FROM coupon_orders GROUP BY member""",
     "usg_features": f"""WITH {ITEM_VOTES_SQL}
 SELECT member AS "userId", color, product_type AS "productType", gender, count(*) AS n
 FROM bought GROUP BY ALL""",

@@ -148,13 +148,14 @@ def coupon_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "memberId",
         "orderSn",
         "orderAmount",
+        "finishTime",
         from_units(F.coalesce("units", F.lit(0))).alias("couponCodeValue"),
     )
 
 
 COUPONS_SQL = """coupon_orders AS (
-  SELECT o_custkey AS member, CAST(o_totalprice AS DECIMAL(18,4)) AS pa,
-         coalesce(da, 0) AS da
+  SELECT o_custkey AS member, o_orderkey AS sn, o_orderdate AS finished,
+         CAST(o_totalprice AS DECIMAL(18,4)) AS pa, coalesce(da, 0) AS da
   FROM orders LEFT JOIN (
     SELECT l_orderkey,
            SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))) AS da

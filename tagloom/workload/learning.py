@@ -15,9 +15,9 @@ from tagloom.operators import classify, clusters
 from tagloom.operators.bounded import local_frame
 from tagloom.plans import tag_jobs
 from tagloom.session import scratch_path
-from tagloom.sources.readers import read_libsvm, read_measurements
+from tagloom.sources.readers import preview, read_libsvm, read_measurements
 from tagloom.workload import inputs as src
-from tagloom.workload.features import ORDER_BANDS, VIEW_BANDS
+from tagloom.workload.features import ORDER_BANDS, VIEW_BANDS, rfm_scores_sql
 
 RFM = ["recency", "frequency", "monetary"]
 VECTOR_WIDTH = 64
@@ -113,6 +113,12 @@ def psm_tags(spark, sf_dir):
     return tag_jobs.psm_tags(src.coupon_orders(spark, sf_dir))
 
 
+def order_tags(spark, sf_dir):
+    """T7, T9, T11 from one pass over the orders."""
+    orders = src.coupon_orders(spark, sf_dir)
+    return tag_jobs.order_tags(orders, as_of=src.AS_OF, rfm_shift_days=0, **ORDER_BANDS)
+
+
 def psm_cluster_ranges(spark, sf_dir):
     """A8 after L2, L3."""
     clustered, _ = tag_jobs.psm_clusters(src.coupon_orders(spark, sf_dir))
@@ -189,8 +195,6 @@ def csv_roundtrip(spark, sf_dir):
 
 def top_orders(spark, sf_dir):
     """The ten dearest orders."""
-    from tagloom.sources.readers import preview
-
     orders = src.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return preview(orders.orderBy(F.desc("o_totalprice"), "o_orderkey"), 10)
 
@@ -208,6 +212,7 @@ QUERIES = {
         elbow_sse,
         rfe_tags,
         psm_tags,
+        order_tags,
         psm_cluster_ranges,
         model_checkpoint,
         usg_tags,
@@ -232,8 +237,6 @@ _SLOTS = f"""slots AS (
 
 
 def _score_points_sql() -> str:
-    from tagloom.workload.features import rfm_scores_sql
-
     scored = rfm_scores_sql(0, *ORDER_BANDS.values(), True)
     return f"""SELECT recency, frequency, monetary, CAST(count(*) AS DOUBLE) AS weight,
        CAST(any_value(total) AS DOUBLE) AS total
@@ -255,7 +258,8 @@ FROM orders GROUP BY 1 ORDER BY 1""",
 FROM lineitem GROUP BY 1, 2""",
     "min_max_scaled": f"""WITH {_SLOTS},
 spans AS (SELECT pos, min(value) AS low, max(value) AS high FROM slots GROUP BY pos)
-SELECT vec_id, pos, CASE WHEN high > low THEN (value - low) * (1.0::DOUBLE / (high - low)) ELSE 0.5 END AS value
+SELECT vec_id, pos,
+       CASE WHEN high > low THEN (value - low) * (1.0::DOUBLE / (high - low)) ELSE 0.5 END AS value
 FROM slots JOIN spans USING (pos)""",
     "score_points": _score_points_sql(),
     "libsvm_roundtrip": f"""WITH {_SLOTS}

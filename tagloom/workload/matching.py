@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
 from tagloom.functions.rules import option, rule_options
-from tagloom.operators.lookup import attach_tags
+from tagloom.operators.lookup import attach_band_tags, attach_tags
 from tagloom.plans import tag_jobs
 from tagloom.sources.readers import read_source, source_descriptor
 from tagloom.workload import inputs as src
@@ -120,8 +120,6 @@ def purchase_cycle(spark, sf_dir):
 
 def part_size_bands(spark, sf_dir):
     """J6 with a rule frame that grows with the data: parts in the size bands of all parts."""
-    from tagloom.operators.lookup import attach_band_tags
-
     parts = src.table(spark, sf_dir, "part").withColumn("id", F.col("p_partkey"))
     bands = src.table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"),
@@ -156,7 +154,7 @@ QUERIES = {
 }
 
 
-def _equal_match(column: str, rules: list[tuple], tag: str, join: str = "JOIN") -> str:
+def equal_match_sql(column: str, rules: list[tuple], tag: str, join: str = "JOIN") -> str:
     return f"""WITH {src.USERS_SQL}
 SELECT users.id AS "userId", {tag} AS "tagIds"
 FROM users {join} {src.values_sql(rules, 'r(id, rule)')} ON users."{column}" = r.rule"""
@@ -178,17 +176,17 @@ FROM catalogue m JOIN catalogue v ON v.pid = m.id WHERE m.level = 4 AND v.level
        CAST(NULL AS VARCHAR) AS c_phone FROM customer""",
     "second_source": """SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, count(*) AS lines
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""",
-    "match_strict": _equal_match("politicalFace", src.ALL_SEGMENT_RULES, _TAG),
-    "match_drop": _equal_match("politicalFace", src.SEGMENT_RULES, _TAG),
-    "match_blank": _equal_match(
+    "match_strict": equal_match_sql("politicalFace", src.ALL_SEGMENT_RULES, _TAG),
+    "match_drop": equal_match_sql("politicalFace", src.SEGMENT_RULES, _TAG),
+    "match_blank": equal_match_sql(
         "politicalFace", src.SEGMENT_RULES, f"coalesce({_TAG}, '')", "LEFT JOIN"
     ),
-    "match_default": _equal_match(
+    "match_default": equal_match_sql(
         "politicalFace", src.SEGMENT_RULES, f"coalesce({_TAG}, '359')", "LEFT JOIN"
     ),
-    "gender_tags": _equal_match("gender", fixed.GENDER_RULES, _TAG),
-    "job_tags": _equal_match("job", fixed.JOB_RULES, _TAG),
-    "nationality_tags": _equal_match("nationality", fixed.NATIONALITY_RULES, _TAG),
+    "gender_tags": equal_match_sql("gender", fixed.GENDER_RULES, _TAG),
+    "job_tags": equal_match_sql("job", fixed.JOB_RULES, _TAG),
+    "nationality_tags": equal_match_sql("nationality", fixed.NATIONALITY_RULES, _TAG),
     "age_band": f"""WITH {src.USERS_SQL}
 SELECT users.id AS "userId", CAST(r.id AS VARCHAR) AS "tagIds"
 FROM users JOIN {src.values_sql(fixed.AGE_RULES, 'r(id, rule)')}
@@ -200,7 +198,8 @@ gaps AS (
   FROM orders_in GROUP BY member)
 SELECT CAST(member AS VARCHAR) AS "userId", CAST(r.id AS VARCHAR) AS "tagIds"
 FROM gaps JOIN {src.values_sql(fixed.CYCLE_RULES, 'r(id, rule)')}
-  ON days BETWEEN CAST(split_part(rule, '-', 1) AS INTEGER) AND CAST(split_part(rule, '-', 2) AS INTEGER)""",
+  ON days BETWEEN CAST(split_part(rule, '-', 1) AS INTEGER)
+              AND CAST(split_part(rule, '-', 2) AS INTEGER)""",
     "part_size_bands": """SELECT CAST(p_partkey AS VARCHAR) AS "userId",
        CAST(s_suppkey AS VARCHAR) AS "tagIds"
 FROM part JOIN supplier ON p_partkey BETWEEN s_suppkey * 13 AND s_suppkey * 13 + 5 + s_nationkey""",

@@ -14,8 +14,9 @@ from tagloom.sources.readers import read_profile, read_source
 from tagloom.sources.versions import save_version
 from tagloom.sources.writers import write_source
 from tagloom.workload import inputs as src
+from tagloom.workload import matching
 from tagloom.workload.features import PAYMENT_SQL
-from tagloom.workload.matching import _equal_match
+from tagloom.workload.matching import equal_match_sql
 
 
 def _payment(spark, sf_dir):
@@ -140,15 +141,20 @@ _TAG = "CAST(r.id AS VARCHAR)"
 
 
 def _all_tags_sql() -> str:
-    from tagloom.workload import matching
-
     parts = [
         matching.SQL[k]
-        for k in ("gender_tags", "job_tags", "nationality_tags", "match_blank", "age_band",
-                  "purchase_cycle")
+        for k in (
+            "gender_tags",
+            "job_tags",
+            "nationality_tags",
+            "match_blank",
+            "age_band",
+            "purchase_cycle",
+        )
     ]
-    union = " UNION ALL ".join(f"SELECT * FROM ({p}) AS t{i}" for i, p in enumerate([*parts, _PAYMENT]))
-    return f"""SELECT "userId", string_agg("tagIds", ',') AS "tagIds" FROM ({union}) AS u GROUP BY 1"""
+    union = " UNION ALL ".join(f"SELECT * FROM ({part}) AS t" for part in [*parts, _PAYMENT])
+    return f"""SELECT "userId", string_agg("tagIds", ',') AS "tagIds"
+FROM ({union}) AS u GROUP BY 1"""
 
 
 def _priority_sql() -> str:
@@ -165,16 +171,16 @@ FROM best LEFT JOIN {rules} ON o_orderpriority = r.rule"""
 SQL = {
     "merge_left": _merge_sql(_PAYMENT, "LEFT JOIN"),
     "merge_full": _merge_sql(_PAYMENT, "FULL JOIN"),
-    "job_profile": _merge_sql(_equal_match("job", fixed.JOB_RULES, _TAG), "LEFT JOIN"),
+    "job_profile": _merge_sql(equal_match_sql("job", fixed.JOB_RULES, _TAG), "LEFT JOIN"),
     "nationality_profile": _merge_sql(
-        _equal_match("nationality", fixed.NATIONALITY_RULES, _TAG), "FULL JOIN"
+        equal_match_sql("nationality", fixed.NATIONALITY_RULES, _TAG), "FULL JOIN"
     ),
     "political_profile": _merge_sql(
-        _equal_match("politicalFace", src.SEGMENT_RULES, f"coalesce({_TAG}, '')", "LEFT JOIN"),
+        equal_match_sql("politicalFace", src.SEGMENT_RULES, f"coalesce({_TAG}, '')", "LEFT JOIN"),
         "FULL JOIN",
     ),
     "gender_saved": f"""WITH {src.STORED_SQL},
-fresh AS ({_equal_match("gender", fixed.GENDER_RULES, _TAG)})
+fresh AS ({equal_match_sql("gender", fixed.GENDER_RULES, _TAG)})
 SELECT coalesce(f."userId", s.user_id) AS "userId", coalesce(f."tagIds", s.tags) AS "tagIds"
 FROM fresh f FULL JOIN stored s ON f."userId" = s.user_id""",
     "profile_upsert": f"""WITH {src.STORED_SQL}, {PAYMENT_SQL},

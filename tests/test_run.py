@@ -4,6 +4,7 @@ import pytest
 
 import run_tags
 from tagloom import fixed_values as fixed
+from tagloom.plans import tag_jobs
 from tagloom.plans.standard import jobs_by_tag, standard_jobs
 from tagloom.sources.readers import read_profile
 
@@ -130,6 +131,18 @@ def test_model_is_kept_between_runs(spark, sources, tmp_path, pairs):
     assert pairs(read_profile(spark, first)) == pairs(read_profile(spark, again)) != set()
 
 
+def test_orders_in_one_pass_equal_the_single_jobs(spark, sources, pairs):
+    orders = spark.read.parquet(f"{sources}/orders")
+    as_of = "2019-10-31"
+    single = (
+        tag_jobs.cycle_tags(orders, as_of=as_of)
+        .unionByName(tag_jobs.rfm_tags(orders, as_of=as_of))
+        .unionByName(tag_jobs.psm_tags(orders))
+    )
+    found = pairs(tag_jobs.order_tags(orders, as_of=as_of))
+    assert found == pairs(single) and len(found) > 60
+
+
 def test_every_job_has_a_parent_tag():
     assert set(standard_jobs()) == set(fixed.TAG_IDS)
 
