@@ -1,6 +1,8 @@
 from datetime import date
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
@@ -134,3 +136,60 @@ def test_price_sensitivity(spark, tdon, ton, tda, tra, psm):
 def test_majority_rule(spark, total, male, female, code):
     columns = [F.lit(float(v)) for v in (total, male, female)]
     assert one(spark, measures.majority_rule(*columns, 0.6)) == code
+
+
+# Properties, each example a whole column of values.
+
+FEW = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def column(spark, values, kind, expression):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r[0] for r in df.orderBy("i").select(expression(F.col("v"))).collect()]
+
+
+def between_marks(url):
+    """The product id by its definition."""
+    if url is None or "/product/" not in url or ".html" not in url:
+        return None
+    start, end = url.index("/product/"), url.index(".html")
+    return url[start + len("/product/") : end] if end > start else None
+
+
+pieces = st.sampled_from(["/product/", ".html", "7", "a", "/", "é", "/product", "html"])
+urls = st.lists(st.one_of(st.none(), st.lists(pieces, max_size=7).map("".join)), min_size=60)
+
+
+@FEW
+@given(urls)
+def test_product_id_by_definition(spark, values):
+    assert column(spark, values, "string", text.product_id) == [between_marks(v) for v in values]
+
+
+tag_texts = st.lists(st.sampled_from(["1", "22", "3", ""]), max_size=5).map(",".join)
+tag_pairs = st.lists(st.tuples(tag_texts, tag_texts), min_size=60)
+
+
+@FEW
+@given(tag_pairs)
+def test_merging_twice_changes_nothing(spark, values):
+    df = spark.createDataFrame(values, "a string, b string")
+    merged = df.withColumn("m", text.merge_tags(F.col("a"), F.col("b")))
+    again = merged.select("m", text.merge_tags(F.col("m"), F.col("a")).alias("n")).collect()
+    swapped = merged.select("m", text.merge_tags(F.col("b"), F.col("a")).alias("n")).collect()
+    assert all(r["m"] == r["n"] for r in again + swapped)
+
+
+@FEW
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 500)), min_size=60))
+def test_band_score_by_definition(spark, values):
+    def score(value):
+        for low, high, points in fixed.RFE_FREQUENCY:
+            if value is not None and (low is None or value >= low) and (high is None or value <= high):
+                return points
+        return None
+
+    found = column(spark, values, "long", lambda v: measures.band_score(v, fixed.RFE_FREQUENCY))
+    assert found == [score(v) for v in values]
