@@ -1,6 +1,6 @@
 """Run tag jobs and save the next profile version, for spark-submit or a plain Python call.
 
-    spark-submit run_tags.py --catalogue 'inType=parquet##path=/catalogue' --profile /profile gender age
+    spark-submit run_tags.py --catalogue 'inType=parquet##path=/tags' --profile /profile gender age
 
 Sources are named as in level-4 rules. The path of the new version is printed.
 """
@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--orders", help="rule naming the orders, for the usg job")
     parser.add_argument("--as-of", help="day to count from, yyyy-MM-dd; today if not given")
     parser.add_argument("--rfm-model", help="folder of the fitted customer-value model")
-    parser.add_argument("--replace", action="store_true", help="write over stored tags, do not merge")
+    parser.add_argument("--replace", action="store_true", help="write over stored tags")
     args = parser.parse_args(argv)
 
     spark = build_session("run_tags")

@@ -65,7 +65,8 @@ def _numbered(new: DataFrame, first: int) -> DataFrame:
     bucketed = new.withColumn("_bucket", F.substring(F.md5(key), 1, ID_BUCKET_DIGITS))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    starts = starts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    starts = starts.select("_bucket", start.alias("_start"))
     within = Window.partitionBy("_bucket").orderBy("pid", "name")
     numbered = bucketed.join(F.broadcast(starts), "_bucket")
     place = F.col("_start") + F.row_number().over(within) - 1

@@ -140,10 +140,11 @@ def attach_all_tags(users: DataFrame, matches: Sequence[Match], user: str = "id"
             side = rules_frame(spark, match.rules).groupBy("rule").agg(ids.alias("id"))
         else:
             side = _one_per_rule(spark, match.rules)
-            tag = _tag_or_fallback(
-                tag, key, match.unmatched, partial(_default_tag, spark, match.rules, match.default_rule)
-            )
-        side = side.select(F.col("rule").alias(f"_key{i}"), F.col("id").cast("string").alias(f"_tag{i}"))
+            default = partial(_default_tag, spark, match.rules, match.default_rule)
+            tag = _tag_or_fallback(tag, key, match.unmatched, default)
+        side = side.select(
+            F.col("rule").alias(f"_key{i}"), F.col("id").cast("string").alias(f"_tag{i}")
+        )
         is_small = _is_short_list(match.rules)
         joined = lookup_join(joined, side, [f"_key{i}"], "left", "userId", is_small)
         tags.append(tag)

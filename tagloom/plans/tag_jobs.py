@@ -144,7 +144,8 @@ def order_tags(
     gaps = totals.select("userId", days(cycle_shift_days).alias("days"))
     cycle = attach_band_tags(gaps, cycle_rules, F.col("days"), user="userId", numeric=True)
 
-    features = totals.select("userId", days(rfm_shift_days).alias("recency"), "frequency", "monetary")
+    recency = days(rfm_shift_days).alias("recency")
+    features = totals.select("userId", recency, "frequency", "monetary")
     scored = agg.rfm_scores(features, **bands)
     columns = ["recency", "frequency", "monetary"]
     rfm = clusters.tag_by_score_clusters(scored, columns, fixed.RFM_K, rfm_rules)

@@ -45,12 +45,13 @@ def schedule_unpack(spark, sf_dir):
     """Schedules as typed columns and back."""
     models = src.models(spark, sf_dir)
     typed = models.select("id", *cat.schedule_fields(F.col("sche_time")))
+    packed = cat.schedule_text(F.col("frequency"), F.col("start_time"), F.col("end_time"))
     return typed.select(
         "id",
         "frequency",
         F.unix_timestamp("start_time").alias("start_seconds"),
         F.unix_timestamp("end_time").alias("end_seconds"),
-        cat.schedule_text(F.col("frequency"), F.col("start_time"), F.col("end_time")).alias("packed"),
+        packed.alias("packed"),
     )
 
 

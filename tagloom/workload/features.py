@@ -198,14 +198,16 @@ psm AS (
 
 ITEM_VOTES_SQL = f"""{src.ITEMS_SQL},
 bought AS (
-  SELECT o_custkey AS member, color, product_type, gender FROM coded JOIN orders ON sn = o_orderkey),
+  SELECT o_custkey AS member, color, product_type, gender
+  FROM coded JOIN orders ON sn = o_orderkey),
 votes AS (
   SELECT member, CAST(count(*) AS DOUBLE) AS total,
          CAST(sum(CASE WHEN gender = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS male,
          CAST(sum(CASE WHEN gender = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS female
   FROM bought GROUP BY member)"""
 
-_PRODUCT = """CASE WHEN instr(url, '/product/') > 0 AND instr(url, '.html') > instr(url, '/product/')
+_PRODUCT = """CASE
+     WHEN instr(url, '/product/') > 0 AND instr(url, '.html') > instr(url, '/product/')
      THEN substr(url, instr(url, '/product/') + 9,
                  instr(url, '.html') - instr(url, '/product/') - 9) END"""
 

@@ -6,6 +6,8 @@ the columns they do have; every frame grows with the table it comes from.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +79,8 @@ def band_sql(value: str, bands: list[tuple]) -> str:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.col("c_nationkey")
-    born = F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") * 7 % 29200).cast("int"))
+    days = (F.col("c_custkey") * 7 % 29200).cast("int")
+    born = F.date_add(F.lit("1950-01-01").cast("date"), days)
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("id"),
         (nation % 2 + 1).cast("string").alias("gender"),
@@ -295,7 +298,8 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
         F.min("l_suppkey").alias("supplier")
     )
-    parts = table(spark, sf_dir, "part").join(first, F.col("p_partkey") == F.col("l_partkey"), "left")
+    parts = table(spark, sf_dir, "part")
+    parts = parts.join(first, F.col("p_partkey") == F.col("l_partkey"), "left")
     supplier = F.coalesce("supplier", F.lit(0))
     source = F.concat(
         F.lit("inType=HBase##zkHosts=zk"),
@@ -322,7 +326,7 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         5,
         F.col("p_partkey") + MODEL_BASE,
     )
-    return regions.unionByName(nations).unionByName(suppliers).unionByName(models).unionByName(values)
+    return reduce(DataFrame.unionByName, (regions, nations, suppliers, models, values))
 
 
 CATALOGUE_SQL = f"""first_supplier AS (
@@ -339,8 +343,8 @@ catalogue AS (
            || CASE WHEN p_size % 2 = 0 THEN '##rowKey=id' ELSE '' END,
          4, coalesce(supplier, 0) + {SUPPLIER_BASE}
   FROM part LEFT JOIN first_supplier ON p_partkey = l_partkey
-  UNION ALL SELECT p_partkey * 2 + {VALUE_BASE}, p_brand, '0-' || p_size, 5, p_partkey + {MODEL_BASE}
-  FROM part
+  UNION ALL SELECT p_partkey * 2 + {VALUE_BASE}, p_brand, '0-' || p_size, 5,
+         p_partkey + {MODEL_BASE} FROM part
   UNION ALL SELECT p_partkey * 2 + 1 + {VALUE_BASE}, p_brand, (p_size + 1) || '-99', 5,
          p_partkey + {MODEL_BASE} FROM part)"""
 
@@ -385,7 +389,8 @@ def tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    joined = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = table(spark, sf_dir, "customer")
+    joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     fresh = F.col("n_nationkey") % 7 == 0
     return joined.select(
         F.when(fresh, F.concat(F.lit("NEW "), "r_name")).otherwise(F.col("r_name")).alias("level1"),
@@ -397,4 +402,5 @@ def tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 PATHS_SQL = """paths AS (
   SELECT CASE WHEN n_nationkey % 7 = 0 THEN 'NEW ' || r_name ELSE r_name END AS level1,
          n_name AS level2, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS level3
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey)"""

@@ -265,7 +265,8 @@ FROM slots JOIN spans USING (pos)""",
     "libsvm_roundtrip": f"""WITH {_SLOTS}
 SELECT CAST(label AS DOUBLE) AS label, pos, count(*) AS n, min(value) AS low, max(value) AS high
 FROM slots GROUP BY label, pos""",
-    "csv_roundtrip": """SELECT CAST(embedding[1] AS DOUBLE) AS m1, CAST(embedding[2] AS DOUBLE) AS m2,
+    "csv_roundtrip": """SELECT
+       CAST(embedding[1] AS DOUBLE) AS m1, CAST(embedding[2] AS DOUBLE) AS m2,
        CAST(embedding[3] AS DOUBLE) AS m3, CAST(embedding[4] AS DOUBLE) AS m4,
        's' || label AS "Species" FROM embeddings""",
     "top_orders": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders

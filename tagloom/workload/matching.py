@@ -32,7 +32,9 @@ def kv_rule_parse(spark, sf_dir):
 def rules_of_models(spark, sf_dir):
     """The level-5 rules of every level-4 tag, with its source rule."""
     tags = src.catalogue(spark, sf_dir)
-    model = tags.where("level = 4").select(F.col("id").alias("tag_id"), F.col("rule").alias("source"))
+    model = tags.where("level = 4").select(
+        F.col("id").alias("tag_id"), F.col("rule").alias("source")
+    )
     value = tags.where("level = 5").select("id", "rule", "pid")
     return model.join(value, F.col("tag_id") == F.col("pid")).drop("pid")
 

@@ -35,12 +35,16 @@ def test_tags_with_models(spark):
         "id long, tag_id long, model_name string, sche_time string",
     )
     rows = cat.with_models(cat.children(tags(spark), 4), models).collect()
-    assert {(r["id"], r["model_id"], r["model_name"]) for r in rows} == {(5, 70, "m"), (6, None, None)}
+    assert {(r["id"], r["model_id"], r["model_name"]) for r in rows} == {
+        (5, 70, "m"),
+        (6, None, None),
+    }
 
 
 def add(spark, paths):
     df = spark.createDataFrame(paths, "level1 string, level2 string, level3 string")
-    return sorted((r["id"], r["name"], r["level"], r["pid"]) for r in cat.add_paths(tags(spark), df).collect())
+    rows = cat.add_paths(tags(spark), df).collect()
+    return sorted((r["id"], r["name"], r["level"], r["pid"]) for r in rows)
 
 
 def test_known_path_adds_nothing(spark):

@@ -15,11 +15,16 @@ def shop(spark):
     types = [*fixed.TYPE_CODES, "unknown"]
     colours = F.array(*[F.lit(n) for n in names])
     kinds = F.array(*[F.lit(t) for t in types])
+
+
+    def pick(seed, items):
+        return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(len(items))).cast("int")
+
     order = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 300)
     items = spark.range(6000).select(
         F.concat(F.lit("o"), order).alias("cOrderSn"),
-        F.get(colours, (F.pmod(F.xxhash64("id"), F.lit(len(names)))).cast("int")).alias("ogColor"),
-        F.get(kinds, (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(len(types)))).cast("int")).alias("productType"),
+        F.get(colours, pick(0, names)).alias("ogColor"),
+        F.get(kinds, pick(1, types)).alias("productType"),
         F.col("id").alias("itemId"),
     )
     orders = spark.range(280).select(
@@ -39,7 +44,8 @@ def test_item_features(frame):
             ("4", None, "Haier/海尔冰箱", "4"),
         ],
     )
-    found = {r["cOrderSn"]: (r["color"], r["productType"], r["gender"]) for r in classify.item_features(items).collect()}
+    rows = classify.item_features(items).collect()
+    found = {r["cOrderSn"]: (r["color"], r["productType"], r["gender"]) for r in rows}
     assert found == {"1": (4, 28, 1), "2": (2, 16, 0), "3": (0, 23, 1), "4": (0, 10, 0)}
 
 
@@ -61,10 +67,12 @@ def test_user_items_against_a_plain_join(shop, pairs):
 
 
 def test_repeated_order_rows_count_as_in_a_join(frame, pairs):
-    items = frame("cOrderSn,ogColor,productType", [("1", "白色", "x"), ("1", "黑色", "x"), ("9", "x", "x")])
+    rows = [("1", "白色", "x"), ("1", "黑色", "x"), ("9", "x", "x")]
+    items = frame("cOrderSn,ogColor,productType", rows)
     orders = frame("memberId,orderSn", [("a", "1"), ("b", "1"), ("b", "1")])
     coded = classify.item_features(items)
-    assert pairs(classify.votes(coded, orders, "gender")) == {("a", 2.0, 1.0, 1.0), ("b", 4.0, 2.0, 2.0)}
+    found = pairs(classify.votes(coded, orders, "gender"))
+    assert found == {("a", 2.0, 1.0, 1.0), ("b", 4.0, 2.0, 2.0)}
     kinds = classify.item_kinds(coded, orders)
     assert sorted(r["n"] for r in kinds.collect()) == [3, 3]
 
@@ -78,7 +86,7 @@ def test_weighted_tree_equals_row_by_row_tree(shop):
     }
     rows = classify.item_features(items).join(orders, F.col("cOrderSn") == F.col("orderSn"))
     rows = VectorAssembler(inputCols=["color", "productType"], outputCol="v").transform(rows)
-    tree = DecisionTreeClassifier(featuresCol="v", labelCol="gender", impurity="gini", maxDepth=5, maxBins=5)
+    tree = DecisionTreeClassifier(featuresCol="v", labelCol="gender", **fixed.USG_TREE)
     plain = tree.fit(rows.where("train")).transform(rows)
     assert predicted == {(r["color"], r["productType"]): r["prediction"] for r in plain.collect()}
 
@@ -98,7 +106,11 @@ def test_usg_tags(shop):
         ),
         orders,
     ).collect()
-    code = lambda r: "57" if r["male"] / r["total"] >= 0.6 else "58" if r["female"] / r["total"] >= 0.6 else "59"
+
+    def code(row):
+        shares = {"57": row["male"] / row["total"], "58": row["female"] / row["total"]}
+        return next((tag for tag, share in shares.items() if share >= 0.6), "59")
+
     assert {(r["userId"], code(r)) for r in votes} == {tuple(r) for r in tagged}
 
 
@@ -115,9 +127,8 @@ def test_quality_of_known_predictions(spark):
     df = spark.createDataFrame(rows, "label double, predict double")
     assert classify.accuracy(df) == {"accuracy": 0.75, "error": 0.25}
     assert classify.area_under_roc(df) == pytest.approx((1 + 2 / 3) / 2)
-    weighted = spark.createDataFrame(
-        [(0.0, 0.0, 2.0), (0.0, 1.0, 1.0), (1.0, 1.0, 1.0)], "label double, predict double, w double"
-    )
+    rows = [(0.0, 0.0, 2.0), (0.0, 1.0, 1.0), (1.0, 1.0, 1.0)]
+    weighted = spark.createDataFrame(rows, "label double, predict double, w double")
     assert classify.accuracy(weighted, "w")["accuracy"] == 0.75
     assert classify.area_under_roc(weighted, "w") == pytest.approx((1 + 2 / 3) / 2)
 
@@ -127,7 +138,8 @@ def test_quality_of_known_predictions(spark):
     [(5.0, 3.0, 2.0, "57"), (6.0, 4.0, 2.0, "57"), (5.0, 1.0, 4.0, "58"), (2.0, 1.0, 1.0, "59")],
 )
 def test_vote_tags(spark, total, male, female, tag):
-    voted = spark.createDataFrame([("1", total, male, female)], "userId string, total double, male double, female double")
+    schema = "userId string, total double, male double, female double"
+    voted = spark.createDataFrame([("1", total, male, female)], schema)
     assert classify.vote_tags(voted, fixed.USG_RULES).first()["tagIds"] == tag
 
 
@@ -157,12 +169,13 @@ def test_iris_tree(spark):
 
 def test_hot_order_is_split_by_adaptive_execution(spark, pairs):
     """A third of the order rows share one number: the join into the votes is split."""
+    number = F.concat(F.lit("o"), F.col("id") % 500)
     items = spark.range(20000).select(
-        F.concat(F.lit("o"), F.col("id") % 500).alias("cOrderSn"), (F.col("id") % 2).alias("predict")
+        number.alias("cOrderSn"), (F.col("id") % 2).alias("predict")
     )
     orders = spark.range(60000).select(
         F.col("id").cast("string").alias("memberId"),
-        F.when(F.col("id") % 3 == 0, "o7").otherwise(F.concat(F.lit("o"), F.col("id") % 500)).alias("orderSn"),
+        F.when(F.col("id") % 3 == 0, "o7").otherwise(number).alias("orderSn"),
     )
     expected = pairs(classify.votes(items, orders))
     small = {

@@ -60,10 +60,11 @@ def scored(spark):
 
 
 def test_score_clusters_do_not_depend_on_partitioning(scored, pairs):
-    found = [
-        frozenset(pairs(clusters.tag_by_score_clusters(scored.repartition(n), RFM, 7, fixed.RFM_RULES)))
-        for n in (1, 3, 7)
-    ]
+    def tagged(n):
+        rows = scored.repartition(n)
+        return frozenset(pairs(clusters.tag_by_score_clusters(rows, RFM, 7, fixed.RFM_RULES)))
+
+    found = [tagged(n) for n in (1, 3, 7)]
     assert len(set(found)) == 1
     assert len(found[0]) == 3000
     assert {tag for _, tag in found[0]} == {str(i) for i, _ in fixed.RFM_RULES}
@@ -121,12 +122,13 @@ def test_psm_tags(frame, spark):
     rows = [(str(u), "100", str(u % 5 * 10 + 1)) for u in range(200)]
     orders = frame("memberId,orderAmount,couponCodeValue", rows).withColumn("orderSn", F.lit("x"))
     tagged = {r["userId"]: r["tagIds"] for r in tag_jobs.psm_tags(orders).collect()}
-    assert {u: tagged[u] for u in "01234"} == {"4": "51", "3": "52", "2": "53", "1": "54", "0": "55"}
+    assert [tagged[u] for u in "43210"] == ["51", "52", "53", "54", "55"]
     assert len(tagged) == 200
 
 
 def test_cluster_ranges_and_confusion(spark):
-    df = spark.createDataFrame([(1, 2.0, "a"), (0, 5.0, "a"), (1, 3.0, "b")], "predict int, v double, label string")
+    rows = [(1, 2.0, "a"), (0, 5.0, "a"), (1, 3.0, "b")]
+    df = spark.createDataFrame(rows, "predict int, v double, label string")
     assert [tuple(r) for r in clusters.cluster_ranges(df, F.col("v")).collect()] == [
         (0, 5.0, 5.0),
         (1, 3.0, 2.0),
@@ -140,17 +142,17 @@ def test_cluster_ranges_and_confusion(spark):
 
 def test_iris_clusters(spark):
     """Three groups far apart fall into three clusters."""
+    group = F.col("id") % 3
+    slots = [(group * (i + 1) * 10 + F.rand(i)).cast("double") for i in range(4)]
     rows = spark.range(90).select(
-        (F.col("id") % 3).cast("double").alias("label"),
-        array_to_vector(
-            F.array(*[(F.col("id") % 3 * (i + 1) * 10 + F.rand(i)).cast("double") for i in range(4)])
-        ).alias("features"),
+        group.cast("double").alias("label"), array_to_vector(F.array(*slots)).alias("features")
     )
     counts = tag_jobs.iris_clusters(rows).collect()
     assert sorted(r["count"] for r in counts) == [30, 30, 30]
 
 
 def test_min_max_scale(spark):
-    df = spark.createDataFrame([(Vectors.dense(1.0, 5.0),), (Vectors.dense(3.0, 5.0),)], ["features"])
+    rows = [(Vectors.dense(1.0, 5.0),), (Vectors.dense(3.0, 5.0),)]
+    df = spark.createDataFrame(rows, ["features"])
     found = [list(r["scalerFeatures"]) for r in clusters.min_max_scale(df).collect()]
     assert found == [[0.0, 0.5], [1.0, 0.5]]

@@ -58,10 +58,8 @@ def test_rfe_features(frame, pairs):
 
 
 def test_most_frequent_code(frame, pairs):
-    orders = frame(
-        "memberId,paymentCode",
-        [("1", "b"), ("1", "a"), ("1", "a"), ("1", "b"), ("2", None), ("2", None), ("2", "z"), ("3", None)],
-    )
+    rows = [("1", code) for code in "baab"] + [("2", None), ("2", None), ("2", "z"), ("3", None)]
+    orders = frame("memberId,paymentCode", rows)
     assert pairs(agg.most_frequent_code(orders)) == {("1", "a", 2), ("2", "z", 1), ("3", None, 0)}
 
 

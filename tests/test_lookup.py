@@ -52,7 +52,8 @@ def test_blank(frame, pairs, as_given):
 
 
 def test_default(frame, pairs, as_given):
-    orders = frame("memberId,paymentCode", [("1", "alipay"), ("2", "bitcoin"), ("3", None), ("4", "cod")])
+    rows = [("1", "alipay"), ("2", "bitcoin"), ("3", None), ("4", "cod")]
+    orders = frame("memberId,paymentCode", rows)
     tagged = tag_jobs.payment_tags(orders, as_given(fixed.PAYMENT_RULES))
     assert pairs(tagged) == {("1", "30"), ("2", "35"), ("3", "35"), ("4", "34")}
 
@@ -95,10 +96,8 @@ def test_all_at_once_without_tags_gives_no_row(frame, as_given):
 
 
 def test_age(frame, pairs, as_given):
-    users = frame(
-        "id,birthday",
-        [("1", "1992-05-31"), ("2", "1980-10-13"), ("3", "1976-05-08"), ("4", "1949-12-31"), ("5", None)],
-    )
+    days = ["1992-05-31", "1980-10-13", "1976-05-08", "1949-12-31", None]
+    users = frame("id,birthday", [(str(i), day) for i, day in enumerate(days, start=1)])
     tagged = tag_jobs.age_tags(users, as_given(fixed.AGE_RULES))
     assert pairs(tagged) == {("1", "19"), ("2", "18"), ("3", "17")}
 
@@ -109,7 +108,8 @@ def test_cycle(spark, frame, pairs, as_given):
     gaps = {"0": 0, "7": 7, "8": 8, "30": 30, "60": 60, "90": 90, "91": 91, "early": -1}
     rows = [(user, str(shifted - gap * day)) for user, gap in gaps.items()]
     rows += [("7", str(shifted - 80 * day)), ("bad", "n/a"), ("none", None)]
-    tagged = tag_jobs.cycle_tags(frame("memberId,finishTime", rows), as_given(fixed.CYCLE_RULES), as_of)
+    orders = frame("memberId,finishTime", rows)
+    tagged = tag_jobs.cycle_tags(orders, as_given(fixed.CYCLE_RULES), as_of)
     assert pairs(tagged) == {
         ("0", "24"),
         ("7", "24"),
@@ -136,10 +136,11 @@ def test_many_bands_join_by_cell(spark, monkeypatch, numeric, shuffled):
     values = [draw.randrange(0, 150000) for _ in range(300)] + [4242] * 150
     users = spark.createDataFrame(list(enumerate(show(v) for v in values)), "id long, v string")
     rules = rules_df(spark, [(i, f"{show(a)}-{show(b)}") for i, a, b in bands])
-    found = attach_band_tags(users, rules, F.col("v"), numeric=numeric).collect()
+    tagged = attach_band_tags(users, rules, F.col("v"), numeric=numeric)
+    plan = tagged._jdf.queryExecution().toString()
+    found = tagged.collect()
     expected = [(str(u), str(i)) for u, v in enumerate(values) for i, a, b in bands if a <= v <= b]
     assert sorted(tuple(r) for r in found) == sorted(expected)
-    plan = attach_band_tags(users, rules, F.col("v"), numeric=numeric)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert ("_salt" in plan) == shuffled
 

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from check_twins import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-SHORT_BAND_QUERIES = ("age_band", "purchase_cycle", "part_size_bands", "profile_all")
+SHORT_BAND_QUERIES = ("age_band", "purchase_cycle", "part_size_bands", "profile_all", "order_tags")
 
 
 @pytest.fixture(scope="module")

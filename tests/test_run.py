@@ -49,11 +49,11 @@ def sources(spark, tmp_path_factory):
         df.write.parquet(f"{root}/{name}")
 
     number = [(u, int(u)) for u in USERS]
-    save(
-        "users",
-        "id,gender,job,nationality,politicalFace,birthday",
-        [(u, str(n % 2 + 1), str(n % 6 + 1), str(n % 3), str(n % 4), f"19{50 + n}-06-15") for u, n in number],
-    )
+    users = [
+        (u, str(n % 2 + 1), str(n % 6 + 1), str(n % 3), str(n % 4), f"19{50 + n}-06-15")
+        for u, n in number
+    ]
+    save("users", "id,gender,job,nationality,politicalFace,birthday", users)
     codes = ["alipay", "cod", "bitcoin"]
     orders = [
         (u, f"{u}-{i}", str(100 * n), str(SUMMER - 86400 * (n + i)), codes[n % 3], str(n % 5 * 3))
@@ -66,23 +66,21 @@ def sources(spark, tmp_path_factory):
         "cOrderSn,ogColor,productType",
         [(o[1], "白色" if int(o[0]) % 2 else "黑色", "烤箱") for o in orders],
     )
-    save(
-        "views",
-        "global_user_id,loc_url,log_time",
-        [
-            (u, f"http://shop.example/product/{1000 + (n + i) % 9}.html", f"2019-07-{1 + n % 28:02d} 10:00:00")
-            for u, n in number
-            for i in range(12)
-        ],
-    )
+    page = "http://shop.example/product/{}.html".format
+    views = [
+        (u, page(1000 + (n + i) % 9), f"2019-07-{1 + n % 28:02d} 10:00:00")
+        for u, n in number
+        for i in range(12)
+    ]
+    save("views", "global_user_id,loc_url,log_time", views)
     tags = []
     for name, rules in RULES.items():
         table, fields = FIELDS[name]
         parent = fixed.TAG_IDS[name]
         rule = f"inType=parquet##path={root}/{table}##selectFields={fields}"
         tags += [(parent, name, rule, 4, 3)] + [(i, name, r, 5, parent) for i, r in rules]
-    catalogue = spark.createDataFrame(tags, "id long, name string, rule string, level int, pid long")
-    catalogue.write.parquet(f"{root}/catalogue")
+    schema = "id long, name string, rule string, level int, pid long"
+    spark.createDataFrame(tags, schema).write.parquet(f"{root}/catalogue")
     return root
 
 
@@ -106,7 +104,8 @@ def test_all_jobs_in_one_run(spark, sources, tmp_path):
         ids = {str(i) for i, _ in RULES[name]}
         assert all(len(found & ids) == 1 for found in tags.values()), name
     assert "5" in tags["2"] and "6" in tags["1"]
-    assert {u for u, found in tags.items() if "420" in found} == {u for u in USERS if int(u) % 3 == 1}
+    natives = {u for u, found in tags.items() if "420" in found}
+    assert natives == {u for u in USERS if int(u) % 3 == 1}
     assert {"16", "30"} <= tags["12"] and "35" in tags["2"]
     # Odd users buy what the rule labels female.
     assert {u for u, found in tags.items() if "58" in found} == {u for u in USERS if int(u) % 2}

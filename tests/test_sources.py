@@ -27,8 +27,9 @@ def users_path(spark, frame, tmp_path):
 def test_select_fields(spark, users_path):
     df = spark.read.parquet(users_path)
     picked = readers.select_fields(df, ["job", "id", "missing"])
-    assert [t for _, t in picked.dtypes] == ["string"] * 3 and picked.columns == ["job", "id", "missing"]
-    assert {tuple(r) for r in picked.collect()} == {("3", "1", None), ("5", "10", None), (None, "101", None)}
+    assert picked.dtypes == [("job", "string"), ("id", "string"), ("missing", "string")]
+    rows = {tuple(r) for r in picked.collect()}
+    assert rows == {("3", "1", None), ("5", "10", None), (None, "101", None)}
     assert dict(readers.select_fields(df, ["job"], as_strings=False).dtypes) == {"job": "int"}
 
 
@@ -61,17 +62,17 @@ def test_source_filter_and_columns_reach_the_scan(spark, users_path):
 def test_hbase_options():
     rule = {"zkHosts": "z1", "zkPort": "2181", "hbaseTable": "tbl_users", "family": "detail"}
     options = hbase_options(rule, ["id", "job"])
-    assert options["hbase.columns.mapping"] == "_key STRING :key, id STRING detail:id, job STRING detail:job"
+    cells = "_key STRING :key, id STRING detail:id, job STRING detail:job"
+    assert options["hbase.columns.mapping"] == cells
     assert options["hbase.table"] == "tbl_users"
     keyed = hbase_options(rule | {"rowKey": "id"}, ["id", "job"])
     assert keyed["hbase.columns.mapping"] == "id STRING :key, job STRING detail:job"
 
 
 def test_rules_of_a_tag(spark):
-    tags = spark.createDataFrame(
-        [(4, "g", "inType=parquet##path=/x##selectFields=id,gender", 4, 3), (5, "m", "1", 5, 4), (7, "j", None, 4, 3)],
-        CATALOGUE,
-    )
+    rule = "inType=parquet##path=/x##selectFields=id,gender"
+    rows = [(4, "g", rule, 4, 3), (5, "m", "1", 5, 4), (7, "j", None, 4, 3)]
+    tags = spark.createDataFrame(rows, CATALOGUE)
     assert readers.source_options(tags, 4) == {
         "inType": "parquet",
         "path": "/x",
@@ -85,10 +86,10 @@ def test_rules_of_a_tag(spark):
 
 def test_source_descriptor(spark):
     options = rule_options(F.lit("inType=HBase##zkPort=2181"))
-    row = spark.range(1).select(
-        readers.source_descriptor(options).alias("n"), readers.source_descriptor(options, "").alias("e")
-    ).first()
-    assert row["n"].asDict() == dict.fromkeys(fixed.SOURCE_KEYS) | {"inType": "HBase", "zkPort": "2181"}
+    plain, filled = readers.source_descriptor(options), readers.source_descriptor(options, "")
+    row = spark.range(1).select(plain.alias("n"), filled.alias("e")).first()
+    given = {"inType": "HBase", "zkPort": "2181"}
+    assert row["n"].asDict() == dict.fromkeys(fixed.SOURCE_KEYS) | given
     assert row["e"]["family"] == ""
 
 
@@ -97,8 +98,9 @@ def test_libsvm(spark, tmp_path):
     path = f"file://{tmp_path}/svm"
     spark.createDataFrame(rows, ["label", "features"]).write.format("libsvm").save(path)
     for width in (2, None):
-        found = readers.read_libsvm(spark, path, width).orderBy("label").collect()
-        assert [(r["label"], list(r["features"].toArray())) for r in found] == [(1.0, [5.1, 3.5]), (2.0, [0.0, 4.0])]
+        rows = readers.read_libsvm(spark, path, width).orderBy("label").collect()
+        found = [(r["label"], list(r["features"].toArray())) for r in rows]
+        assert found == [(1.0, [5.1, 3.5]), (2.0, [0.0, 4.0])]
 
 
 def test_measurements(spark, tmp_path):
@@ -157,10 +159,12 @@ def test_run_tag_jobs_without_merge(spark, frame, users_path, pairs, tmp_path):
     assert pairs(readers.read_profile(spark, path)) == {("1", "10,6"), ("10", "6"), ("77", "9")}
 
 
-def test_scratch_is_the_folder_the_session_names(spark, monkeypatch, tmp_path):
+def test_scratch_is_the_folder_the_session_names(spark):
     root = scratch_root(spark)
-    assert root == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
-    assert scratch_path(spark, "a").startswith(root) and scratch_path(spark, "a") != scratch_path(spark, "a")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert root == (named or spark.sparkContext.getCheckpointDir())
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first.startswith(root) and first != second
 
 
 def test_store_source(spark, frame, pairs, tmp_path):
