@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
 from tagloom.functions.text import id_list
-from tagloom.session import scratch_root
+from tagloom.session import scratch_path, scratch_root
 
-MIN_BLOCKS = 10
-RATINGS_PER_BLOCK = 2_000_000
+MIN_BLOCKS, MAX_BLOCKS = 10, 2_000
+RATINGS_PER_BLOCK = 5_000_000
 
 
 def fit_preferences(ratings: DataFrame) -> ALSModel:
@@ -21,7 +21,7 @@ def fit_preferences(ratings: DataFrame) -> ALSModel:
     its own lineage every few iterations in the session's checkpoint folder.
     """
     scratch_root(ratings.sparkSession)
-    blocks = max(MIN_BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK))
+    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK)))
     return ALS(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
@@ -33,6 +33,18 @@ def fit_preferences(ratings: DataFrame) -> ALSModel:
     ).fit(ratings)
 
 
+def stored_model(model: ALSModel) -> ALSModel:
+    """The model written to the scratch folder and read back.
+
+    Fitted factors live in executor memory behind ten iterations of lineage. Read from files, a
+    lost executor costs a re-read, and the factors come in partitions by size, not by block, so
+    that scoring takes far fewer tasks.
+    """
+    path = scratch_path(model.userFactors.sparkSession, "als")
+    model.write().save(path)
+    return ALSModel.load(path)
+
+
 def top_products(model: ALSModel, n: int = fixed.ALS_TOP_N) -> DataFrame:
     """(userId, tagIds) with the ids of the `n` best products of each user, best first."""
     best = model.recommendForAllUsers(n)

@@ -196,7 +196,8 @@ def usg_quality(items: DataFrame, orders: DataFrame) -> dict[str, dict[str, floa
 def brand_tags(views: DataFrame) -> DataFrame:
     """Product preference (T13): `tagIds` lists product ids, best first."""
     ratings = cut_lineage(agg.product_ratings(views))
-    return recommend.top_products(recommend.fit_preferences(ratings))
+    model = recommend.stored_model(recommend.fit_preferences(ratings))
+    return recommend.top_products(model)
 
 
 def iris_clusters(rows: DataFrame, k: int = fixed.IRIS_K) -> DataFrame:

@@ -18,7 +18,8 @@ def test_top_products_against_all_scores(spark):
     model = recommend.fit_preferences(product_ratings(views(spark)))
     users = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
     products = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
-    found = {r["userId"]: r["tagIds"].split(",") for r in recommend.top_products(model).collect()}
+    stored = recommend.stored_model(model)
+    found = {r["userId"]: r["tagIds"].split(",") for r in recommend.top_products(stored).collect()}
     assert set(found) == {str(u) for u in users}
     for user, factors in users.items():
         scores = {p: float(factors @ f) for p, f in products.items()}
