@@ -80,7 +80,8 @@ def add_paths(catalogue: DataFrame, paths: DataFrame) -> DataFrame:
     above; what is not there yet gets a new id.
     """
     names = [f"level{i}" for i in range(1, PATH_LEVELS + 1)]
-    open_paths = paths.select(*names).distinct().withColumn("_pid", F.lit(ROOT_PID).cast("long"))
+    open_paths = cut_lineage(paths.select(*names).distinct())
+    open_paths = open_paths.withColumn("_pid", F.lit(ROOT_PID).cast("long"))
     first = (catalogue.agg(F.max("id")).first()[0] or 0) + 1
     added = None
     for level, name in enumerate(names, start=1):
