@@ -43,7 +43,7 @@ def days_since_timestamp(
 
 
 def band_score(value: Column, bands: Sequence[tuple[float | None, float | None, int]]) -> Column:
-    """Score of the first band holding `value`, null between bands."""
+    """Score of the first band holding `value`, null between bands."""
     score = F.lit(None).cast("int")
     for low, high, points in reversed(bands):
         inside = value.isNotNull()

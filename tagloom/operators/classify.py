@@ -124,7 +124,8 @@ def tree_pipeline(
     max_categories: int | None = None,
     weight: str | None = None,
 ) -> Pipeline:
-    """Index the label, assemble and index features, grow a tree, restore labels."""
+    """Index the label (L7), assemble (L1) and index features (L8), grow a tree (L9), restore
+    labels (L10): one pipeline (L11)."""
     stages = [indexer, VectorAssembler(inputCols=list(features), outputCol="features")]
     tree_input = "features"
     if max_categories is not None:

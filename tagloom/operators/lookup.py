@@ -136,7 +136,7 @@ def attach_all_tags(users: DataFrame, matches: Sequence[Match], user: str = "id"
     for i, match in enumerate(matches):
         key, tag = F.col(f"_key{i}"), F.col(f"_tag{i}")
         if match.unmatched == "drop":
-            ids = F.array_join(F.collect_set(F.col("id").cast("string")), ",")
+            ids = F.array_join(F.sort_array(F.collect_set(F.col("id").cast("string"))), ",")
             side = rules_frame(spark, match.rules).groupBy("rule").agg(ids.alias("id"))
         else:
             side = _one_per_rule(spark, match.rules)
@@ -159,8 +159,8 @@ def attach_band_tags(
 ) -> DataFrame:
     """(userId, tagIds) for every `a-b` rule whose band holds `value`, ends included.
 
-    Text bands compare as text (J5); with `numeric` both ends are integers (J6). Users outside
-    every band give no row.
+    Text bands compare as text (J5); with `numeric` both ends are integers (J6). The test is
+    inclusive at both ends (P5). Users outside every band give no row.
     """
     frame = rules_frame(users.sparkSession, rules)
     low, high = band_start(F.col("rule")), band_end(F.col("rule"))

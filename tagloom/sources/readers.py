@@ -13,7 +13,7 @@ from tagloom.functions.rules import rule_options
 from tagloom.sources.hbase import HBASE_FORMAT, hbase_options
 from tagloom.sources.versions import latest_version
 
-FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "libsvm")
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "libsvm")
 
 IRIS_COLUMNS = ["Sepal_Length", "Sepal_Width", "Petal_Length", "Petal_Width"]
 
