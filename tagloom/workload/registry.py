@@ -14,7 +14,7 @@ MODULES = (matching, features, learning, profiles, catalogues)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _configured(query: Query) -> Query:
+def configured(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(apply_engine_conf(spark), sf_dir)
 
@@ -23,7 +23,7 @@ def _configured(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _configured(q) for module in MODULES for name, q in module.QUERIES.items()}
+    return {name: configured(q) for module in MODULES for name, q in module.QUERIES.items()}
 
 
 def all_sql() -> dict[str, str]:
