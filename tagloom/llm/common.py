@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

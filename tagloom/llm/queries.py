@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagloom.llm import bpe
+from tagloom.llm import bpe, token_files
 from tagloom.llm.common import table
+from tagloom.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +19,18 @@ def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary))
 
 
-QUERIES = {"op2_bpe_trie": op2_bpe_trie}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, size and checksum, from token files written and read back."""
+    path = scratch_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, bpe.read_vocabulary(VOCABULARY), path)
+    files = token_files.read_token_files(spark, path)
+    return files.select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+QUERIES = {
+    "op2_bpe_trie": op2_bpe_trie,
+    "op9_token_files": op9_token_files,
+}
 
 SQL: dict[str, str] = {}
