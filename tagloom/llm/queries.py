@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, token_files
+from tagloom.llm import bpe, simhash, token_files
 from tagloom.llm.common import table
 from tagloom.session import scratch_path
 
@@ -19,6 +19,13 @@ def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary))
 
 
+def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest id of its near-duplicates."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, size and checksum, from token files written and read back."""
     path = scratch_path(spark, "tokens")
@@ -30,6 +37,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe_trie": op2_bpe_trie,
+    "op3_simhash_anchors": op3_simhash_anchors,
     "op9_token_files": op9_token_files,
 }
 
