@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, simhash, token_files
+from tagloom.llm import bpe, repeats, simhash, token_files
 from tagloom.llm.common import table
 from tagloom.session import scratch_path
 
@@ -35,10 +35,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
+def op10_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 words that a smaller id holds."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_bpe_trie": op2_bpe_trie,
     "op3_simhash_anchors": op3_simhash_anchors,
     "op9_token_files": op9_token_files,
+    "op10_seed_extend": op10_seed_extend,
 }
 
 SQL: dict[str, str] = {}
