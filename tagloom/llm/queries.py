@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, repeats, simhash, token_files
+from tagloom.llm import bpe, quality, repeats, simhash, token_files
 from tagloom.llm.common import table
 from tagloom.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score by a factorisation machine."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = quality.train(docs, labels)
+    scored = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), quality.score(machine, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the prefix trie and decoded again, as digests."""
     vocabulary = bpe.read_vocabulary(VOCABULARY)
@@ -42,6 +50,7 @@ def op10_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_fm": op1_quality_fm,
     "op2_bpe_trie": op2_bpe_trie,
     "op3_simhash_anchors": op3_simhash_anchors,
     "op9_token_files": op9_token_files,
