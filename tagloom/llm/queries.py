@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, quality, repeats, simhash, token_files
+from tagloom.llm import bpe, decontaminate, main_text, quality, repeats, simhash, token_files
 from tagloom.llm.common import table
 from tagloom.session import scratch_path
 
@@ -34,6 +34,19 @@ def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def op5_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = main_text.with_main_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_rare_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage like a benchmark item, with score and place."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.best_matches(decontaminate.contaminated(docs, items))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "score", "first_word", "end_word")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, size and checksum, from token files written and read back."""
     path = scratch_path(spark, "tokens")
@@ -53,6 +66,8 @@ QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_bpe_trie": op2_bpe_trie,
     "op3_simhash_anchors": op3_simhash_anchors,
+    "op5_min_cut": op5_min_cut,
+    "op8_rare_seeds": op8_rare_seeds,
     "op9_token_files": op9_token_files,
     "op10_seed_extend": op10_seed_extend,
 }
