@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, decontaminate, main_text, quality, repeats, simhash, token_files
+from tagloom.llm import (
+    bpe,
+    decontaminate,
+    hash_tree,
+    main_text,
+    quality,
+    repeats,
+    rules,
+    simhash,
+    token_files,
+    url_lists,
+)
 from tagloom.llm.common import table
 from tagloom.session import scratch_path
 
@@ -34,12 +45,32 @@ def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot, now and with one more shard."""
+    return hash_tree.place(table(spark, sf_dir, "documents"))
+
+
 def op5_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = main_text.with_main_text(table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures, rule failures and the verdict with its host."""
+    judged = rules.with_verdicts(rules.measures(table(spark, sf_dir, "documents")))
+    measured = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select(F.col("id").alias("doc_id"), *measured)
+
+
+def op7_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page and the lists it was on when it was fetched."""
+    pages = table(spark, sf_dir, "pages")
+    judged = url_lists.judge(url_lists.captures_of(pages), url_lists.entries_of(pages))
+    fetched = F.date_format("fetched", "yyyy-MM-dd").alias("fetched_on")
+    return judged.select("page_id", "url", fetched, "blocked", F.array_join("lists", ",").alias("lists"))
+
+
 def op8_rare_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a passage like a benchmark item, with score and place."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -66,10 +97,13 @@ QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_bpe_trie": op2_bpe_trie,
     "op3_simhash_anchors": op3_simhash_anchors,
+    "op4_hash_tree": op4_hash_tree,
     "op5_min_cut": op5_min_cut,
+    "op6_host_rules": op6_host_rules,
+    "op7_temporal_lists": op7_temporal_lists,
     "op8_rare_seeds": op8_rare_seeds,
     "op9_token_files": op9_token_files,
     "op10_seed_extend": op10_seed_extend,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op6_host_rules": rules.OP6_SQL, "op7_temporal_lists": url_lists.OP7_SQL}
