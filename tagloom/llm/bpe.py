@@ -21,7 +21,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import exact, fresh, text_slices
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 CACHE_BORDERS = 400_000
 TRIE_WORDS = 50_000
 
 #: A blank between two characters that are no white space: no token reaches over it.
+_SPACE = r"[\s\pZ\x0b\x1c-\x1f\x{85}]"  # for Arrow's regular expressions
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -64,8 +65,7 @@ class TrieEncoder:
         self.begins = {token[:i] for token in self.ids for i in range(len(token) + 1)}
         self.alone: dict[int, bool] = {}
         self.borders: dict[tuple[int, int], bool] = {}
-        self.steps: dict[tuple[str, str], str] = {}
-        self.ends: dict[str, list[tuple[int, int]]] = {}
+        self.states: dict[str, tuple] = {}
 
     def _border_holds(self, a: int, b: int) -> bool:
         """Whether merging a's and b's characters together gives a and b again."""
@@ -102,17 +102,19 @@ class TrieEncoder:
             self.alone[token] = held
         return held
 
-    def _step(self, state: str, char: str) -> str:
-        """The longest end of `state + char` that begins a token."""
-        end = state + char
+    def _state(self, end: str) -> tuple[list[tuple[int, int]], dict, str]:
+        """State of the walk after characters that end in `end`: tokens there, and next states by character.
+
+        `end` is the longest end of the path that begins a token; all states together are the
+        token automaton, made as far as it is met.
+        """
         while end not in self.begins:
             end = end[1:]
-        return end
-
-    def _ends(self, state: str) -> list[tuple[int, int]]:
-        """(length, id) of the tokens that `state` ends with, the longest first."""
-        tokens = ((len(state) - i, self.ids.get(state[i:])) for i in range(len(state)))
-        return [(n, t) for n, t in tokens if t is not None]
+        state = self.states.get(end)
+        if state is None:
+            tokens = ((len(end) - i, self.ids.get(end[i:])) for i in range(len(end)))
+            state = self.states[end] = ([(n, t) for n, t in tokens if t is not None], {}, end)
+        return state
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each word, a string over the byte alphabet."""
@@ -123,34 +125,43 @@ class TrieEncoder:
                 node = node.setdefault(char, {})
             node[""] = word
         out: dict[str, tuple[int, ...]] = {}
-        states: list[tuple[int, ...]] = [()]  # encoding of the path's prefix of each length
-        todo = [(node, char, "", 1) for char, node in trie.items() if char]
+        longest = max(map(len, words), default=0)
+        last, before = [0] * (longest + 1), [0] * (longest + 1)  # by length of the path's prefix
+        root = self._state("")
+        todo = [(node, char, root, 1) for char, node in trie.items() if char]
         if "" in trie:
             out[""] = ()
-        steps, ends, holds = self.steps, self.ends, self._border_holds
+        borders, holds, alone = self.borders, self._border_holds, self.alone
         while todo:
             node, char, above, depth = todo.pop()
-            state = steps.get((above, char))
+            state = above[1].get(char)
             if state is None:
-                if len(steps) >= CACHE_BORDERS:
-                    steps.clear()
-                state = steps[above, char] = self._step(above, char)
-            tokens = ends.get(state)
-            if tokens is None:
-                tokens = ends[state] = self._ends(state)
-            del states[depth:]
-            for size, token in tokens:
-                before = states[depth - size]
-                if holds(before[-1], token) if before else self._stands_alone(token):
-                    states.append(before + (token,))
+                state = above[1][char] = self._state(above[2] + char)
+            for size, token in state[0]:
+                start = depth - size
+                if start:
+                    held = borders.get((last[start], token))
+                    if held is None:
+                        held = holds(last[start], token)
+                else:
+                    held = alone.get(token)
+                    if held is None:
+                        held = self._stands_alone(token)
+                if held:
+                    last[depth], before[depth] = token, start
                     break
             else:
-                raise ValueError(f"no token ends at {state!r}")
+                raise ValueError(f"no token ends at {char!r}")
+            depth += 1
             for char, child in node.items():
                 if char:
-                    todo.append((child, char, state, depth + 1))
+                    todo.append((child, char, state, depth))
                 else:
-                    out[child] = states[depth]
+                    at, ids = depth - 1, []
+                    while at:
+                        ids.append(last[at])
+                        at = before[at]
+                    out[child] = tuple(ids[::-1])
         return out
 
 
@@ -172,6 +183,7 @@ class Codec:
             raise ValueError("normalizers are not supported")
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
+        self.slow = "|".join([f"^{_SPACE}|{_SPACE}$|^$", *map(re.escape, longest_first)])
         self.bytes_of = byte_table(spec)
         self.byte_start = np.zeros(len(self.bytes_of) + 1, np.int64)
         np.cumsum([len(b) for b in self.bytes_of], out=self.byte_start[1:])
@@ -185,9 +197,9 @@ class Codec:
         self.start = np.zeros(1 << 12, np.int64)
         self.count = 0
         for content, i in self.added.items():
-            self._learn([(self.bare, content)], [[i]])
+            self._learn(self.bare, [content], [[i]])
 
-    def _learn(self, keys: list[tuple[dict, str]], found: list) -> None:
+    def _learn(self, known: dict[str, int], keys: list[str], found: list) -> None:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         end, more = int(self.start[self.count]), int(sizes.sum())
         while self.count + len(found) >= len(self.start):
@@ -196,29 +208,28 @@ class Codec:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[end : end + more] = np.fromiter(chain.from_iterable(found), np.int32, more)
         self.start[self.count + 1 : self.count + 1 + len(found)] = end + np.cumsum(sizes)
-        for where, key in keys:
-            where[key] = self.count
-            self.count += 1
-
-    def _codes(self, keys: list[tuple[dict, str]]) -> np.ndarray:
-        """The numbers of pieces, unknown ones encoded first."""
-        if new := list({(id(d), k): (d, k) for d, k in keys if k not in d}.values()):
-            self._learn(new, self.encode_pieces([k if d is self.bare else " " + k for d, k in new]))
-        return np.fromiter((d[k] for d, k in keys), np.int64, len(keys))
+        known.update(zip(keys, range(self.count, self.count + len(keys))))
+        self.count += len(keys)
+
+    def _codes(self, known: dict[str, int], keys: list[str]) -> np.ndarray:
+        """The numbers of pieces, unknown ones encoded first; `known` is for bare or for spaced ones."""
+        code = np.fromiter(map(known.get, keys, repeat(-1)), np.int64, len(keys))
+        unknown = np.flatnonzero(code < 0)
+        if len(unknown):
+            new = list(dict.fromkeys(keys[i] for i in unknown))
+            lead = " " if known is self.spaced else ""
+            self._learn(known, new, self.encode_pieces([lead + k for k in new]))
+            code[unknown] = [known[keys[i]] for i in unknown]
+        return code
 
     def _slow_codes(self, text: str) -> np.ndarray:
         """The pieces of a text with added tokens, or with blanks next to other white space."""
-        keys: list[tuple[dict, str]] = []
+        codes = []
         for i, part in enumerate(self.cut.split(text) if self.cut else [text]):
-            if i % 2:
-                keys.append((self.bare, part))
-            elif part:
-                first, *rest = _LONE_BLANK.split(part)
-                keys += [(self.bare, first), *((self.spaced, k) for k in rest)]
-        return self._codes(keys)
-
-    def _slow(self, piece: str) -> bool:
-        return not piece or piece[0].isspace() or piece[-1].isspace() or bool(self.cut and self.cut.search(piece))
+            if part:
+                first, *rest = [part] if i % 2 else _LONE_BLANK.split(part)
+                codes += [self._codes(self.bare, [first]), self._codes(self.spaced, rest)]
+        return np.concatenate(codes) if codes else np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids start (one more than texts)."""
@@ -229,18 +240,18 @@ class Codec:
         bounds -= bounds[0]
         coded = split.flatten().dictionary_encode()
         number, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        slow = np.fromiter(map(self._slow, pieces), bool, len(pieces))
+        slow = pc.match_substring_regex(coded.dictionary, self.slow).to_numpy(zero_copy_only=False)
         later = np.ones(len(number), bool)
         later[bounds[:-1]] = False
         used = np.zeros(len(pieces), bool)
         used[number[later]] = True
         code = np.zeros(len(pieces), np.int64)
         good = np.flatnonzero(used & ~slow)
-        code[good] = self._codes([(self.spaced, pieces[i]) for i in good])
+        code[good] = self._codes(self.spaced, [pieces[i] for i in good] if len(good) < len(pieces) else pieces)
         code = code[number]
         first = number[bounds[:-1]]
         fast = np.flatnonzero(~slow[first])
-        code[bounds[:-1][fast]] = self._codes([(self.bare, pieces[i]) for i in first[fast]])
+        code[bounds[:-1][fast]] = self._codes(self.bare, [pieces[i] for i in first[fast]])
         again = np.flatnonzero(np.add.reduceat(slow[number], bounds[:-1]) if len(texts) else [])
         if len(again):
             runs = np.split(code, bounds[1:-1])
