@@ -81,26 +81,40 @@ def _open(segment: bytes) -> tuple[int, np.ndarray, int]:
     return count, index, _HEAD.size + 4 * (blocks + 1)
 
 
+def _unpack(segment: bytes, chosen: np.ndarray) -> np.ndarray:
+    """The ids of the chosen blocks, a row each (the last block with its padding).
+
+    A value's bits are cut out of the eight bytes that begin where they begin.
+    """
+    _, index, base = _open(segment)
+    data = np.frombuffer(segment + bytes(8), np.uint8)
+    eight = np.lib.stride_tricks.as_strided(data.view(np.uint8)[:8].view("<u8"), (len(segment) + 1,), (1,))
+    starts = base + index[chosen].astype(np.int64)
+    heads = [_BLOCK_HEAD.unpack_from(segment, at) for at in starts.tolist()]
+    least, widths, beyond = (np.array(c, np.int64) for c in zip(*heads)) if heads else (np.zeros(0, np.int64),) * 3
+    out = np.empty((len(chosen), BLOCK), np.uint32)
+    for width in np.unique(widths):
+        rows = np.flatnonzero(widths == width)
+        bit = np.arange(BLOCK) * width
+        at = (starts[rows] + _BLOCK_HEAD.size)[:, None] + (bit >> 3)
+        out[rows] = (eight[at] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << int(width)) - 1)
+    for row in np.flatnonzero(beyond):
+        at, n = int(starts[row] + _BLOCK_HEAD.size + BLOCK * widths[row] // 8), int(beyond[row])
+        where = np.frombuffer(segment, "<u2", n, at)
+        out[row, where] = np.frombuffer(segment, "<u4", n, at + 2 * n)
+    return out + least.astype(np.uint32)[:, None]
+
+
 def read_block(segment: bytes, k: int) -> np.ndarray:
     """The ids of block k alone, found through the index."""
-    count, index, base = _open(segment)
-    at = base + int(index[k])
-    least, width, beyond = _BLOCK_HEAD.unpack_from(segment, at)
-    at += _BLOCK_HEAD.size
-    size = BLOCK * width // 8
-    bits = np.unpackbits(np.frombuffer(segment, np.uint8, size, at), bitorder="little")
-    gap = np.packbits(bits.reshape(BLOCK, width), axis=1, bitorder="little")
-    gap = np.pad(gap, ((0, 0), (0, 4 - gap.shape[1]))).view("<u4")[:, 0].copy()
-    where = np.frombuffer(segment, "<u2", beyond, at + size)
-    gap[where] = np.frombuffer(segment, "<u4", beyond, at + size + 2 * beyond)
-    return (gap + np.uint32(least))[: min(BLOCK, count - k * BLOCK)]
+    count = _open(segment)[0]
+    return _unpack(segment, np.array([k]))[0, : min(BLOCK, count - k * BLOCK)]
 
 
 def unpack_segment(segment: bytes) -> np.ndarray:
     """All ids of a segment."""
     count, index, _ = _open(segment)
-    blocks = [read_block(segment, k) for k in range(len(index) - 1)]
-    return np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
+    return _unpack(segment, np.arange(len(index) - 1)).reshape(-1)[:count]
 
 
 @lru_cache(maxsize=2)
@@ -113,7 +127,7 @@ def library_codec(vocabulary: str) -> Codec:
     tokenizer.no_padding()
 
     def encode_pieces(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     return Codec(json.loads(vocabulary), encode_pieces)
 
