@@ -1,4 +1,4 @@
-"""Joins of a large frame with a rule frame: broadcast if it is small, else spread."""
+"""Joins of a large frame with a rule frame: broadcast if it is small, else a plain join."""
 
 from __future__ import annotations
 
@@ -10,18 +10,17 @@ from pyspark.sql.types import StringType
 BROADCAST_MAX_ROWS = 10_000
 BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 FIXED_WIDTH_BYTES = 16
-SALTS = 64
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Whether `df` stays within the bounds; looks at `max_rows` + 1 rows at most."""
+    """Whether `df` stays within the bounds: one count and one sum, no rows are moved."""
     width = F.lit(FIXED_WIDTH_BYTES * len(df.columns))
     for field in df.schema.fields:
         if isinstance(field.dataType, StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    probe = df.limit(max_rows + 1).agg(
+    probe = df.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
     )
     n, size = probe.first()
@@ -29,20 +28,16 @@ def fits_broadcast(
 
 
 def lookup_join(
-    many: DataFrame, few: DataFrame, on: list[str], how: str, spread_by: str, is_small: bool = False
+    many: DataFrame, few: DataFrame, on: list[str], how: str, is_small: bool = False
 ) -> DataFrame:
     """Equality join of a large frame with a rule frame.
 
-    A rule frame within the bounds is broadcast. Beyond them both sides are shuffled, and a hot
-    key of `many` is spread over `SALTS` tasks by the hash of `spread_by`; each rule is repeated
-    for each of them.
+    A rule frame within the bounds is broadcast. Beyond them both sides are shuffled, and adaptive
+    execution splits the tasks of a hot key of `many`, which repeats the rules of that task alone.
     """
     if is_small or fits_broadcast(few):
         return many.join(F.broadcast(few), on, how)
-    salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    repeated = repeated.withColumn("_salt", F.col("_salt").cast("long"))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return many.join(few, on, how)
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], names: list[str], types: list) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.sql.types import StringType
 
 from tagloom.functions.rules import band_end, band_start
 from tagloom.operators.bounded import (
+    BROADCAST_MAX_BYTES,
     BROADCAST_MAX_ROWS,
+    FIXED_WIDTH_BYTES,
     fits_broadcast,
     local_frame,
     lookup_join,
@@ -35,14 +37,15 @@ def rules_frame(spark: SparkSession, rules: Rules) -> DataFrame:
 
 
 def short_rules(rules: DataFrame) -> Rules:
-    """A short rule frame as a list, read once; a longer one as it is."""
+    """A rule frame within the broadcast bounds as a list; a larger one as it is."""
     rows = rules.select(F.col("id").cast("long"), F.col("rule").cast("string"))
-    found = rows.take(BROADCAST_MAX_ROWS + 1)
-    return [tuple(r) for r in found] if len(found) <= BROADCAST_MAX_ROWS else rules
+    return [tuple(r) for r in rows.collect()] if fits_broadcast(rows) else rules
 
 
 def _is_short_list(rules: Rules) -> bool:
-    return not isinstance(rules, DataFrame) and len(rules) <= BROADCAST_MAX_ROWS
+    if isinstance(rules, DataFrame) or len(rules) > BROADCAST_MAX_ROWS:
+        return False
+    return sum(FIXED_WIDTH_BYTES + len((text or "").encode()) for _, text in rules) <= BROADCAST_MAX_BYTES
 
 
 def _one_per_rule(spark: SparkSession, rules: Rules) -> DataFrame:
@@ -99,11 +102,11 @@ def attach_tags(
     is_small = _is_short_list(rules)
     if unmatched == "drop":
         side = rules_frame(spark, rules).withColumnRenamed("rule", "_key")
-        tagged = lookup_join(left, side, ["_key"], "inner", "userId", is_small)
+        tagged = lookup_join(left, side, ["_key"], "inner", is_small)
         return tagged.select("userId", F.col("id").cast("string").alias("tagIds"))
 
     side = _one_per_rule(spark, rules).withColumnRenamed("rule", "_key")
-    tagged = lookup_join(left, side, ["_key"], "left", "userId", is_small)
+    tagged = lookup_join(left, side, ["_key"], "left", is_small)
     tag = _tag_or_fallback(
         F.col("id").cast("string"),
         F.col("_key"),
@@ -146,7 +149,7 @@ def attach_all_tags(users: DataFrame, matches: Sequence[Match], user: str = "id"
             F.col("rule").alias(f"_key{i}"), F.col("id").cast("string").alias(f"_tag{i}")
         )
         is_small = _is_short_list(match.rules)
-        joined = lookup_join(joined, side, [f"_key{i}"], "left", "userId", is_small)
+        joined = lookup_join(joined, side, [f"_key{i}"], "left", is_small)
         tags.append(tag)
     tagged = joined.select("userId", F.concat_ws(",", *tags).alias("tagIds"))
     if all(match.unmatched == "drop" for match in matches):
@@ -177,42 +180,40 @@ def attach_band_tags(
     return _band_join_by_cell(points, bands)
 
 
-def _order_key(value: Column, is_text: bool) -> Column:
-    """Long that never decreases as `value` grows: the number itself, or the first 7 bytes."""
-    if not is_text:
-        return value
-    head = F.substring(F.rpad(F.encode(value, "UTF-8"), 7, F.lit(b"\x00")), 1, 7)
-    return F.conv(F.hex(head), 16, 10).cast("long")
+def _common_prefix(a: Column, b: Column) -> Column:
+    """Number of leading characters that two texts share."""
+    ends = F.sequence(F.lit(1), F.least(F.length(a), F.length(b)) + 1)
+    differ = F.transform(ends, lambda i: F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1)))
+    at = F.array_position(differ, F.lit(True))
+    return F.when(at > 0, at - 1).otherwise(F.least(F.length(a), F.length(b))).cast("int")
 
 
 def _band_join_by_cell(points: DataFrame, bands: DataFrame) -> DataFrame:
     """Band join as an equality join, for rule frames too large to test band by band.
 
-    Each band lies in one or two cells of the smallest power-of-two width that holds it; each
-    point looks into its cell at every width in use (64 at most). The band is tested again
-    after the join, so the cells only narrow the candidates.
+    A band of numbers lies in one or two cells of the smallest power-of-two width above its span; a
+    point looks into its cell at every width in use (64 at most). A band of texts lies in the cell
+    of the beginning its ends share, which all texts between them share too; a point looks up its
+    beginnings of every length in use. The band is tested again after the join, so the cells
+    only narrow the candidates and the rows are those of a test band by band.
     """
-    is_text = isinstance(bands.schema["low"].dataType, StringType)
-    low, high = _order_key(F.col("low"), is_text), _order_key(F.col("high"), is_text)
-    sized = bands.where(F.col("low") <= F.col("high")).select(
-        "*", low.alias("_from"), high.alias("_to")
-    )
-    bits = F.ceil(F.log2((F.col("_to") - F.col("_from") + 1).cast("double"))).cast("int")
-    sized = sized.withColumn("bits", F.least(bits, F.lit(62)))
-    cells = sized.withColumn(
-        "cell",
-        F.explode(
-            F.array_distinct(
-                F.array(F.expr("shiftright(_from, bits)"), F.expr("shiftright(_to, bits)"))
-            )
-        ),
-    ).select("tagIds", "low", "high", "bits", "cell")
-    widths = sorted(row[0] for row in sized.select("bits").distinct().collect())
-    if not widths:
+    whole = bands.where(F.col("low") <= F.col("high"))
+    if isinstance(bands.schema["low"].dataType, StringType):
+        sized = whole.withColumn("size", _common_prefix(F.col("low"), F.col("high")))
+        own = F.array(F.substr("low", F.lit(1), F.col("size")))
+        cell_of = F.substr("value", F.lit(1), F.col("size"))
+    else:
+        sized = whole.withColumn("size", F.length(F.bin(F.col("high") - F.col("low"))).cast("int"))
+        own = F.array_distinct(
+            F.array(F.expr("shiftright(low, size)"), F.expr("shiftright(high, size)"))
+        )
+        cell_of = F.expr("shiftright(value, size)")
+    cells = sized.withColumn("cell", F.explode(own)).select("tagIds", "low", "high", "size", "cell")
+    sizes = sorted(row[0] for row in sized.select("size").distinct().collect())
+    if not sizes:
         return points.select("userId", F.lit(None).cast("string").alias("tagIds")).limit(0)
-    probes = points.withColumn("_at", _order_key(F.col("value"), is_text))
-    probes = probes.withColumn("bits", F.explode(F.array(*[F.lit(w) for w in widths])))
-    probes = probes.withColumn("cell", F.expr("shiftright(_at, bits)"))
-    joined = lookup_join(probes, cells, ["bits", "cell"], "inner", "userId")
+    probes = points.withColumn("size", F.explode(F.array(*[F.lit(n) for n in sizes])))
+    probes = probes.withColumn("cell", cell_of)
+    joined = lookup_join(probes, cells, ["size", "cell"], "inner")
     inside = F.col("value").between(F.col("low"), F.col("high"))
     return joined.where(inside).select("userId", "tagIds")

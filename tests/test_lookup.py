@@ -142,16 +142,47 @@ def test_many_bands_join_by_cell(spark, monkeypatch, numeric, shuffled):
     expected = [(str(u), str(i)) for u, v in enumerate(values) for i, a, b in bands if a <= v <= b]
     assert sorted(tuple(r) for r in found) == sorted(expected)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert ("_salt" in plan) == shuffled
+
+
+@pytest.mark.parametrize("count", [64, 65, 10_000])
+def test_bands_are_exact_for_any_number_of_rules(spark, count):
+    """Wide, open and just too wide spans; the other rules only make the frame longer."""
+    bands = [(2**54 - 1, 2**55), (0, 2**63 - 1)] + [(7, 7 + 2**b + 2) for b in range(30, 62)]
+    filler = [(10**9 + i, 10**9 + i) for i in range(count - len(bands))]
+    values = [2**54 + 5, 0, 2**63 - 1, 7, *(7 + 2**b + 2 for b in range(30, 62)), 2**40 + 11]
+    rules = [(i, f"{a}-{b}") for i, (a, b) in enumerate(bands + filler)]
+    users = spark.createDataFrame(list(enumerate(values)), "id long, v long")
+    tagged = attach_band_tags(users, rules_df(spark, rules), F.col("v"), numeric=True)
+    expected = {
+        (str(u), str(i)) for u, v in enumerate(values) for i, (a, b) in enumerate(bands + filler) if a <= v <= b
+    }
+    assert {tuple(r) for r in tagged.collect()} == expected
+
+
+@pytest.mark.parametrize("count", [60, 300])
+def test_text_bands_with_a_long_common_start(spark, count):
+    hours = [f"2024{i // 24 // 28 + 1:02d}{i // 24 % 28 + 1:02d}{i % 24:02d}" for i in range(count)]
+    bands = [(h + "0000", h + "5959") for h in hours] + [("2024", "20240101020000"), ("b", "a"), ("x", "x")]
+    values = [h + "3000" for h in hours[::7]] + ["20240101", "2024", "x", "xx", "", "2024010102"]
+    rules = rules_df(spark, [(i, f"{a}-{b}") for i, (a, b) in enumerate(bands)])
+    users = spark.createDataFrame(list(enumerate(values)), "id long, v string")
+    found = {tuple(r) for r in attach_band_tags(users, rules, F.col("v")).collect()}
+    assert found == {(str(u), str(i)) for u, v in enumerate(values) for i, (a, b) in enumerate(bands) if a <= v <= b}
+
 
 
 def test_short_rules(spark, monkeypatch):
     rules = rules_df(spark, [(5, "1"), (6, "2")])
     assert sorted(lookup.short_rules(rules)) == [(5, "1"), (6, "2")]
-    monkeypatch.setattr(lookup, "BROADCAST_MAX_ROWS", 1)
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
     assert lookup.short_rules(rules) is rules
 
 
+def test_a_list_is_small_by_its_bytes_too(spark):
+    assert lookup._is_short_list([(1, "a")])
+    assert not lookup._is_short_list([(i, "x" * 100_000) for i in range(200)])  # 20 MB
+
+
 def test_broadcast_only_within_bounds(spark):
     df = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 100).alias("s"))
     assert fits_broadcast(df)
@@ -160,7 +191,7 @@ def test_broadcast_only_within_bounds(spark):
 
 
 @pytest.mark.parametrize("unmatched", lookup.UNMATCHED)
-def test_lookup_beyond_the_bound_spreads_hot_keys(spark, pairs, monkeypatch, unmatched):
+def test_lookup_beyond_the_bound_is_a_plain_join(spark, pairs, monkeypatch, unmatched):
     rules = rules_df(spark, [(i, f"k{i}") for i in range(50)] + [(99, "other"), (98, "k3")])
     keys = ["k3"] * 400 + [f"k{i % 50}" for i in range(400)]
     if unmatched != "error":
@@ -173,7 +204,7 @@ def test_lookup_beyond_the_bound_spreads_hot_keys(spark, pairs, monkeypatch, unm
     try:
         tagged = attach_tags(users, rules, "k", unmatched=unmatched)
         plan = tagged._jdf.queryExecution().executedPlan().toString()
-        assert "Broadcast" not in plan and "_salt" in plan
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
         assert pairs(tagged) == expected
         assert pairs(attach_all_tags(users, [Match(rules, "k", unmatched)])) == as_one
     finally:
