@@ -8,18 +8,20 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed as whole ten-thousandths in a long: exact, and the same in any row order.
-MONEY_UNITS = 10_000
+# Money is summed as decimals with ten places: exact, and the same in any row order.
+MONEY_TYPE = "decimal(38,10)"
+# Seconds of the first and the last day that a timestamp can show (years 1 to 9999).
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
 
 def money(amount: Column) -> Column:
-    """Amount in ten-thousandths as a long; null for text that is not a number."""
-    return F.round(amount.try_cast("double") * MONEY_UNITS).try_cast("long")
+    """Amount as an exact decimal; null for text that is not a number."""
+    return amount.cast("string").try_cast(MONEY_TYPE)
 
 
-def from_units(units: Column) -> Column:
-    """Ten-thousandths back to a double."""
-    return units / F.lit(float(MONEY_UNITS))
+def as_double(amount: Column) -> Column:
+    """An exact amount as a double."""
+    return amount.cast("double")
 
 
 def today(as_of: date | str | None = None) -> Column:
@@ -30,8 +32,12 @@ def today(as_of: date | str | None = None) -> Column:
 def days_since_epoch_seconds(
     seconds: Column, as_of: date | str | None = None, shift_days: int = 0
 ) -> Column:
-    """Days from the day of an epoch to `as_of` less `shift_days`."""
-    day = F.to_date(F.timestamp_seconds(seconds))
+    """Days from the day of an epoch to `as_of` less `shift_days`.
+
+    Null for an epoch beyond the years a timestamp can show, as of one in microseconds.
+    """
+    known = F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
+    day = F.to_date(F.timestamp_seconds(known))
     return F.datediff(F.date_sub(today(as_of), shift_days), day)
 
 

@@ -15,7 +15,7 @@ from tagloom.functions.measures import (
     band_score,
     days_since_epoch_seconds,
     days_since_timestamp,
-    from_units,
+    as_double,
     money,
     price_sensitivity,
 )
@@ -62,7 +62,7 @@ def rfm_features(
     return orders.groupBy(F.col("memberId").alias("userId")).agg(
         days_since_epoch_seconds(last, as_of, shift_days).alias("recency"),
         F.count("orderSn").alias("frequency"),
-        from_units(F.sum(money(F.col("orderAmount")))).alias("monetary"),
+        as_double(F.try_sum(money(F.col("orderAmount")))).alias("monetary"),
     )
 
 
@@ -109,12 +109,12 @@ def rfe_scores(
 
 
 def order_discounts(orders: DataFrame) -> DataFrame:
-    """Receivable, discount and paid amount in money units, and the discount flag."""
+    """Receivable, discount and paid amount as exact decimals, and the discount flag."""
     paid, coupon = money(F.col("orderAmount")), money(F.col("couponCodeValue"))
     state = F.when(coupon != 0, 1).when(coupon == 0, 0)
     return orders.select(
         F.col("memberId").alias("userId"),
-        (paid + coupon).alias("ra"),
+        F.try_add(paid, coupon).alias("ra"),
         coupon.alias("da"),
         paid.alias("pa"),
         state.alias("state"),
@@ -126,15 +126,15 @@ def psm_features(orders: DataFrame) -> DataFrame:
     per_user = order_discounts(orders).groupBy("userId").agg(
         F.sum("state").alias("tdon"),
         F.count("state").alias("ton"),
-        F.sum("da").alias("tda"),
-        F.sum("ra").alias("tra"),
+        F.try_sum("da").alias("tda"),
+        F.try_sum("ra").alias("tra"),
     )
     return per_user.select(
         "userId",
         "tdon",
         "ton",
-        from_units(F.col("tda")).alias("tda"),
-        from_units(F.col("tra")).alias("tra"),
+        as_double(F.col("tda")).alias("tda"),
+        as_double(F.col("tra")).alias("tra"),
     )
 
 
@@ -160,11 +160,11 @@ def order_totals(orders: DataFrame) -> DataFrame:
     return orders.groupBy(F.col("memberId").alias("userId")).agg(
         F.max(F.col("finishTime").try_cast("long")).alias("finishTime"),
         F.count("orderSn").alias("frequency"),
-        from_units(F.sum(paid)).alias("monetary"),
+        as_double(F.try_sum(paid)).alias("monetary"),
         F.sum(F.when(coupon != 0, 1).when(coupon == 0, 0)).alias("tdon"),
         F.count(coupon).alias("ton"),
-        from_units(F.sum(coupon)).alias("tda"),
-        from_units(F.sum(paid + coupon)).alias("tra"),
+        as_double(F.try_sum(coupon)).alias("tda"),
+        as_double(F.try_sum(F.try_add(paid, coupon))).alias("tra"),
     )
 
 

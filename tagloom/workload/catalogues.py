@@ -32,7 +32,7 @@ def tag_lookup(spark, sf_dir):
 def tag_with_model(spark, sf_dir):
     """The model tags of every supplier with their model."""
     tags = src.catalogue(spark, sf_dir).where("level = 4")
-    joined = cat.with_models(tags, src.models(spark, sf_dir))
+    joined = cat.with_models(tags, src.models(spark, sf_dir).where("freq > 25"))
     return joined.select("id", "name", "pid", "model_id", "model_name", "model_sche_time")
 
 
@@ -110,7 +110,7 @@ SELECT w.name, w.level, w.pid, c.id FROM wanted w LEFT JOIN (
 ON w.name = c.name AND w.level = c.level AND w.pid = c.pid""",
     "tag_with_model": f"""WITH {src.CATALOGUE_SQL}, {src.MODELS_SQL}
 SELECT c.id, c.name, c.pid, m.id AS model_id, m.model_name, m.sche_time AS model_sche_time
-FROM catalogue c LEFT JOIN models m ON c.id = m.tag_id WHERE c.level = 4""",
+FROM catalogue c LEFT JOIN models m ON c.id = m.tag_id AND m.freq > 25 WHERE c.level = 4""",
     "tag_path_upsert": f"""WITH {src.CATALOGUE_SQL}, {src.PATHS_SQL},
 {_path_level_sql(1)}, {_path_level_sql(2)}, {_path_level_sql(3)}
 SELECT * FROM new1 UNION ALL SELECT * FROM new2 UNION ALL SELECT * FROM new3""",

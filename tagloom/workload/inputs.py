@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
-from tagloom.functions.measures import from_units
 
 AS_OF = "2001-08-01"
 VIEWS_AS_OF = "2024-03-01"
@@ -152,7 +151,7 @@ def coupon_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orderSn",
         "orderAmount",
         "finishTime",
-        from_units(F.coalesce("units", F.lit(0))).alias("couponCodeValue"),
+        (F.coalesce("units", F.lit(0)) / 10_000.0).alias("couponCodeValue"),
     )
 
 
@@ -227,14 +226,16 @@ VIEWS_SQL = """views AS (
   FROM events)"""
 
 
-# Stored profile: one row per customer not in debt and per supplier, some of them blank.
+# Stored profile: one row per customer and per supplier, some of them blank. Customers in debt are
+# stored under another key, so that outer joins have something to miss on both sides.
 
 
 def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = F.col("c_nationkey") % 5
     tags = F.when(pick == 1, "  ").when(pick == 2, "23,30").when(pick == 3, "30")
-    known = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
-        F.col("c_custkey").cast("string").alias("userId"),
+    key = F.col("c_custkey").cast("string")
+    known = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") >= 0, key).otherwise(F.concat(F.lit("d"), key)).alias("userId"),
         tags.when(pick == 4, "30,5,23,").alias("tagIds"),
     )
     shops = table(spark, sf_dir, "supplier").select(
@@ -245,10 +246,10 @@ def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STORED_SQL = """stored AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+  SELECT CASE WHEN c_acctbal >= 0 THEN '' ELSE 'd' END || c_custkey AS user_id,
          CASE c_nationkey % 5 WHEN 1 THEN '  ' WHEN 2 THEN '23,30' WHEN 3 THEN '30'
               WHEN 4 THEN '30,5,23,' END AS tags
-  FROM customer WHERE c_acctbal >= 0
+  FROM customer
   UNION ALL
   SELECT 's' || s_suppkey, '9,' || s_nationkey FROM supplier)"""
 
@@ -349,7 +350,7 @@ catalogue AS (
          p_partkey + {MODEL_BASE} FROM part)"""
 
 
-# Model catalogue: the larger parts have a model, run every p_size minutes while the part ships.
+# Model catalogue: each part has a model, run every p_size minutes while the part ships.
 
 
 def models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +358,7 @@ def models(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
         F.min(shipped).alias("start"), F.max(shipped).alias("end")
     )
-    parts = table(spark, sf_dir, "part").where("p_size > 25")
+    parts = table(spark, sf_dir, "part")
     text = F.concat_ws(
         ",",
         F.col("p_size").cast("string"),
@@ -368,6 +369,7 @@ def models(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("id"),
         (F.col("p_partkey") + MODEL_BASE).alias("tag_id"),
         F.col("p_name").alias("model_name"),
+        F.col("p_size").alias("freq"),
         text.alias("sche_time"),
     )
 
@@ -378,8 +380,7 @@ MODELS_SQL = f"""models AS (
          p_size || ',' || strftime(starts, '%Y-%m-%d %H:%M:%S') || ','
            || strftime(ends, '%Y-%m-%d %H:%M:%S') AS sche_time
   FROM part JOIN (SELECT l_partkey, min(l_shipdate) AS starts, max(l_shipdate) AS ends
-                  FROM lineitem GROUP BY l_partkey) AS s ON p_partkey = l_partkey
-  WHERE p_size > 25)"""
+                  FROM lineitem GROUP BY l_partkey) AS s ON p_partkey = l_partkey)"""
 
 
 # Paths of category names, partly in the catalogue.

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
-from tagloom.functions.measures import from_units, money
+from tagloom.functions.measures import as_double, money
 from tagloom.operators import aggregates as agg
 from tagloom.operators import classify, clusters
 from tagloom.operators.bounded import local_frame
@@ -21,7 +21,7 @@ from tagloom.workload.features import ORDER_BANDS, VIEW_BANDS, rfm_scores_sql
 
 RFM = ["recency", "frequency", "monetary"]
 VECTOR_WIDTH = 64
-MEASURES = ["m1", "m2", "m3", "m4"]
+MEASURES = [f"m{i + 1}" for i in range(VECTOR_WIDTH)]
 
 
 def segment_clusters(spark, sf_dir):
@@ -43,7 +43,7 @@ def cluster_zip(spark, sf_dir):
     """Segments as clusters, ranked by mean balance, to the PSM tags."""
     clustered = segment_clusters(spark, sf_dir)
     means = clustered.groupBy("predict").agg(
-        (from_units(F.sum(money(F.col("c_acctbal")))) / F.count("c_acctbal")).alias("centre")
+        (as_double(F.sum(money(F.col("c_acctbal")))) / F.count("c_acctbal")).alias("centre")
     )
     centres = [(r["predict"], r["centre"]) for r in means.take(len(fixed.PSM_RULES) + 1)]
     tagged = clusters.zip_clusters(clustered, centres, fixed.PSM_RULES)
@@ -168,7 +168,7 @@ def measurements(spark, sf_dir):
 
 
 def tree_accuracy(spark, sf_dir):
-    """T15, L12 over four slots of the embeddings: accuracy on the test rows."""
+    """T15, L12 over all slots of the embeddings: accuracy on the test rows."""
     predicted, _ = tag_jobs.iris_tree(measurements(spark, sf_dir), MEASURES, "Species", MEASURES)
     found = classify.accuracy(predicted)
     rows = [(found["accuracy"], found["error"])]
@@ -265,10 +265,9 @@ FROM slots JOIN spans USING (pos)""",
     "libsvm_roundtrip": f"""WITH {_SLOTS}
 SELECT CAST(label AS DOUBLE) AS label, pos, count(*) AS n, min(value) AS low, max(value) AS high
 FROM slots GROUP BY label, pos""",
-    "csv_roundtrip": """SELECT
-       CAST(embedding[1] AS DOUBLE) AS m1, CAST(embedding[2] AS DOUBLE) AS m2,
-       CAST(embedding[3] AS DOUBLE) AS m3, CAST(embedding[4] AS DOUBLE) AS m4,
-       's' || label AS "Species" FROM embeddings""",
+    "csv_roundtrip": "SELECT "
+    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {m}" for i, m in enumerate(MEASURES))
+    + """, 's' || label AS "Species" FROM embeddings""",
     "top_orders": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
 }

@@ -97,7 +97,7 @@ def profile_run(spark, sf_dir):
     parent = fixed.TAG_IDS["payment"]
     job_tags = [(parent, rule, 4, None)] + [(i, r, 5, parent) for i, r in src.PRIORITY_RULES]
     listed = spark.createDataFrame(job_tags, "id long, rule string, level int, pid long")
-    catalogue = src.catalogue(spark, sf_dir).where("level > 3").unionByName(
+    catalogue = src.catalogue(spark, sf_dir).unionByName(
         listed.withColumn("name", F.lit("payment"))
     )
 

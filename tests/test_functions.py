@@ -85,10 +85,26 @@ def test_merge_tags_is_a_set_union(spark):
 
 def test_money_is_exact_and_null_for_text(spark):
     df = spark.createDataFrame([("0.10",), ("0.20",), ("x",), (None,)], "a string")
-    total = df.select(measures.from_units(F.sum(measures.money(F.col("a"))))).first()[0]
+    total = df.select(measures.as_double(F.sum(measures.money(F.col("a"))))).first()[0]
     assert total == 0.3
 
 
+def test_money_keeps_small_and_large_amounts(spark):
+    texts = ["0.00004", "1e15", "0.12345", "1000000000000000"]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    amounts = [r[0] for r in df.select(measures.money(F.col("a"))).collect()]
+    assert [float(a) for a in amounts] == [float(t) for t in texts] and all(amounts)
+    doubles = df.select(measures.money(F.col("a").cast("double"))).collect()
+    assert [float(r[0]) for r in doubles] == [float(t) for t in texts]
+
+
+def test_epoch_in_microseconds_is_null(spark):
+    rows = [(1_569_888_000,), (1_569_888_000_000_000,), (None,), (-(10**17),)]
+    df = spark.createDataFrame(rows, "s long")
+    days = measures.days_since_epoch_seconds(F.col("s"), "2019-10-02")
+    assert [r[0] for r in df.select(days).collect()] == [1, None, None, None]
+
+
 def test_days_since(spark):
     as_of = date(2019, 11, 1)
     seconds = F.unix_timestamp(F.lit("2019-08-01 23:59:59").cast("timestamp"))
