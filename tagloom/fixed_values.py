@@ -154,3 +154,6 @@ SOURCE_KEYS = ["inType", "zkHosts", "zkPort", "hbaseTable", "family", "selectFie
 PRODUCT_URL_PREFIX = "/product/"
 PRODUCT_URL_SUFFIX = ".html"
 SCHEDULE_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+# Parts that the rows of a fit on all users are dealt to.
+FIT_PARTS = 8

@@ -121,10 +121,11 @@ def schedule_fields(schedule: Column) -> list[Column]:
 
 
 def schedule_text(frequency: Column, start: Column, end: Column) -> Column:
-    """Typed columns back to `frequency,start,end` text."""
-    return F.concat_ws(
-        ",",
+    """Typed columns back to `frequency,start,end` text; null if one of them is."""
+    return F.concat(
         frequency.cast("string"),
+        F.lit(","),
         F.date_format(start, SCHEDULE_FORMAT),
+        F.lit(","),
         F.date_format(end, SCHEDULE_FORMAT),
     )

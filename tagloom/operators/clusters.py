@@ -41,6 +41,15 @@ def kmeans(k: int, features: str = "feature", weight: str | None = None) -> KMea
     return estimator.setWeightCol(weight) if weight else estimator
 
 
+def dealt(rows: DataFrame, *keys: str, parts: int = fixed.FIT_PARTS) -> DataFrame:
+    """Rows dealt out by key and sorted, so that a fit sees the same order on any cluster.
+
+    The first centres of a fit depend on the order of the rows; `parts` is a setting of the job and
+    follows neither the cluster nor the number of files. Raise it with the number of users.
+    """
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys)
+
+
 def score_points(scored: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct score vectors with the number of users at each.
 

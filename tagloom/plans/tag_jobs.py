@@ -117,7 +117,7 @@ def psm_tags(
 def psm_clusters(orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: float | None = None):
     """(userId, psm, predict) and the fitted model behind T11."""
     scored = cut_lineage(agg.psm_scores(agg.psm_features(orders), zero_discount_eps))
-    vectors = clusters.assemble(scored, ["psm"])
+    vectors = clusters.assemble(clusters.dealt(scored, "userId"), ["psm"])
     model = clusters.kmeans(k).fit(vectors)
     return model.transform(vectors).select("userId", "psm", "predict"), model
 
@@ -150,7 +150,7 @@ def order_tags(
     columns = ["recency", "frequency", "monetary"]
     rfm = clusters.tag_by_score_clusters(scored, columns, fixed.RFM_K, rfm_rules)
 
-    vectors = clusters.assemble(agg.psm_scores(totals), ["psm"])
+    vectors = clusters.assemble(clusters.dealt(agg.psm_scores(totals), "userId"), ["psm"])
     model = clusters.kmeans(fixed.PSM_K).fit(vectors)
     clustered = model.transform(vectors)
     psm = clusters.zip_clusters(clustered, clusters.centre_sums(model), psm_rules)

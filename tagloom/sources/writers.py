@@ -35,8 +35,13 @@ def write_source(df: DataFrame, rule: Mapping[str, str]) -> str | None:
 
 
 def load_or_fit(spark: SparkSession, path: str | None, load: Callable, fit: Callable) -> Any:
-    """Model stored at `path`, else a new one, stored there if a path is given."""
-    if path and path_exists(spark, f"{path}/metadata/_SUCCESS"):
+    """Model stored at `path`, else a new one, stored there if a path is given.
+
+    A model is written part by part, the data or the stages last; one that broke off is fitted anew.
+    """
+    whole = ("data/_SUCCESS", "stages")
+    written = path and path_exists(spark, f"{path}/metadata/_SUCCESS")
+    if written and any(path_exists(spark, f"{path}/{part}") for part in whole):
         return load(path)
     model = fit()
     if path:

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tagloom.workload.registry import all_queries, all_sql
 from check_twins import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,9 +16,9 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = all_queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     # All row work stays in the JVM.
     assert "Python" not in plan and "Pandas" not in plan
@@ -25,7 +26,7 @@ def test_query(spark, con, name):
     # tested one by one. Nothing else pairs rows without a key.
     assert "CartesianProduct" not in plan
     assert "NestedLoop" not in plan or name in KEYLESS
-    sql = entry.oracle_sql().get(name)
+    sql = all_sql().get(name)
     if sql is None:
         assert df.columns and df.count() > 0
     else:

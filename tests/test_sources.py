@@ -56,7 +56,8 @@ def test_source_filter_and_columns_reach_the_scan(spark, users_path):
     rule = {"inType": "parquet", "path": users_path, "selectFields": "id,gender"}
     df = readers.read_source(spark, rule).where("gender = '2'").select("id")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(gender,2)" in plan and "job" not in plan
+    read = plan.rpartition("ReadSchema:")[2]
+    assert "EqualTo(gender,2)" in plan and "gender" in read and "job" not in read
 
 
 def test_hbase_options():
