@@ -161,9 +161,12 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int =
         F.coalesce(text, F.lit("")).alias("text"),
     )
     keys = cut_lineage(base.drop("text"))
-    first = keys.groupBy("t1", "t2").agg(F.min("id").alias("first_id"))
+    # Aggregates are written before they are joined back: the join then shuffles both sides anew, and
+    # adaptive execution can split a key that a large share of the rows has.
+    first = cut_lineage(keys.groupBy("t1", "t2").agg(F.min("id").alias("first_id")))
     seeds = cut_lineage(base.select("t1", "text").mapInArrow(_seeds(window, seed), "seed long, t1 long"))
     shared = seeds.groupBy("seed").agg(F.min("t1").alias("a"), F.max("t1").alias("b")).where("a <> b").select("seed")
+    shared = cut_lineage(shared)
     held = seeds.join(shared, "seed").groupBy("t1").agg(F.collect_set("seed").alias("seeds"))
     once = first.join(held, "t1").where("first_id is not null")
     once = cut_lineage(once.select(F.col("first_id").alias("id"), "t1", "t2", "seeds"))
@@ -171,7 +174,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int =
     found = rows.mapInArrow(_extended(window, seed), f"id {kind}, t1 long, start int, high long, low long")
     found = cut_lineage(found)
     origin = found.groupBy("high", "low").agg(F.min("id").alias("origin"), F.max("id").alias("last"))
-    origin = origin.where("origin < last").drop("last")
+    origin = cut_lineage(origin.where("origin < last").drop("last"))
     later = found.join(origin, ["high", "low"]).where("id > origin")
     starts = later.groupBy("id", "t1").agg(F.collect_list("start").alias("starts"))
     copies = keys.join(first, ["t1", "t2"]).where("id > first_id").select("id", "t1").distinct()
