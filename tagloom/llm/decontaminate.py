@@ -1,8 +1,8 @@
 """Test items found in training text by rare seeds and local alignment (operator 8).
 
 Words are compared in lower case without signs. Every run of `SEED` words of a test item that occurs in
-a document is counted over all documents; of any `SPREAD` runs next to each other in an item the one in the
-fewest documents is a seed. So the seeds are rare as the corpus has it, yet every stretch of an
+a document is counted over all documents; of any `SPREAD` runs next to each other in an item those in the
+fewest documents are seeds. So the seeds are rare as the corpus has it, yet every stretch of an
 item has one: no passage is too frequent to be looked for, however often it was copied. Documents with a seed of an item are
 aligned with it by Smith-Waterman, in the surroundings of shared runs, and the score is the share of the
 best possible one. Edited and reworded copies keep enough runs to be found and lose score by the edits alone.
@@ -31,7 +31,7 @@ from tagloom.llm.repeats import run_hashes, word_codes
 from tagloom.session import cut_lineage
 
 SEED = 3
-SPREAD = 4
+SPREAD = 2
 TABLE_BITS = 22
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -208,9 +208,11 @@ def contaminated(
     hits = base.select("id", "t1", "text").mapInArrow(_hits(shared), f"id {kind}, t1 long, run long")
     hits = cut_lineage(hits.join(runs.select("run").distinct(), "run", "left_semi"))
     held = hits.groupBy("run").agg(F.count(F.lit(1)).alias("docs"))
-    near = Window.partitionBy("item").orderBy("at").rowsBetween(0, SPREAD - 1)
-    ranked = runs.join(held, "run", "left").withColumn("rank", F.struct(F.coalesce("docs", F.lit(0)), "run"))
-    seeds = ranked.select("item", F.min("rank").over(near)["run"].alias("run")).distinct()
+    ordered = Window.partitionBy("item").orderBy("at")
+    ranked = runs.join(held, "run", "left")  # a run that no document has is null and is passed over
+    ranked = ranked.withColumn("fewest", F.min("docs").over(ordered.rowsBetween(0, SPREAD - 1)))
+    ranked = ranked.withColumn("most", F.max("fewest").over(ordered.rowsBetween(1 - SPREAD, 0)))
+    seeds = ranked.where("docs = most").select("item", "run").distinct()
     found = hits.join(seeds, "run").groupBy("id", "t1", "item").agg(F.lit(1).alias("one")).drop("one")
     found = found.join(items.select("item", "text"), "item")
     found = found.groupBy("id", "t1").agg(F.collect_list(F.struct("item", "text")).alias("items"))
