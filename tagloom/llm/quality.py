@@ -207,7 +207,7 @@ def train(
         found.column("vals").combine_chunks().flatten().to_numpy()
     )
     label = found.column("label").to_numpy().astype(np.float32)
-    stats = found.column("stats").combine_chunks().flatten().to_numpy().reshape(len(x), -1)
+    stats = found.column("stats").combine_chunks().flatten().to_numpy().reshape(len(x), N_STATS)
     order = np.lexsort((*stats.T, label))  # the same model however the rows came
     return fit_machine(x[order], stats[order], label[order])
 
