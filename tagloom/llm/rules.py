@@ -28,7 +28,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SIGN_PERCENT = 30
 MAX_LINE_PERCENT = 50
-HOST_LIMIT = 0.5
+HOST_LIMIT = 0.7
 #: The prior counts as so many documents at least and at most.
 PRIOR_LEAST, PRIOR_MOST = 2.0, 1000.0
 _GAP_CHARS = " \t\n\x0b\x0c\r"
