@@ -49,8 +49,13 @@ def most_frequent_code(
     Counting comes first and the rank filter is applied before the second shuffle, so a user
     with very many orders sends one row per task.
     """
+    return best_code(code_counts(orders, user, code), user, code)
+
+
+def best_code(counted: DataFrame, user: str = "memberId", code: str = "paymentCode") -> DataFrame:
+    """The row of each user's most frequent code among (user, code, counts)."""
     best_first = Window.partitionBy(user).orderBy(F.desc("counts"), F.asc_nulls_last(code))
-    ranked = code_counts(orders, user, code).withColumn("rn", F.row_number().over(best_first))
+    ranked = counted.withColumn("rn", F.row_number().over(best_first))
     return ranked.where("rn = 1").drop("rn")
 
 
@@ -168,6 +173,44 @@ def order_totals(orders: DataFrame) -> DataFrame:
     )
 
 
+ORDER_COLUMNS = ("memberId", "paymentCode", "orderSn", "finishTime", "orderAmount", "couponCodeValue")
+
+
+def order_summary(orders: DataFrame) -> DataFrame:
+    """One row per member and payment code with all that the order jobs need.
+
+    Several jobs on the same orders read this frame instead of the orders. Columns the orders do not have
+    count as null.
+    """
+    known = orders.select(
+        *[F.col(c) if c in orders.columns else F.lit(None).cast("string").alias(c) for c in ORDER_COLUMNS]
+    )
+    paid, coupon = money(F.col("orderAmount")), money(F.col("couponCodeValue"))
+    return known.groupBy(F.col("memberId").alias("userId"), F.col("paymentCode")).agg(
+        F.count("paymentCode").alias("counts"),
+        F.max(F.col("finishTime").try_cast("long")).alias("finishTime"),
+        F.count("orderSn").alias("frequency"),
+        F.try_sum(paid).alias("paid"),
+        F.sum(F.when(coupon != 0, 1).when(coupon == 0, 0)).alias("tdon"),
+        F.count(coupon).alias("ton"),
+        F.try_sum(coupon).alias("coupon"),
+        F.try_sum(F.try_add(paid, coupon)).alias("both"),
+    )
+
+
+def member_totals(summary: DataFrame) -> DataFrame:
+    """The columns of `order_totals` from an `order_summary`."""
+    return summary.groupBy("userId").agg(
+        F.max("finishTime").alias("finishTime"),
+        F.sum("frequency").alias("frequency"),
+        as_double(F.try_sum("paid")).alias("monetary"),
+        F.sum("tdon").alias("tdon"),
+        F.sum("ton").alias("ton"),
+        as_double(F.try_sum("coupon")).alias("tda"),
+        as_double(F.try_sum("both")).alias("tra"),
+    )
+
+
 def product_views(views: DataFrame) -> DataFrame:
     """(userId, productId) of the page views that show a product."""
     return views.select(

@@ -98,16 +98,25 @@ def user_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.groupBy("userId", *kind).agg(F.sum("n").alias("n"))
 
 
-def item_kinds(coded: DataFrame, orders: DataFrame) -> DataFrame:
-    """Joined items per (colour, type, label, train flag) (J7), in one sorted partition.
+def user_kinds(coded: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items per (user, colour, type, label, train flag) after joining items to orders."""
+    buyers = orders.select(F.col("memberId").alias("userId"), "orderSn")
+    per_order = _items_per_order(coded, KIND)
+    joined = per_order.join(buyers, F.col("cOrderSn") == F.col("orderSn"))
+    return joined.groupBy("userId", *KIND).agg(F.sum("n").alias("n"))
+
+
+def kinds_of(counted: DataFrame) -> DataFrame:
+    """Joined items per (colour, type, label, train flag), in one sorted partition.
 
     At most (colours + 1) x (types + 1) x 4 rows, as the dictionaries are fixed.
     """
-    owners = orders.groupBy("orderSn").agg(F.count(F.lit(1)).alias("owners"))
-    per_order = _items_per_order(coded, KIND)
-    joined = per_order.join(owners, F.col("cOrderSn") == F.col("orderSn"))
-    counted = joined.groupBy(*KIND).agg(F.sum(F.col("n") * F.col("owners")).alias("n"))
-    return counted.repartition(1).sortWithinPartitions(*KIND)
+    return counted.groupBy(*KIND).agg(F.sum("n").alias("n")).repartition(1).sortWithinPartitions(*KIND)
+
+
+def item_kinds(coded: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items per kind, from items and orders."""
+    return kinds_of(user_kinds(coded, orders))
 
 
 def index_labels(rows: DataFrame, label: str) -> StringIndexerModel:
@@ -193,12 +202,15 @@ def votes(predicted: DataFrame, orders: DataFrame, predict: str = "predict") ->
     """
     per_order = _items_per_order(predicted, [predict])
     buyers = orders.select(F.col("memberId").alias("userId"), "orderSn")
-    joined = per_order.join(buyers, F.col("cOrderSn") == F.col("orderSn"))
+    return votes_of(per_order.join(buyers, F.col("cOrderSn") == F.col("orderSn")), predict)
+
 
+def votes_of(counted: DataFrame, predict: str = "predict") -> DataFrame:
+    """The votes of (user, class, n) rows."""
     def items(rows: Column, name: str) -> Column:
         return F.sum(F.when(rows, F.col("n")).otherwise(0)).cast("double").alias(name)
 
-    return joined.groupBy("userId").agg(
+    return counted.groupBy("userId").agg(
         items(F.lit(True), "total"),
         items(F.col(predict) == 0, "male"),
         items(F.col(predict) == 1, "female"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import merge_tags, tag_array, tag_list
+from tagloom.operators.bounded import lookup_join
+from tagloom.operators.lookup import Rules, rules_frame
 
 
 def one_row_per_user(*frames: DataFrame) -> DataFrame:
@@ -36,6 +39,30 @@ def merge_profiles(new: DataFrame, old: DataFrame, how: str = "left") -> DataFra
     return merged.select("userId", merge_tags(F.col("_new"), F.col("_old")).alias("tagIds"))
 
 
+def merge_replacing(new: DataFrame, old: DataFrame, siblings: Sequence[Rules]) -> DataFrame:
+    """Full merge in which a user's new tags take the place of the stored tags next to them.
+
+    `siblings` holds one set of rules per parent tag. A stored tag goes if the user has a new tag
+    under the same parent; all others stay (T0). Rules are looked up by join, however many there are.
+    """
+    spark = new.sparkSession
+    parents = None
+    for i, rules in enumerate(siblings):
+        own = rules_frame(spark, rules).select(F.col("id").cast("string").alias("tag"), F.lit(i).alias("parent"))
+        parents = own if parents is None else parents.unionByName(own)
+
+    def tags_of(df: DataFrame) -> DataFrame:
+        return _typed(df).select("userId", F.explode_outer(tag_array(F.col("tagIds"))).alias("tag"))
+
+    if parents is None:
+        return merge_profiles(new, old, "full")
+    fresh = tags_of(new)
+    renewed = lookup_join(fresh, parents, ["tag"], "inner").select("userId", "parent").distinct()
+    stored = lookup_join(tags_of(old), parents, ["tag"], "left")
+    kept = stored.join(renewed, ["userId", "parent"], "left_anti").select("userId", "tag")
+    return one_row_per_user(new, kept.withColumnRenamed("tag", "tagIds"))
+
+
 def _typed(df: DataFrame) -> DataFrame:
     return df.select(F.col("userId").cast("string"), F.col("tagIds").cast("string"))
 

@@ -122,6 +122,50 @@ def psm_clusters(orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: flo
     return model.transform(vectors).select("userId", "psm", "predict"), model
 
 
+def cycle_from(
+    totals: DataFrame, rules: Rules, as_of: date | str | None = None, shift_days: int = fixed.CYCLE_SHIFT_DAYS
+) -> DataFrame:
+    """T7 from the totals of each member."""
+    days = days_since_epoch_seconds(F.col("finishTime"), as_of, shift_days)
+    gaps = totals.select("userId", days.alias("days"))
+    return attach_band_tags(gaps, rules, F.col("days"), user="userId", numeric=True)
+
+
+def payment_from(summary: DataFrame, rules: Rules) -> DataFrame:
+    """T8 from an order summary."""
+    best = agg.best_code(summary.select("userId", "paymentCode", "counts"), "userId")
+    return attach_tags(best, rules, "paymentCode", "userId", unmatched="default")
+
+
+def rfm_from(
+    totals: DataFrame,
+    rules: Rules,
+    as_of: date | str | None = None,
+    shift_days: int = fixed.RFM_SHIFT_DAYS,
+    k: int = fixed.RFM_K,
+    model_path: str | None = None,
+    **bands,
+) -> DataFrame:
+    """T9 from the totals of each member."""
+    recency = days_since_epoch_seconds(F.col("finishTime"), as_of, shift_days).alias("recency")
+    features = totals.select("userId", recency, "frequency", "monetary")
+    scored = cut_lineage(agg.rfm_scores(features, **bands))
+    columns = ["recency", "frequency", "monetary"]
+    tagged = clusters.tag_by_score_clusters(scored, columns, k, rules, model_path)
+    return tagged.select(F.col("userId").cast("string"), "tagIds")
+
+
+def psm_from(
+    totals: DataFrame, rules: Rules, k: int = fixed.PSM_K, zero_discount_eps: float | None = None
+) -> DataFrame:
+    """T11 from the totals of each member."""
+    scored = cut_lineage(agg.psm_scores(totals, zero_discount_eps))
+    vectors = clusters.assemble(clusters.dealt(scored, "userId"), ["psm"])
+    model = clusters.kmeans(k).fit(vectors)
+    tagged = clusters.zip_clusters(model.transform(vectors), clusters.centre_sums(model), rules)
+    return tagged.select(F.col("userId").cast("string"), "tagIds")
+
+
 def order_tags(
     orders: DataFrame,
     cycle_rules: Rules = tuple(fixed.CYCLE_RULES),
@@ -137,52 +181,38 @@ def order_tags(
     The per-member totals are written once; each job then reads one short row per member.
     """
     totals = cut_lineage(agg.order_totals(orders))
-
-    def days(shift_days: int):
-        return days_since_epoch_seconds(F.col("finishTime"), as_of, shift_days)
-
-    gaps = totals.select("userId", days(cycle_shift_days).alias("days"))
-    cycle = attach_band_tags(gaps, cycle_rules, F.col("days"), user="userId", numeric=True)
-
-    recency = days(rfm_shift_days).alias("recency")
-    features = totals.select("userId", recency, "frequency", "monetary")
-    scored = agg.rfm_scores(features, **bands)
-    columns = ["recency", "frequency", "monetary"]
-    rfm = clusters.tag_by_score_clusters(scored, columns, fixed.RFM_K, rfm_rules)
-
-    vectors = clusters.assemble(clusters.dealt(agg.psm_scores(totals), "userId"), ["psm"])
-    model = clusters.kmeans(fixed.PSM_K).fit(vectors)
-    clustered = model.transform(vectors)
-    psm = clusters.zip_clusters(clustered, clusters.centre_sums(model), psm_rules)
-
-    frames = [f.select(F.col("userId").cast("string"), "tagIds") for f in (cycle, rfm, psm)]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    cycle = cycle_from(totals, cycle_rules, as_of, cycle_shift_days)
+    rfm = rfm_from(totals, rfm_rules, as_of, rfm_shift_days, **bands)
+    return cycle.unionByName(rfm).unionByName(psm_from(totals, psm_rules))
 
 
 def usg_kinds(items: DataFrame, orders: DataFrame):
-    """The kinds of items with counts, train flag and predicted class, and the model.
+    """The kinds of items with counts, train flag and predicted class, the model, and the items
+    per user and kind they were counted from (T12).
 
     The class depends on the kind of item alone, so the tree is applied to the kinds.
     """
-    kinds = cut_lineage(classify.item_kinds(classify.item_features(items), orders))
+    counted = cut_lineage(classify.user_kinds(classify.item_features(items), orders))
+    kinds = cut_lineage(classify.kinds_of(counted))
     model = classify.fit_gender_tree(kinds)
-    return model.transform(kinds).select(*classify.KIND, "n", "label", "predict"), model
+    return model.transform(kinds).select(*classify.KIND, "n", "label", "predict"), model, counted
 
 
 def usg_tags(
     items: DataFrame, orders: DataFrame, rules: Rules = tuple(fixed.USG_RULES)
 ) -> DataFrame:
-    """Shopping gender (T12): each item of the train and test sets votes once."""
-    kinds, _ = usg_kinds(items, orders)
-    kind = ["color", "productType", "gender"]
-    classes = F.broadcast(kinds.select(*kind, "predict").distinct())
-    predicted = classify.item_features(items).join(classes, kind)
-    return classify.vote_tags(classify.votes(predicted, orders), rules)
+    """Shopping gender (T12): each item of the train and test sets votes once.
+
+    Items and orders are read and joined once; the fit and the votes both come from the counts.
+    """
+    kinds, _, counted = usg_kinds(items, orders)
+    classes = F.broadcast(kinds.select(*classify.KIND, "predict"))  # bounded by the dictionaries
+    return classify.vote_tags(classify.votes_of(counted.join(classes, classify.KIND)), rules)
 
 
 def usg_quality(items: DataFrame, orders: DataFrame) -> dict[str, dict[str, float]]:
     """Accuracy, error and area under ROC on the train and the test items."""
-    kinds, _ = usg_kinds(items, orders)
+    kinds, _, _ = usg_kinds(items, orders)
     weighted = kinds.withColumn("weight", F.col("n").cast("double"))
     parts = {"train": F.col("train"), "test": ~F.col("train")}
     result = {}

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
+from tagloom.operators import aggregates as agg
 from tagloom.operators.lookup import Match, attach_all_tags
 from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.plans import tag_jobs
 from tagloom.plans.template import run_tag_job
-from tagloom.session import scratch_path
+from tagloom.session import cut_lineage, scratch_path
 from tagloom.sources.readers import read_profile, read_source
 from tagloom.sources.versions import save_version
 from tagloom.sources.writers import write_source
@@ -73,7 +74,8 @@ def profile_upsert(spark, sf_dir):
 
 def profile_all(spark, sf_dir):
     """The matching and counting jobs as one profile, merged in a single pass."""
-    users, orders = src.users(spark, sf_dir), src.orders(spark, sf_dir)
+    users, summary = src.users(spark, sf_dir), agg.order_summary(src.orders(spark, sf_dir))
+    summary = cut_lineage(summary)
     return tag_jobs.profile_of(
         attach_all_tags(
             users,
@@ -85,8 +87,8 @@ def profile_all(spark, sf_dir):
             ],
         ),
         tag_jobs.age_tags(users),
-        tag_jobs.cycle_tags(orders, as_of=src.AS_OF),
-        tag_jobs.payment_tags(orders),
+        tag_jobs.cycle_from(agg.member_totals(summary), fixed.CYCLE_RULES, src.AS_OF),
+        tag_jobs.payment_from(summary, fixed.PAYMENT_RULES),
         stored=src.stored_profile(spark, sf_dir),
     )
 

@@ -97,7 +97,7 @@ def test_usg_tags(shop):
     # The buyer of the hot order o0 and those whose orders are no multiple of 3.
     assert len(tagged) == len({r["userId"] for r in tagged}) == 41
     assert {r["tagIds"] for r in tagged} <= {"57", "58", "59"}
-    kinds, model = tag_jobs.usg_kinds(items, orders)
+    kinds, model, _ = tag_jobs.usg_kinds(items, orders)
     assert "If (feature" in classify.tree_text(model)
     votes = classify.votes(
         classify.item_features(items).join(

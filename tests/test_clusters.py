@@ -156,3 +156,19 @@ def test_min_max_scale(spark):
     df = spark.createDataFrame(rows, ["features"])
     found = [list(r["scalerFeatures"]) for r in clusters.min_max_scale(df).collect()]
     assert found == [[0.0, 0.5], [1.0, 0.5]]
+
+
+def test_price_sensitivity_does_not_follow_the_partitioning(spark, pairs):
+    from tagloom.plans import tag_jobs
+
+    rows = [(str(u), f"{u}-{i}", str(50 + u * 7 % 90 + i), str((u * i) % 11)) for u in range(300) for i in range(3)]
+    orders = spark.createDataFrame(rows, "memberId string, orderSn string, orderAmount string, couponCodeValue string")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in (1, 3, 7, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(pairs(tag_jobs.psm_tags(orders.repartition(n))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert found[0] and all(f == found[0] for f in found)

@@ -4,7 +4,7 @@ import pytest
 
 import run_tags
 from tagloom import fixed_values as fixed
-from tagloom.plans import tag_jobs
+from tagloom.plans import tag_jobs, template
 from tagloom.plans.standard import jobs_by_tag, standard_jobs
 from tagloom.sources.readers import read_profile
 
@@ -123,6 +123,50 @@ def test_runs_add_up_or_replace(spark, sources, tmp_path, pairs):
     assert ("1", "34") in pairs(replaced)
 
 
+def test_order_jobs_share_one_scan(spark, sources, tmp_path, monkeypatch, pairs):
+    """Cycle, payment, customer value and price sensitivity: the orders are opened once."""
+    opened = []
+    read = template.read_source
+
+    def counted(spark, rule, **arguments):
+        opened.append(rule["path"].rpartition("/")[2])
+        return read(spark, rule, **arguments)
+
+    monkeypatch.setattr(template, "read_source", counted)
+    names = ("cycle", "payment", "rfm", "psm")
+    found = read_profile(spark, run(sources, f"file://{tmp_path}/together", *names))
+    assert opened.count("orders") == 1
+    root = f"file://{tmp_path}/alone"
+    for name in names:
+        alone = run(sources, root, name)
+    assert pairs(found) == pairs(read_profile(spark, alone))
+
+
+def test_settings_reach_the_jobs(spark, sources, tmp_path):
+    def tags(*arguments):
+        path = run(sources, f"file://{tmp_path}/{len(arguments)}", *arguments, "cycle", "psm")
+        return {r["userId"]: r["tagIds"] for r in read_profile(spark, path).collect()}
+
+    usual, shifted = tags(), tags("--set", "cycle.shift_days=0", "--set", "psm.zero_discount_eps=0.01")
+    psm = {str(i) for i, _ in fixed.PSM_RULES}
+    assert usual != shifted and all(set(t.split(",")) & psm for t in shifted.values())
+    with pytest.raises(ValueError, match="unknown jobs"):
+        tags("--set", "horoscope.k=1")
+
+
+def test_new_tags_take_the_place_of_their_siblings(spark, sources, tmp_path):
+    def payments(*arguments):
+        path = run(sources, f"file://{tmp_path}/{len(arguments)}", "gender", "cycle")
+        path = run(sources, f"file://{tmp_path}/{len(arguments)}", "--set", "cycle.shift_days=85", *arguments, "cycle")
+        ids = {str(i) for i, _ in fixed.CYCLE_RULES}
+        genders = {str(i) for i, _ in fixed.GENDER_RULES}
+        rows = [set(r["tagIds"].split(",")) for r in read_profile(spark, path).collect()]
+        assert all(len(tags & genders) == 1 for tags in rows)
+        return max(len(tags & ids) for tags in rows)
+
+    assert payments() == 2 and payments("--replace-siblings") == 1
+
+
 def test_model_is_kept_between_runs(spark, sources, tmp_path, pairs):
     model = f"file://{tmp_path}/model"
     first = run(sources, f"file://{tmp_path}/a", "--rfm-model", model, "rfm")
