@@ -10,18 +10,17 @@ from tagloom import fixed_values as fixed
 from tagloom.functions.text import id_list
 from tagloom.session import scratch_path, scratch_root
 
-MIN_BLOCKS, MAX_BLOCKS = 10, 2_000
-RATINGS_PER_BLOCK = 5_000_000
+BLOCKS = 10
 
 
-def fit_preferences(ratings: DataFrame) -> ALSModel:
+def fit_preferences(ratings: DataFrame, blocks: int = BLOCKS) -> ALSModel:
     """ALS on (userId, productId, rating), implicit.
 
-    The number of factor blocks grows with the ratings, so that a block fits a task. ALS cuts
-    its own lineage every few iterations in the session's checkpoint folder.
+    `blocks` is the number of factor blocks on either side. Choose it so that the ratings of a block
+    fit a task (some five million); the lists do not depend on it. ALS cuts its own lineage every
+    few iterations in the session's checkpoint folder.
     """
     scratch_root(ratings.sparkSession)
-    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK)))
     return ALS(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
@@ -46,7 +45,10 @@ def stored_model(model: ALSModel) -> ALSModel:
 
 
 def top_products(model: ALSModel, n: int = fixed.ALS_TOP_N) -> DataFrame:
-    """(userId, tagIds) with the ids of the `n` best products of each user, best first."""
+    """(userId, tagIds) with the ids of the `n` best products of each user, best first.
+
+    Exact top products compare every user with every product: the cost is users times products.
+    """
     best = model.recommendForAllUsers(n)
     return best.select(
         F.col("userId").cast("string").alias("userId"),

@@ -223,10 +223,10 @@ def usg_quality(items: DataFrame, orders: DataFrame) -> dict[str, dict[str, floa
     return result
 
 
-def brand_tags(views: DataFrame) -> DataFrame:
+def brand_tags(views: DataFrame, blocks: int = recommend.BLOCKS) -> DataFrame:
     """Product preference (T13): `tagIds` lists product ids, best first."""
     ratings = cut_lineage(agg.product_ratings(views))
-    model = recommend.stored_model(recommend.fit_preferences(ratings))
+    model = recommend.stored_model(recommend.fit_preferences(ratings, blocks))
     return recommend.top_products(model)
 
 
