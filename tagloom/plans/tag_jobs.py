@@ -230,9 +230,14 @@ def brand_tags(views: DataFrame, blocks: int = recommend.BLOCKS) -> DataFrame:
     return recommend.top_products(model)
 
 
-def iris_clusters(rows: DataFrame, k: int = fixed.IRIS_K) -> DataFrame:
-    """Scaled features, clusters, and rows per (label, cluster)."""
+def iris_clusters(rows: DataFrame, k: int = fixed.IRIS_K, keys: Iterable[str] = ()) -> DataFrame:
+    """Scaled features, clusters, and rows per (label, cluster).
+
+    With `keys` the fit sees the rows in an order that no partitioning changes.
+    """
     scaled = clusters.min_max_scale(rows)
+    if keys:
+        scaled = clusters.dealt(scaled, *keys)
     model = clusters.kmeans(k, features="scalerFeatures").fit(scaled)
     return clusters.confusion_counts(model.transform(scaled))
 

@@ -158,7 +158,7 @@ def als_top5(spark, sf_dir):
 
 def kmeans_minmax(spark, sf_dir):
     """T14 over the embeddings and their labels."""
-    return tag_jobs.iris_clusters(vectors(spark, sf_dir))
+    return tag_jobs.iris_clusters(vectors(spark, sf_dir), keys=["vec_id"])
 
 
 def measurements(spark, sf_dir):
