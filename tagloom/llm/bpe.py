@@ -29,10 +29,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import exact, fresh, text_slices
+from tagloom.llm.common import exact, fresh, slice_bounds, text_slices
 
-CACHE_PIECES = 1_000_000
-CACHE_BORDERS = 400_000
+CACHE_PIECES = 400_000
+CACHE_BORDERS = 200_000
 TRIE_WORDS = 50_000
 
 #: A blank between two characters that are no white space: no token reaches over it.
@@ -172,8 +172,8 @@ class Codec:
     over such a blank, so pieces are encoded one by one.
     """
 
-    def __init__(self, spec: dict, encode_pieces: Callable[[list[str]], list]):
-        self.encode_pieces = encode_pieces
+    def __init__(self, spec: dict, encode_pieces: Callable[[list[str]], list], cache_pieces: int | None = None):
+        self.encode_pieces, self.cache_pieces = encode_pieces, cache_pieces or CACHE_PIECES
         self.added = {}
         for token in spec.get("added_tokens") or []:
             if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
@@ -233,7 +233,7 @@ class Codec:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids start (one more than texts)."""
-        if self.count > CACHE_PIECES:
+        if self.count > self.cache_pieces:
             self._forget()
         split = pc.split_pattern(texts.fill_null(""), " ")
         bounds = split.offsets.to_numpy().astype(np.int64)
@@ -355,36 +355,32 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out_col: st
     """`docs` with one more column: the ids of the text (an empty array for null)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("array<int>")
-    def ids_of(texts):
-        import pandas as pd
-
-        codec, out = trie_codec(shared.value), []
-        for i in range(0, len(texts), 512):
-            ids, starts = codec.encode(pa.array(texts[i : i + 512], pa.string(), from_pandas=True))
-            out += [ids[a:b] for a, b in zip(starts[:-1], starts[1:])]
-        return pd.Series(out, dtype=object)
+    def ids_of(texts: pa.Array) -> pa.Array:
+        codec, parts = trie_codec(shared.value), []
+        for a, b in slice_bounds(texts):
+            ids, starts = codec.encode(texts.slice(a, b - a))
+            parts.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32())))
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     (name,) = fresh(docs, out_col)
-    return docs.withColumn(name, ids_of(exact(text_col)))
+    return docs.withColumn(name, F.arrow_udf(ids_of, "array<int>")(exact(text_col)))
 
 
 def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """`docs` with one more column: the text of the ids (empty for null)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("string")
-    def text_of(lists):
-        import pandas as pd
-
-        codec, out = trie_codec(shared.value), []
-        for ids in lists:
-            found = np.asarray(ids if ids is not None else [], np.int32)
-            out += codec.decode(found, np.array([0, len(found)]))
-        return pd.Series(out, dtype=object)
+    def text_of(lists: pa.Array) -> pa.Array:
+        codec, parts = trie_codec(shared.value), []
+        for i in range(0, len(lists), 1000):
+            some = lists.slice(i, 1000)
+            starts = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(some), 0).to_numpy())])
+            parts.append(pa.array(codec.decode(some.flatten().to_numpy(), starts), pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     (name,) = fresh(docs, out_col)
-    return docs.withColumn(name, text_of(exact(ids_col)))
+    return docs.withColumn(name, F.arrow_udf(text_of, "string")(exact(ids_col)))
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

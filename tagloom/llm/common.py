@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task; bounds the memory of a Python worker.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_500_000
 
 #: Fixed by the data contract: words are runs of anything but these six characters, which are
 #: also what `bytes.split()` splits at.
@@ -38,16 +38,20 @@ def exact(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows with about SLICE_BYTES of text each.
+def slice_bounds(texts: pa.Array, size: int = SLICE_BYTES) -> list[tuple[int, int]]:
+    """Runs of rows with about `size` bytes of text each; a longer text is a run of its own."""
+    sizes = pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False)
+    run = (np.cumsum(sizes, dtype=np.int64) - sizes) // size
+    cuts = (np.flatnonzero(np.diff(run)) + 1).tolist()
+    return [(a, b) for a, b in zip([0, *cuts], [*cuts, len(texts)]) if b > a]
 
-    A single longer text is a slice of its own.
-    """
+
+def text_slices(
+    batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with about `size` bytes of text each."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False)
-        run = (np.cumsum(sizes, dtype=np.int64) - sizes) // SLICE_BYTES
-        cuts = np.flatnonzero(np.diff(run)) + 1
-        for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if end > start:
-                yield batch.slice(int(start), int(end - start))
+        for a, b in slice_bounds(texts, size):
+            yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()

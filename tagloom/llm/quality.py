@@ -22,18 +22,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SLICE_BYTES, exact, fresh
+from tagloom.llm.common import exact, fresh, slice_bounds
 from tagloom.llm.repeats import word_codes
 
 BUCKETS = 2048
 FACTORS = 8
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 THRESHOLD = 0.3
 _SIGN, _UPPER, _LOWER, _DIGIT = (r"[#*$%&|<>~^_=+\\/@{}\[\]]", r"\p{Lu}", r"\p{Ll}", r"[0-9]")
 N_STATS = 16
@@ -215,14 +214,12 @@ def train(
 def score(machine: Machine, text: Column) -> Column:
     """The score of a whole text, 0 to 1."""
 
-    def scores(texts: pd.Series) -> pd.Series:
-        sizes = texts.str.len().fillna(0).to_numpy()
-        run = (np.cumsum(sizes) - sizes) // SLICE_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), len(texts)]
-        parts = [machine.score(pa.array(texts.iloc[a:b], pa.string(), from_pandas=True)) for a, b in zip(cuts, cuts[1:]) if b > a]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+    def scores(texts: pa.Array) -> pa.Array:
+        parts = [machine.score(texts.slice(a, b - a)) for a, b in slice_bounds(texts)]
+        pa.default_memory_pool().release_unused()
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-    return F.pandas_udf(scores, "double")(text)
+    return F.arrow_udf(scores, "double")(text)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:

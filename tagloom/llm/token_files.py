@@ -43,6 +43,8 @@ from tagloom.llm.common import exact, text_slices
 BLOCK = 512
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 17
+#: This operator holds little else in a task, so it works on longer slices and forgets later.
+SLICE_BYTES, CACHE_PIECES = 6_000_000, 1_000_000
 _HEAD, _BLOCK_HEAD = struct.Struct("<4sII"), struct.Struct("<IBH")
 
 
@@ -129,7 +131,7 @@ def library_codec(vocabulary: str) -> Codec:
     def encode_pieces(pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    return Codec(json.loads(vocabulary), encode_pieces)
+    return Codec(json.loads(vocabulary), encode_pieces, CACHE_PIECES)
 
 
 def write_token_files(
@@ -144,7 +146,7 @@ def write_token_files(
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         codec, part, first, seq = library_codec(shared.value), TaskContext.get().partitionId(), 0, 0
-        for rows in text_slices(batches, "text"):
+        for rows in text_slices(batches, "text", SLICE_BYTES):
             ids, starts = codec.encode(rows.column(1))
             n = np.diff(starts)
             whole = np.insert(ids, starts[1:], end_id)
