@@ -166,13 +166,13 @@ class TrieEncoder:
 
 
 class Codec:
-    """Texts to ids and back. `encode_pieces` turns distinct pieces of text into id lists.
+    """Texts to ids and back. `encode_pieces` gives all ids of distinct pieces of text, and each one's number.
 
     A piece is what stands between two lone blanks, with the blank before it; no token can reach
     over such a blank, so pieces are encoded one by one.
     """
 
-    def __init__(self, spec: dict, encode_pieces: Callable[[list[str]], list], cache_pieces: int | None = None):
+    def __init__(self, spec: dict, encode_pieces: Callable[[list[str]], tuple], cache_pieces: int | None = None):
         self.encode_pieces, self.cache_pieces = encode_pieces, cache_pieces or CACHE_PIECES
         self.added = {}
         for token in spec.get("added_tokens") or []:
@@ -197,17 +197,16 @@ class Codec:
         self.start = np.zeros(1 << 12, np.int64)
         self.count = 0
         for content, i in self.added.items():
-            self._learn(self.bare, [content], [[i]])
+            self._learn(self.bare, [content], np.array([i]), np.array([1]))
 
-    def _learn(self, known: dict[str, int], keys: list[str], found: list) -> None:
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        end, more = int(self.start[self.count]), int(sizes.sum())
-        while self.count + len(found) >= len(self.start):
+    def _learn(self, known: dict[str, int], keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        end, more = int(self.start[self.count]), len(ids)
+        while self.count + len(keys) >= len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
         while end + more > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[end : end + more] = np.fromiter(chain.from_iterable(found), np.int32, more)
-        self.start[self.count + 1 : self.count + 1 + len(found)] = end + np.cumsum(sizes)
+        self.flat[end : end + more] = ids
+        self.start[self.count + 1 : self.count + 1 + len(keys)] = end + np.cumsum(sizes)
         known.update(zip(keys, range(self.count, self.count + len(keys))))
         self.count += len(keys)
 
@@ -218,7 +217,7 @@ class Codec:
         if len(unknown):
             new = list(dict.fromkeys(keys[i] for i in unknown))
             lead = " " if known is self.spaced else ""
-            self._learn(known, new, self.encode_pieces([lead + k for k in new]))
+            self._learn(known, new, *self.encode_pieces([lead + k for k in new]))
             code[unknown] = [known[keys[i]] for i in unknown]
         return code
 
@@ -269,6 +268,12 @@ class Codec:
         return [data[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
 
 
+def id_runs(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the lists one after the other, and the lists' sizes."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
+
+
 def gather(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs [start, end) of `flat` one after the other, and the offsets of the runs."""
     size = end - start
@@ -317,13 +322,13 @@ def trie_codec(vocabulary: str) -> Codec:
                 return [lead + body[:-1], body[-1]]
         return [w for w, _ in cut(piece)]
 
-    def encode_pieces(pieces: list[str]) -> list[tuple[int, ...]]:
+    def encode_pieces(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words = [words_of(p) for p in pieces]
         distinct = list({w for ws in words for w in ws})
         ids: dict[str, tuple[int, ...]] = {}
         for i in range(0, len(distinct), TRIE_WORDS):
             ids.update(encoder.encode_words(distinct[i : i + TRIE_WORDS]))
-        return [ids[ws[0]] if len(ws) == 1 else sum((ids[w] for w in ws), ()) for ws in words]
+        return id_runs([ids[ws[0]] if len(ws) == 1 else sum((ids[w] for w in ws), ()) for ws in words])
 
     return Codec(spec, encode_pieces)
 
