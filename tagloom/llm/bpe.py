@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import exact, fresh, slice_bounds, text_slices
 
 CACHE_PIECES = 400_000
+#: Where encoding is all a task does, slices are longer and pieces are kept longer.
+LONE_SLICE_BYTES, LONE_CACHE_PIECES = 6_000_000, 1_000_000
 CACHE_BORDERS = 200_000
 TRIE_WORDS = 50_000
 
@@ -305,7 +307,7 @@ def byte_table(spec: dict) -> list[bytes]:
 
 
 @lru_cache(maxsize=2)
-def trie_codec(vocabulary: str) -> Codec:
+def trie_codec(vocabulary: str, cache_pieces: int | None = None) -> Codec:
     """A codec for the content of a vocabulary file; a worker process keeps it."""
     from tokenizers import Tokenizer
 
@@ -330,7 +332,7 @@ def trie_codec(vocabulary: str) -> Codec:
             ids.update(encoder.encode_words(distinct[i : i + TRIE_WORDS]))
         return id_runs([ids[ws[0]] if len(ws) == 1 else sum((ids[w] for w in ws), ()) for ws in words])
 
-    return Codec(spec, encode_pieces)
+    return Codec(spec, encode_pieces, cache_pieces)
 
 
 def read_vocabulary(path: str) -> str:
@@ -344,8 +346,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a file of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = trie_codec(shared.value)
-        for rows in text_slices(batches, "text"):
+        codec = trie_codec(shared.value, LONE_CACHE_PIECES)
+        for rows in text_slices(batches, "text", LONE_SLICE_BYTES):
             ids, starts = codec.encode(rows.column(1))
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
             decoded = pa.array(codec.decode(ids, starts), pa.string())
