@@ -1,23 +1,29 @@
 """Test items found in training text by rare seeds and local alignment (operator 8).
 
-Words are compared in lower case without signs. Every run of `SEED` words of a test item that occurs in
-a document is counted over all documents; of any `SPREAD` runs next to each other in an item those in the
-fewest documents are seeds. So the seeds are rare as the corpus has it, yet every stretch of an
-item has one: no passage is too frequent to be looked for, however often it was copied. Documents with a seed of an item are
-aligned with it by Smith-Waterman, in the surroundings of shared runs, and the score is the share of the
-best possible one. Edited and reworded copies keep enough runs to be found and lose score by the edits alone.
-
-The one thing sent to all tasks is a bit table of fixed size (`TABLE_BITS`) over the items' runs; what passes it by
+Words are compared in lower case without signs. A pair is two words of an item next to each other or with
+one word between them. An alignment of M matches and E edits scores 2 M - E; of its M - 1 steps from match to match
+at most E / 2 have two edits or more, so at least M - 1 - E / 2 = score / 2 - 1 of them are pairs of the item that
+the document also holds as pairs. So a document that reaches a share s of the best score of an item of n words holds pairs from
+at least s n - 1 different places of the item, however the edits lie and however frequent the pairs are.
+
+Pairs are counted over all documents. If a document must hold c of an item's P places, then at least k of any
+P - c + k are among them: the seeds are the P - c + k places in the fewest documents (k is `AGREE`, or c if that
+is less), and a document with k of them is a candidate. So seeds are rare as the corpus has it and the commonest pairs are never
+joined, yet no document that reaches the threshold is lost. Candidates are aligned by Smith-Waterman wherever c
+pairs lie close enough, and the score is the share of the best possible one.
+
+The one thing sent to all tasks is a bit table of fixed size (`TABLE_BITS`) over the items' pairs; what passes it by
 chance falls out in the join that follows. Counts, seeds and candidates are joins and aggregations, so
 neither corpus nor benchmark has to fit anywhere.
 
-Null and empty texts, and items without words, match nothing; an item of fewer than `SEED` words is one run.
-Rows that repeat an id are judged each on its own text, items that repeat an id give the best score. Null document ids are kept.
-Empty tables give no rows. Other columns are not read.
+Null and empty texts, and items without words, match nothing; an item of one word is looked for as that word, one of
+two words as a pair. Rows that repeat an id are judged each on its own text, items that repeat an id give the best score.
+Null document ids are kept. Empty tables give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -27,11 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import exact, fresh, text_slices
-from tagloom.llm.repeats import run_hashes, word_codes
+from tagloom.llm.repeats import _joined, word_codes
 from tagloom.session import cut_lineage
 
-SEED = 3
-SPREAD = 2
+#: Words from the first to the second of a pair.
+STEPS = (1, 2)
+AGREE = 3
 TABLE_BITS = 22
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -50,48 +57,69 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[codes[place]], place, np.concatenate([[0], np.cumsum(some)])[bounds]
 
 
-def seed_runs(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, offset, hash, words) of the runs of SEED words; a shorter text with words is one run."""
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    runs = run_hashes(words, SEED) if len(words) >= SEED else np.zeros(0, np.uint64)
-    inside = np.flatnonzero(text[: len(runs)] == text[SEED - 1 :]) if len(runs) else np.zeros(0, np.int64)
-    short = np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < SEED))
-    short_hash = [run_hashes(words[bounds[t] : bounds[t + 1]], bounds[t + 1] - bounds[t])[0] for t in short]
-    of = np.concatenate([text[inside], short])
-    offset = np.concatenate([inside - bounds[text[inside]], np.zeros(len(short), np.int64)])
-    size = np.minimum(np.diff(bounds)[of], SEED)
-    return of, offset, np.concatenate([runs[inside], np.array(short_hash, np.uint64)]), size
+def pairs_needed(n_words: int, threshold: float) -> int:
+    """Places of an item whose pairs a text holds if their alignment reaches the threshold."""
+    return max(1, math.ceil(threshold * n_words - 1e-9) - 1)
 
 
-def _item_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in text_slices(batches, "text"):
-        words, _, bounds = plain_words(rows.column(1))
-        of, offset, run, size = seed_runs(words, bounds)
-        key = rows.column(0).take(pa.array(of))
-        yield pa.RecordBatch.from_arrays(
-            [key, pa.array(offset, pa.int32()), pa.array(run.view(np.int64)), pa.array(size, pa.int32())],
-            names=["item", "at", "run", "size"],
-        )
+def _keys(words: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """(words in the key, place of its last word after the first, hashes by first word) of words and pairs."""
+    return [(1, 0, words), *((2, step, _joined(words, words, step)) for step in STEPS)]
+
+
+def _item_runs(threshold: float):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in text_slices(batches, "text"):
+            words, _, bounds = plain_words(rows.column(1))
+            n_words = np.diff(bounds)
+            text = np.repeat(np.arange(len(n_words)), n_words)
+            needed = np.array([pairs_needed(n, threshold) for n in n_words.tolist()], np.int32)
+            cells: list[tuple] = []
+            for size, step, runs in _keys(words):
+                inside = np.flatnonzero(text[: len(runs)] == text[step : step + len(runs)])
+                inside = inside[(n_words[text[inside]] > 1) == (size > 1)]
+                cells.append((text[inside], inside - bounds[text[inside]], runs[inside], np.full(len(inside), size)))
+            of, at, run, size = (np.concatenate(c) for c in zip(*cells))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column(0).take(pa.array(of)),
+                    pa.array(at, pa.int32()),
+                    pa.array(run.view(np.int64)),
+                    pa.array(size, pa.int32()),
+                    pa.array(needed[of], pa.int32()),
+                ],
+                names=["item", "at", "run", "size", "needed"],
+            )
+
+    return run
 
 
 def _hits(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
+        some = table.any(axis=1)
         for rows in text_slices(batches, "text"):
             words, _, bounds = plain_words(rows.column(2))
-            # a run shorter than SEED is looked for in texts of any length
-            for size in range(1, SEED + 1):
-                runs = run_hashes(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+            whose, held = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for size, step, runs in _keys(words):
+                if not some[size - 1]:
+                    continue
                 slot = runs >> np.uint64(64 - TABLE_BITS)
                 near = np.flatnonzero((table[size - 1][slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1))
                 text = np.searchsorted(bounds, near, "right") - 1
-                near, text = (a[near + size <= bounds[text + 1]] for a in (near, text))
-                pairs = np.unique(np.stack([text.astype(np.uint64), runs[near]]), axis=1)
-                whose = pa.array(pairs[0].astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(whose), rows.column(1).take(whose), pa.array(pairs[1].view(np.int64))],
-                    names=["id", "t1", "run"],
-                )
+                near, text = (a[near + step < bounds[text + 1]] for a in (near, text))
+                whose.append(text)
+                held.append(runs[near])
+            text, run = np.concatenate(whose), np.concatenate(held)
+            order = np.lexsort((run, text))
+            text, run = text[order], run[order]
+            new = np.ones(len(run), bool)
+            new[1:] = (run[1:] != run[:-1]) | (text[1:] != text[:-1])
+            of = pa.array(text[new])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0).take(of), rows.column(1).take(of), pa.array(run[new].view(np.int64))],
+                names=["id", "t1", "run"],
+            )
 
     return run
 
@@ -101,7 +129,7 @@ def _bit_tables(runs: DataFrame) -> np.ndarray:
     slot = F.shiftrightunsigned("run", 64 - TABLE_BITS)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
     rows = runs.groupBy("size", F.shiftright(slot, 6).alias("cell")).agg(F.bit_or(bit).alias("bits")).collect()
-    table = np.zeros((SEED, 1 << (TABLE_BITS - 6)), np.uint64)
+    table = np.zeros((2, 1 << (TABLE_BITS - 6)), np.uint64)
     for size, cell, bits in rows:
         table[size - 1, cell] = np.uint64(bits & 0xFFFFFFFFFFFFFFFF)
     return table
@@ -131,15 +159,25 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _near_runs(item: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of the text around the runs it shares with the item, wide enough for an alignment."""
-    size = min(SEED, len(item))
-    if len(text) < size or not size:
+def _near_pairs(item: np.ndarray, text: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Stretches of the text that hold every alignment with the item that reaches the threshold.
+
+    Such an alignment has at most 3 n words of the text less its score, and `pairs_needed` pairs begin in it.
+    """
+    if not len(item):
         return []
-    at = np.flatnonzero(np.isin(run_hashes(text, size), run_hashes(item, size)))
-    reach = 2 * len(item) + SEED
+    own = [runs for size, _, runs in _keys(item) if (size > 1) == (len(item) > 1)]
+    shared = np.zeros(len(text), bool)
+    for size, _, runs in _keys(text):
+        if (size > 1) == (len(item) > 1):
+            shared[: len(runs)] |= np.isin(runs, np.concatenate(own))
+    at = np.flatnonzero(shared)
+    needed = pairs_needed(len(item), threshold)
+    reach = math.floor((3 - MATCH * threshold) * len(item) + 1e-9)
+    first, last = at[: max(0, len(at) - needed + 1)], at[needed - 1 :]
+    close = last - first < reach
     out: list[tuple[int, int]] = []
-    for a, b in zip(np.maximum(at - reach, 0).tolist(), np.minimum(at + reach, len(text)).tolist()):
+    for a, b in zip(np.maximum(last[close] - reach, 0).tolist(), np.minimum(first[close] + reach, len(text)).tolist()):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], b)
         else:
@@ -159,7 +197,7 @@ def _aligned(threshold: float):
                 for k, item in enumerate(items):
                     wanted = own[ends[k] : ends[k + 1]]
                     best = (0, 0, 0)
-                    for a, b in _near_runs(wanted, text):
+                    for a, b in _near_pairs(wanted, text, threshold):
                         score, first, end = align(wanted, text[a:b])
                         if score > best[0]:
                             best = (score, a + first, a + end)
@@ -200,20 +238,22 @@ def contaminated(
     text = exact(text_col)
     items = items.select(exact(item_col).alias("item_id"), text.alias("text")).where("text is not null").distinct()
     items = items.withColumn("item", F.xxhash64("item_id", "text"))
-    runs = items.select("item", "text").mapInArrow(_item_runs, "item long, at int, run long, size int")
-    runs = cut_lineage(runs)
+    schema = "item long, at int, run long, size int, needed int"
+    runs = cut_lineage(items.select("item", "text").mapInArrow(_item_runs(threshold), schema))
     shared = spark.sparkContext.broadcast(_bit_tables(runs))
     base = docs.select(exact(id_col).alias("id"), F.xxhash64(text).alias("t1"), F.coalesce(text, F.lit("")).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     hits = base.select("id", "t1", "text").mapInArrow(_hits(shared), f"id {kind}, t1 long, run long")
-    hits = cut_lineage(hits.join(runs.select("run").distinct(), "run", "left_semi"))
+    hits = cut_lineage(hits)
     held = hits.groupBy("run").agg(F.count(F.lit(1)).alias("docs"))
-    ordered = Window.partitionBy("item").orderBy("at")
-    ranked = runs.join(held, "run", "left")  # a run that no document has is null and is passed over
-    ranked = ranked.withColumn("fewest", F.min("docs").over(ordered.rowsBetween(0, SPREAD - 1)))
-    ranked = ranked.withColumn("most", F.max("fewest").over(ordered.rowsBetween(1 - SPREAD, 0)))
-    seeds = ranked.where("docs = most").select("item", "run").distinct()
-    found = hits.join(seeds, "run").groupBy("id", "t1", "item").agg(F.lit(1).alias("one")).drop("one")
+    places = runs.join(held, "run", "left").groupBy("item", "at", "needed").agg(F.sum(F.coalesce("docs", F.lit(0))).alias("docs"))
+    of_item = Window.partitionBy("item")
+    places = places.withColumn("rank", F.row_number().over(of_item.orderBy("docs", "at")))
+    places = places.withColumn("n", F.count(F.lit(1)).over(of_item)).withColumn("agree", F.least("needed", F.lit(AGREE)))
+    places = places.where("rank <= n - needed + agree").select("item", "at", "agree")
+    seeds = cut_lineage(runs.join(places, ["item", "at"]).select("run", "item", "at", "agree").distinct())
+    found = hits.join(seeds, "run").groupBy("id", "t1", "item", "agree").agg(F.count_distinct("at").alias("places"))
+    found = found.where("places >= agree").select("id", "t1", "item")
     found = found.join(items.select("item", "text"), "item")
     found = found.groupBy("id", "t1").agg(F.collect_list(F.struct("item", "text")).alias("items"))
     wanted = found.select(F.col("id").alias("found_id"), F.col("t1").alias("found_t1"), "items")

@@ -425,3 +425,36 @@ def test_contaminated_awkward_rows(spark, awkward, empty):
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 8, 9, 11, 12, 13, 14, None}
     assert decontaminate.drop_contaminated(empty, bench).count() == 0
     assert decontaminate.drop_contaminated(awkward, bench.limit(0)).count() == awkward.count()
+
+
+def every_match(rows, items):
+    """Share of every (document, item) that reaches the threshold by the plain alignment of all pairs."""
+    code, out = {}, {}
+    numbers = lambda ws: np.array([code.setdefault(w, len(code)) for w in ws], np.uint64)
+    for d, text in rows:
+        for i, item in items:
+            share = decontaminate.align(numbers(plain(item)), numbers(plain(text)))[0] / (2 * len(plain(item)))
+            if share >= decontaminate.THRESHOLD:
+                out[d, i] = share
+    return out
+
+
+def test_edited_copies_beside_exact_ones(spark):
+    """Each item once as it is and once in every way of edits that leaves half of the best score."""
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").limit(12).collect()]
+    edits = [
+        lambda w: w,
+        lambda w: [x if k % 4 < 3 else "edited" for k, x in enumerate(w)],
+        lambda w: [x if k % 3 < 2 else "edited" for k, x in enumerate(w)],
+        lambda w: [y for k, x in enumerate(w) for y in ((x, "new") if k % 3 == 2 else (x,))],
+        lambda w: [y for x in w for y in (x, "new")],
+        lambda w: [x for k, x in enumerate(w) if k % 4 < 3],
+    ]
+    rows = [(100 * k + i, " ".join(e(t.split()))) for k, e in enumerate(edits) for i, t in items]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.best_matches(decontaminate.contaminated(docs, bench)).collect()
+    expected = every_match(rows, items)
+    assert {(r.id, r.item_id): r.score for r in found} == pytest.approx(expected)
+    for k in (0, 1, 3, 4, 5):
+        assert all((100 * k + i, i) in expected for i, _ in items)
