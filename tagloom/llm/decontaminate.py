@@ -3,13 +3,14 @@
 Words are compared in lower case without signs. A pair is two words of an item next to each other or with
 one word between them. An alignment of M matches and E edits scores 2 M - E; of its M - 1 steps from match to match
 at most E / 2 have two edits or more, so at least M - 1 - E / 2 = score / 2 - 1 of them are pairs of the item that
-the document also holds as pairs. So a document that reaches a share s of the best score of an item of n words holds pairs from
-at least s n - 1 different places of the item, however the edits lie and however frequent the pairs are.
+the document also holds as pairs. An item is reported from a share `THRESHOLD` of its best score on, or, as an excerpt of a long item is
+a passage too, from the score of `PASSAGE` words without edits. So the least score tells how many different places of
+the item a document holds pairs from, however the edits lie and however frequent the pairs are.
 
 Pairs are counted over all documents. If a document must hold c of an item's P places, then at least k of any
 P - c + k are among them: the seeds are the P - c + k places in the fewest documents (k is `AGREE`, or c if that
 is less), and a document with k of them is a candidate. So seeds are rare as the corpus has it and the commonest pairs are never
-joined, yet no document that reaches the threshold is lost. Candidates are aligned by Smith-Waterman wherever c
+joined, yet no document that reaches the least score is lost. Candidates are aligned by Smith-Waterman wherever c
 pairs lie close enough, and the score is the share of the best possible one.
 
 The one thing sent to all tasks is a bit table of fixed size (`TABLE_BITS`) over the items' pairs; what passes it by
@@ -38,9 +39,10 @@ from tagloom.session import cut_lineage
 
 #: Words from the first to the second of a pair.
 STEPS = (1, 2)
-AGREE = 3
+AGREE = 5
 TABLE_BITS = 22
 THRESHOLD = 0.5
+PASSAGE = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 _SIGNS = re.compile(r"[\W_]+")
 
@@ -57,9 +59,14 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[codes[place]], place, np.concatenate([[0], np.cumsum(some)])[bounds]
 
 
+def least_score(n_words: int, threshold: float) -> float:
+    """Score from which on an alignment with an item counts: a share of the best one, or a passage."""
+    return MATCH * min(threshold * n_words, PASSAGE)
+
+
 def pairs_needed(n_words: int, threshold: float) -> int:
-    """Places of an item whose pairs a text holds if their alignment reaches the threshold."""
-    return max(1, math.ceil(threshold * n_words - 1e-9) - 1)
+    """Places of an item whose pairs a text holds if their alignment has the least score."""
+    return max(1, math.ceil(least_score(n_words, threshold) / 2 - 1e-9) - 1)
 
 
 def _keys(words: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
@@ -160,7 +167,7 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 def _near_pairs(item: np.ndarray, text: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """Stretches of the text that hold every alignment with the item that reaches the threshold.
+    """Stretches of the text that hold every alignment with the item that has the least score.
 
     Such an alignment has at most 3 n words of the text less its score, and `pairs_needed` pairs begin in it.
     """
@@ -173,7 +180,7 @@ def _near_pairs(item: np.ndarray, text: np.ndarray, threshold: float) -> list[tu
             shared[: len(runs)] |= np.isin(runs, np.concatenate(own))
     at = np.flatnonzero(shared)
     needed = pairs_needed(len(item), threshold)
-    reach = math.floor((3 - MATCH * threshold) * len(item) + 1e-9)
+    reach = math.floor(3 * len(item) - least_score(len(item), threshold) + 1e-9)
     first, last = at[: max(0, len(at) - needed + 1)], at[needed - 1 :]
     close = last - first < reach
     out: list[tuple[int, int]] = []
@@ -202,7 +209,7 @@ def _aligned(threshold: float):
                         if score > best[0]:
                             best = (score, a + first, a + end)
                     share = best[0] / (MATCH * max(1, len(wanted)))
-                    if share >= threshold and best[0]:
+                    if best[0] and (share >= threshold or best[0] >= least_score(len(wanted), threshold)):
                         first, last = (int(place[bounds[i] + p] - starts[i]) for p in (best[1], best[2] - 1))
                         out.append((i, item["item"], share, first, last + 1))
             cells = list(zip(*out)) or [()] * 5

@@ -428,14 +428,14 @@ def test_contaminated_awkward_rows(spark, awkward, empty):
 
 
 def every_match(rows, items):
-    """Share of every (document, item) that reaches the threshold by the plain alignment of all pairs."""
+    """Share of every (document, item) that counts by the plain alignment of all pairs."""
     code, out = {}, {}
     numbers = lambda ws: np.array([code.setdefault(w, len(code)) for w in ws], np.uint64)
     for d, text in rows:
         for i, item in items:
-            share = decontaminate.align(numbers(plain(item)), numbers(plain(text)))[0] / (2 * len(plain(item)))
-            if share >= decontaminate.THRESHOLD:
-                out[d, i] = share
+            score, n = decontaminate.align(numbers(plain(item)), numbers(plain(text)))[0], len(plain(item))
+            if score >= min(decontaminate.THRESHOLD * 2 * n, 2 * decontaminate.PASSAGE):
+                out[d, i] = score / (2 * n)
     return out
 
 
@@ -458,3 +458,18 @@ def test_edited_copies_beside_exact_ones(spark):
     assert {(r.id, r.item_id): r.score for r in found} == pytest.approx(expected)
     for k in (0, 1, 3, 4, 5):
         assert all((100 * k + i, i) in expected for i, _ in items)
+
+
+def test_excerpts_of_long_items(spark):
+    """A passage of an item is found though it is less than half of it; one word less is not."""
+    item = [f"w{k}" for k in range(300)]
+    rows = [(n, " ".join(["lead", *item[50 : 50 + n], "tail"])) for n in (12, 13, 25, 140)]
+    rows.append((1000, " ".join(x if k % 5 else "edited" for k, x in enumerate(item[:60]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(1, " ".join(item)), (2, " ".join(f"v{k}" for k in range(40)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.best_matches(decontaminate.contaminated(docs, bench)).collect()
+    assert {(r.id, r.item_id): r.score for r in found} == pytest.approx(every_match(rows, items))
+    assert {r.id for r in found} == {13, 25, 140, 1000}
+    assert {(r.first_word, r.end_word) for r in found if r.id == 25} == {(1, 26)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [12]
