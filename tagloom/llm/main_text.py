@@ -6,6 +6,9 @@ capacities to the two terminals; blocks next to each other, and the next block o
 the same parent, are tied by smoothness edges that are stronger the more ancestors they share. The
 maximum flow saturates the cheapest cut: blocks still reached from the content side are content.
 
+A quote opens an attribute's value only behind `=`. Elements with text of another kind (scripts, drawings, choices) are left
+out up to their end tag; without one, scripts and the like go to the end of the page, of others the tag alone is left out.
+
 Null, empty and text-less pages give an empty text. Very long pages are handled whole; the flow
 only looks near a block that still has something to give. Repeated rows get equal texts; an empty
 table gives no rows; other columns are not looked at.
@@ -24,7 +27,9 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import exact, fresh
 
 #: HTML elements, by what they do to the text in them.
-RAW = frozenset("script style title textarea iframe noembed noframes noscript template svg math object canvas audio video select".split())
+RAW = frozenset("script style title textarea iframe noembed noframes noscript template svg object canvas audio video select".split())
+#: Those that hold no elements, so that one without an end tag goes to the end of the page.
+TO_END = frozenset("script style title textarea iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "html head body article section nav aside header footer main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead "
@@ -61,7 +66,7 @@ BAD_NAME_SCORE, GOOD_NAME_SCORE, MOST_GOOD = -6.0, 1.5, 4.0
 SCALE = 100
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>"""
+    r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|[^>])*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
     re.S,
 )
@@ -139,7 +144,10 @@ def blocks_of(html: str) -> list[Block]:
         if name in RAW:
             if not closing and not attributes.endswith("/"):
                 close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-                at = close.end() if close else end
+                if close:
+                    at = close.end()
+                elif name in TO_END:
+                    at = end
             words.append(" ")
         elif name == "a":
             links = 0 if closing else 1

@@ -150,6 +150,28 @@ def test_awkward_pages(spark):
     assert found[10] == rows[10] and main_text.with_main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", "noscript object video audio select canvas svg template".split())
+def test_unclosed_elements_do_not_take_the_rest(name):
+    start, rest = "<article><p>The first paragraph is here.</p>", "<p>The second paragraph is here.</p></article>"
+    both = "The first paragraph is here.\n\nThe second paragraph is here."
+    assert main_text.extract(f"{start}<{name}>{rest}") == both
+    assert main_text.extract(f"{start}<{name}>left out</{name}>{rest}") == both
+    assert main_text.extract(f"{start}<script>{rest}") == "The first paragraph is here."
+
+
+def test_quotes_open_values_behind_the_sign_alone():
+    page = "<article><p title=it's>One paragraph is here.</p><p>Two paragraphs are here.</p><p>It's the third one.</p></article>"
+    whole = "One paragraph is here.\n\nTwo paragraphs are here.\n\nIt's the third one."
+    assert main_text.extract(page) == whole
+    assert main_text.extract(page.replace("title=it's", "title = 'a > b' lang=x'y")) == whole
+    assert main_text.extract(page.replace("title=it's", "title=a=\"b")) == whole
+
+
+def test_formulas_are_text():
+    page = "<article><p>The law <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds for all of them.</p></article>"
+    assert main_text.extract(page) == "The law E=m holds for all of them."
+
+
 # Rules (6)
 
 
