@@ -1,9 +1,9 @@
 """Quality rules of documents, and verdicts on their hosts (operator 6). Columns and joins alone.
 
 Every text is measured in its own row: words, signs, repeated lines, and words in three-word windows that
-occur twice or more. For the windows, the hash of each is packed with its place into one long
-(place in the low bits, as many as the text's length needs), the longs are sorted, and neighbours with
-equal hash bits are repeats. At least 44 bits of hash remain for texts of up to a million words.
+occur twice or more. For the windows, the whole 64-bit hash of each and its place are sorted, and neighbours with
+equal hashes are repeats, in texts of any length: among ten million words an equal hash of unlike windows is
+expected three times in a million texts.
 
 Rule failures are counted by host. A host's failure rate is shrunk to the mean of all hosts by a beta
 prior whose strength is taken from the spread of the hosts' rates (moments), so a host with few
@@ -40,31 +40,23 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _repeat_places(words: Column, bits: Column) -> Column:
+def _repeat_places(words: Column) -> Column:
     """Sorted places of the three-word windows that occur twice or more."""
     def windows(w: Column) -> Column:
         first = F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
         return F.transform(
             first,
-            lambda x, i: _shift_left(
-                F.call_function("shiftrightunsigned", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), bits), bits
-            ).bitwiseOR(i.cast("long")),
+            lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("hash"), i.alias("place")),
         )
 
     def same(a: Column, b: Column) -> Column:
-        shift = lambda c: F.call_function("shiftrightunsigned", c, bits)
-        return shift(a).eqNullSafe(shift(b))
+        return a["hash"].eqNullSafe(b["hash"])
 
     def repeated(s: Column) -> Column:
         return F.filter(s, lambda x, k: same(x, F.get(s, k + 1)) | same(x, F.get(s, k - 1)))
 
-    low = _shift_left(F.lit(1).cast("long"), bits) - 1
     found = _bound(F.sort_array(_bound(words, windows)), repeated)
-    return F.sort_array(F.transform(found, lambda x: x.bitwiseAND(low)))
-
-
-def _shift_left(value: Column, bits: Column) -> Column:
-    return F.call_function("shiftleft", value, bits)
+    return F.sort_array(F.transform(found, lambda x: x["place"].cast("long")))
 
 
 def _covered(places: Column) -> Column:
@@ -82,7 +74,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     rows = docs.select(exact(id_col).alias("id"), exact(host_col).alias("host"), text.alias("text"))
     trimmed = F.trim("text", F.lit(_GAP_CHARS))
     rows = rows.select("*", F.filter(F.split(trimmed, WORD_GAP), lambda w: w != "").alias("words"))
-    rows = rows.select("*", F.size("words").alias("n"), F.length(F.bin(F.size("words"))).alias("bits"))
+    rows = rows.select("*", F.size("words").alias("n"))
     lines = F.filter(F.split("text", "\n"), lambda s: F.trim(s, F.lit(_GAP_CHARS)) != "")
     return rows.select(
         "id",
@@ -92,7 +84,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
         F.regexp_count("text", F.lit(_SIGNS)).cast("long").alias("n_symbols"),
         _bound(lines, lambda s: F.size(s) - F.size(F.array_distinct(s))).cast("long").alias("n_dup_lines"),
         _bound(lines, F.size).cast("long").alias("n_lines"),
-        _covered(_repeat_places(F.col("words"), F.col("bits"))).alias("n_repeat_words"),
+        _covered(_repeat_places(F.col("words"))).alias("n_repeat_words"),
     )
 
 

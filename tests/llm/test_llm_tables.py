@@ -205,6 +205,13 @@ def test_repeated_windows_of_long_texts(spark):
         assert row.n_repeat_words == len(inside)
 
 
+def test_windows_with_like_hash_bits_do_not_repeat(spark):
+    """The first 43 bits of the two windows' hashes are equal: what was left beside a place in a text of this length."""
+    text = "a b x1335794 " + " ".join(map(str, range(1 << 20))) + " a b x2411739"
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    assert rules.measures(docs).first().n_repeat_words == 0
+
+
 # URL lists (7)
 
 
