@@ -107,17 +107,20 @@ def psm_tags(
     rules: Rules = tuple(fixed.PSM_RULES),
     k: int = fixed.PSM_K,
     zero_discount_eps: float | None = None,
+    parts: int = fixed.FIT_PARTS,
 ) -> DataFrame:
     """Price sensitivity (T11): scores are continuous, so all users take part in the fit."""
-    clustered, model = psm_clusters(orders, k, zero_discount_eps)
+    clustered, model = psm_clusters(orders, k, zero_discount_eps, parts)
     tagged = clusters.zip_clusters(clustered, clusters.centre_sums(model), rules)
     return tagged.select(F.col("userId").cast("string"), "tagIds")
 
 
-def psm_clusters(orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: float | None = None):
+def psm_clusters(
+    orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: float | None = None, parts: int = fixed.FIT_PARTS
+):
     """(userId, psm, predict) and the fitted model behind T11."""
     scored = cut_lineage(agg.psm_scores(agg.psm_features(orders), zero_discount_eps))
-    vectors = clusters.assemble(clusters.dealt(scored, "userId"), ["psm"])
+    vectors = clusters.assemble(clusters.dealt(scored, "userId", parts=parts), ["psm"])
     model = clusters.kmeans(k).fit(vectors)
     return model.transform(vectors).select("userId", "psm", "predict"), model
 
@@ -156,11 +159,15 @@ def rfm_from(
 
 
 def psm_from(
-    totals: DataFrame, rules: Rules, k: int = fixed.PSM_K, zero_discount_eps: float | None = None
+    totals: DataFrame,
+    rules: Rules,
+    k: int = fixed.PSM_K,
+    zero_discount_eps: float | None = None,
+    parts: int = fixed.FIT_PARTS,
 ) -> DataFrame:
     """T11 from the totals of each member."""
     scored = cut_lineage(agg.psm_scores(totals, zero_discount_eps))
-    vectors = clusters.assemble(clusters.dealt(scored, "userId"), ["psm"])
+    vectors = clusters.assemble(clusters.dealt(scored, "userId", parts=parts), ["psm"])
     model = clusters.kmeans(k).fit(vectors)
     tagged = clusters.zip_clusters(model.transform(vectors), clusters.centre_sums(model), rules)
     return tagged.select(F.col("userId").cast("string"), "tagIds")
@@ -174,6 +181,7 @@ def order_tags(
     as_of: date | str | None = None,
     cycle_shift_days: int = fixed.CYCLE_SHIFT_DAYS,
     rfm_shift_days: int = fixed.RFM_SHIFT_DAYS,
+    psm_parts: int = fixed.FIT_PARTS,
     **bands,
 ) -> DataFrame:
     """Rows of T7, T9 and T11 from a single pass over the orders.
@@ -183,7 +191,7 @@ def order_tags(
     totals = cut_lineage(agg.order_totals(orders))
     cycle = cycle_from(totals, cycle_rules, as_of, cycle_shift_days)
     rfm = rfm_from(totals, rfm_rules, as_of, rfm_shift_days, **bands)
-    return cycle.unionByName(rfm).unionByName(psm_from(totals, psm_rules))
+    return cycle.unionByName(rfm).unionByName(psm_from(totals, psm_rules, parts=psm_parts))
 
 
 def usg_kinds(items: DataFrame, orders: DataFrame):
@@ -230,14 +238,16 @@ def brand_tags(views: DataFrame, blocks: int = recommend.BLOCKS) -> DataFrame:
     return recommend.top_products(model)
 
 
-def iris_clusters(rows: DataFrame, k: int = fixed.IRIS_K, keys: Iterable[str] = ()) -> DataFrame:
+def iris_clusters(
+    rows: DataFrame, k: int = fixed.IRIS_K, keys: Iterable[str] = (), parts: int = fixed.FIT_PARTS
+) -> DataFrame:
     """Scaled features, clusters, and rows per (label, cluster).
 
     With `keys` the fit sees the rows in an order that no partitioning changes.
     """
     scaled = clusters.min_max_scale(rows)
     if keys:
-        scaled = clusters.dealt(scaled, *keys)
+        scaled = clusters.dealt(scaled, *keys, parts=parts)
     model = clusters.kmeans(k, features="scalerFeatures").fit(scaled)
     return clusters.confusion_counts(model.transform(scaled))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom import fixed_values as fixed
 from tagloom.operators import clusters
 from tagloom.plans import tag_jobs
+from tagloom.plans.standard import standard_jobs
 from tagloom.sources.versions import path_exists
 
 RFM = ["recency", "frequency", "monetary"]
@@ -172,3 +173,24 @@ def test_price_sensitivity_does_not_follow_the_partitioning(spark, pairs):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     assert found[0] and all(f == found[0] for f in found)
+
+
+@pytest.mark.parametrize("parts", [3, 11])
+def test_parts_of_a_fit_are_a_setting(spark, monkeypatch, parts):
+    """The jobs with a fit on all users deal them to as many parts as they are told."""
+    seen, dealt = [], clusters.dealt
+
+    def watched(*args, **named):
+        out = dealt(*args, **named)
+        seen.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(clusters, "dealt", watched)
+    rows = [(f"u{i}", f"s{i}", 100.0 + i, float(i % 7), 1_500_000_000 + i) for i in range(60)]
+    orders = spark.createDataFrame(rows, "memberId string, orderSn string, orderAmount double, couponCodeValue double, finishTime long")
+    orders = orders.withColumn("paymentCode", F.lit("alipay"))
+    tag_jobs.psm_tags(orders, parts=parts, zero_discount_eps=0.01)
+    jobs = standard_jobs(settings={"psm": {"parts": parts, "zero_discount_eps": 0.01}})
+    jobs["psm"](fixed.PSM_RULES, orders)
+    tag_jobs.order_tags(orders, as_of="2019-11-25", psm_parts=parts)
+    assert len(seen) == 3 and set(seen) == {parts}
