@@ -32,7 +32,7 @@ from tagloom.llm.repeats import word_codes
 
 BUCKETS = 2048
 FACTORS = 8
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 6000
 THRESHOLD = 0.3
 _SIGN, _UPPER, _LOWER, _DIGIT = (r"[#*$%&|<>~^_=+\\/@{}\[\]]", r"\p{Lu}", r"\p{Ll}", r"[0-9]")
 N_STATS = 16

@@ -361,6 +361,11 @@ def test_sample_bound_is_kept_and_model_repeats(spark, documents):
     assert np.allclose(a.weights, b.weights, atol=1e-5)
 
 
+def test_usual_sample_bound():
+    """The bound was once lowered to save memory; the fit uses what fits on the driver."""
+    assert quality.SAMPLE_ROWS == 6000
+
+
 # Decontamination (8)
 
 
