@@ -1,10 +1,11 @@
-"""Passages that repeat across documents, found by seed and extend (operator 10).
+"""Passages that repeat across documents, found by shared seeds and window hashes (operator 10).
 
 Seeds are winnowed: of the `WINDOW - SEED + 1` runs of `SEED` words in a window of `WINDOW` words
 the one with the least hash is taken. Equal windows have equal seeds, so a window can only repeat
 in another text if its seed is shared between texts; all others are dropped after one aggregation of
-seeds (about one for every sixteen words). Documents that hold shared seeds are read again, and each
-such seed is extended both ways over all windows it is the least in. The first document of every
+seeds (about one for every sixteen words). Documents that hold shared seeds are read again, and all
+windows that such a seed is the least in are hashed; in place of an extension word by word, which
+would need pairs of holders, windows are compared by these hashes. The first document of every
 window is one more aggregation, by 128-bit hashes; a window of a later document is a repeat. Runs of
 repeated windows, merged, are the maximal repeats over the length threshold.
 
