@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import (
     bpe,
+    conversations,
     decontaminate,
     hash_tree,
     main_text,
+    negatives,
     quality,
     repeats,
     rules,
+    secrets,
     simhash,
     token_files,
     url_lists,
@@ -93,6 +96,23 @@ def op10_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
 
 
+def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, and the cheapest edits that make it legal."""
+    talks = table(spark, sf_dir, "conversations")
+    return conversations.audits(talks, conversations.damage(talks))
+
+
+def op12_multipart_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets, with weak parts that complete each other."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", secrets.spans_text(F.col("found"))).drop("found")
+
+
+def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor's positives."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_bpe_trie": op2_bpe_trie,
@@ -104,6 +124,9 @@ QUERIES = {
     "op8_rare_seeds": op8_rare_seeds,
     "op9_token_files": op9_token_files,
     "op10_seed_extend": op10_seed_extend,
+    "op11_auction_repair": op11_auction_repair,
+    "op12_multipart_secrets": op12_multipart_secrets,
+    "op13_bond_negatives": op13_bond_negatives,
 }
 
-SQL = {"op6_host_rules": rules.OP6_SQL, "op7_temporal_lists": url_lists.OP7_SQL}
+SQL = {"op6_host_rules": rules.OP6_SQL, "op7_temporal_lists": url_lists.OP7_SQL, "op13_bond_negatives": negatives.OP13_SQL}
