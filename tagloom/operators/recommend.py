@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
 from tagloom.functions.text import id_list
-from tagloom.session import scratch_path, scratch_root
+from tagloom.session import cut_lineage, scratch_path, scratch_root
 
 BLOCKS = 10
+#: Products in the first stripe, growth of the stripes, and what bounds allow for single precision.
+FIRST_STRIPE, STRIPE_GROWTH, STRIPE_SLACK = 4_096, 2, 1e-5
 
 
 def fit_preferences(ratings: DataFrame, blocks: int = BLOCKS) -> ALSModel:
@@ -44,13 +48,83 @@ def stored_model(model: ALSModel) -> ALSModel:
     return ALSModel.load(path)
 
 
-def top_products(model: ALSModel, n: int = fixed.ALS_TOP_N) -> DataFrame:
-    """(userId, tagIds) with the ids of the `n` best products of each user, best first.
+def _norm(features: Column) -> Column:
+    squares = F.transform(features, lambda x: x.cast("double") * x.cast("double"))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
+
+
+def _scored(users: DataFrame, products: DataFrame, rank: int, n: int) -> DataFrame:
+    """(id, found): the `n` best of `products` for each of `users`, as MLlib scores them in blocks."""
+    spark = users.sparkSession
+    sides = (df.select("id", "features")._jdf for df in (users, products))
+    model = spark._jvm.org.apache.spark.ml.recommendation.ALSModel("stripe", rank, *sides)
+    model = model.setUserCol("user").setItemCol("product")
+    best = DataFrame(model.recommendForAllUsers(n), spark)
+    found = F.transform("recommendations", lambda r: F.struct(r["rating"].alias("score"), r["product"].alias("product")))
+    return best.select(F.col("user").alias("id"), found.alias("found"))
+
 
-    Exact top products compare every user with every product: the cost is users times products.
+def stripe_borders(products: DataFrame, first: int = FIRST_STRIPE) -> list[float]:
+    """Norms that cut the products into stripes, the longest first.
+
+    The first stripe has about `first` products, each further one `STRIPE_GROWTH` times as many as
+    the one before, so the number of stripes grows with the logarithm of the products.
     """
-    best = model.recommendForAllUsers(n)
-    return best.select(
-        F.col("userId").cast("string").alias("userId"),
-        id_list(F.col("recommendations"), "productId").alias("tagIds"),
-    )
+    n, size, reach, shares = products.count(), first, first, []
+    while reach < n:
+        shares.append(1 - reach / n)
+        size *= STRIPE_GROWTH
+        reach += size
+    if not shares:
+        return []
+    found = products.agg(F.percentile_approx("norm", shares, 100_000)).first()[0]
+    return sorted(set(found), reverse=True)
+
+
+def _better_first(a: Column, b: Column) -> Column:
+    by_id = F.when(a["product"] < b["product"], -1).when(a["product"] > b["product"], 1).otherwise(0)
+    return F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).otherwise(by_id)
+
+
+def best_inner_products(
+    users: DataFrame, products: DataFrame, n: int = fixed.ALS_TOP_N, first: int = FIRST_STRIPE
+) -> tuple[DataFrame, int]:
+    """(id, best) with the `n` largest inner products of each user, and the number of pairs compared.
+
+    Both frames are (id int, features array<float>). No product of norm m scores above m times the norm of the
+    user, so the products are read in stripes of falling norm, and a user is done as soon as the next
+    stripe's bound is below the `n`-th best found. What is left for a stripe are the users that may still find
+    a better product in it; pairs of the others are never made. Bounds are widened by
+    `STRIPE_SLACK`, more than what single precision loses in a score. On equal scores the smaller id comes first within
+    what a stripe returns. Each round is written, so a lost executor repeats one stripe.
+    """
+    normed = cut_lineage(products.select("id", "features", _norm(F.col("features")).alias("norm")))
+    rank = (normed.select(F.size("features")).first() or [0])[0]
+    none = F.array().cast("array<struct<score: float, product: int>>")
+    open_users = cut_lineage(users.select("id", "features", _norm(F.col("features")).alias("norm"), none.alias("best")))
+    borders = stripe_borders(normed, first)
+    done, pairs = [], 0
+    for above, below in zip([None, *borders], [*borders, None]):
+        stripe = normed
+        if above is not None:
+            stripe = stripe.where(F.col("norm") < above)
+        if below is not None:
+            stripe = stripe.where(F.col("norm") >= below)
+        pairs += open_users.count() * stripe.count()
+        found = open_users.join(_scored(open_users, stripe, rank, n), "id", "left")
+        both = F.array_sort(F.concat("best", F.coalesce("found", none)), _better_first)
+        ranked = cut_lineage(found.select("id", "features", "norm", F.slice(both, 1, n).alias("best")))
+        if below is None:
+            done.append(ranked)
+            break
+        worst = F.get(F.col("best"), F.lit(n - 1))["score"]
+        is_open = F.coalesce(F.col("norm") * below * (1 + STRIPE_SLACK) >= worst, F.lit(True))
+        done.append(ranked.where(~is_open))
+        open_users = ranked.where(is_open)
+    return reduce(DataFrame.unionByName, done).select("id", "best"), pairs
+
+
+def top_products(model: ALSModel, n: int = fixed.ALS_TOP_N, first: int = FIRST_STRIPE) -> DataFrame:
+    """(userId, tagIds) with the ids of the `n` best products of each user, best first."""
+    best, _ = best_inner_products(model.userFactors, model.itemFactors, n, first)
+    return best.select(F.col("id").cast("string").alias("userId"), id_list(F.col("best"), "product").alias("tagIds"))

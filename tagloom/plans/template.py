@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.operators.lookup import Rules, short_rules
 from tagloom.operators.merge import merge_profiles, merge_replacing, one_row_per_user, upsert
 from tagloom.session import cut_lineage
+from tagloom.sources.buckets import create_store, read_manifest, rewrite_store
 from tagloom.sources.readers import level5_rules, read_profile, read_source, source_options
 from tagloom.sources.versions import latest_version, save_version
 
@@ -61,6 +62,7 @@ def run_tag_jobs(
     profile_root: str,
     merge: bool = True,
     replace_siblings: bool = False,
+    buckets: int | None = None,
 ) -> str:
     """Run the jobs of several tags and save one new profile version; returns its path.
 
@@ -68,6 +70,9 @@ def run_tag_jobs(
     what is stored, so the saved profile is the full merge. Without `merge` the new tags
     replace a tagged user's stored ones (T1). With `replace_siblings` a new tag takes the place of the
     stored tags under the same parent, so that a user who changes band does not collect bands.
+
+    With `buckets` a new profile is begun as a store of that many buckets. A run on such a store reads and rewrites the
+    buckets of the users it tags, does not shuffle the stored side, and returns the path of the store.
     """
     options = {t: source_options(catalogue, t) for t in jobs}
     prepared = _prepared(spark, options, jobs)
@@ -80,17 +85,22 @@ def run_tag_jobs(
             frames.append(job(rules, read_source(spark, options[tag_id], as_strings=False)))
         siblings.append(rules)
     fresh = one_row_per_user(*frames)
+
+    def combined(stored: DataFrame, new: DataFrame, key: str = "userId") -> DataFrame:
+        if not merge:
+            return upsert(stored, new, key)
+        return merge_replacing(new, stored, siblings) if replace_siblings else merge_profiles(new, stored, "full")
+
+    if read_manifest(spark, profile_root):
+        rewrite_store(profile_root, fresh, combined)
+        return profile_root
     current = latest_version(spark, profile_root)
+    if current is None and buckets:
+        create_store(fresh, profile_root, "userId", buckets)
+        return profile_root
     if current is None:
         return save_version(fresh, profile_root)
-    stored = read_profile(spark, current)
-    if not merge:
-        result = upsert(stored, fresh, "userId")
-    elif replace_siblings:
-        result = merge_replacing(fresh, stored, siblings)
-    else:
-        result = merge_profiles(fresh, stored, "full")
-    return save_version(result, profile_root)
+    return save_version(combined(read_profile(spark, current), fresh), profile_root)
 
 
 def run_tag_job(
@@ -100,6 +110,7 @@ def run_tag_job(
     compute: Compute,
     profile_root: str,
     merge: bool = True,
+    buckets: int | None = None,
 ) -> str:
     """Run the job of one tag, see `run_tag_jobs`."""
-    return run_tag_jobs(spark, catalogue, {tag_id: compute}, profile_root, merge)
+    return run_tag_jobs(spark, catalogue, {tag_id: compute}, profile_root, merge, buckets=buckets)

@@ -10,6 +10,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tagloom.fixed_values import SOURCE_KEYS
 from tagloom.functions.rules import rule_options
+from tagloom.sources.buckets import BUCKET, open_store, read_manifest
 from tagloom.sources.hbase import HBASE_FORMAT, hbase_options
 from tagloom.sources.versions import latest_version
 
@@ -89,10 +90,7 @@ def read_source(
     elif kind == "jdbc":
         df = spark.read.format("jdbc").options(**options).load()
     elif kind == "store":
-        current = latest_version(spark, options["path"])
-        if current is None:
-            raise ValueError(f"store {options['path']} is empty")
-        df = spark.read.parquet(current)
+        df = read_store(spark, options["path"])
     elif kind in FILE_FORMATS:
         path = options.pop("path")
         df = spark.read.format(kind).options(**options).load(path)
@@ -101,9 +99,20 @@ def read_source(
     return select_fields(df, fields, as_strings) if fields else df
 
 
+def read_store(spark: SparkSession, root: str) -> DataFrame:
+    """The current rows of a store, in buckets or in whole versions."""
+    if read_manifest(spark, root):
+        return open_store(spark, root).drop(BUCKET)
+    current = latest_version(spark, root)
+    if current is None:
+        raise ValueError(f"store {root} is empty")
+    return spark.read.parquet(current)
+
+
 def read_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Stored profile (userId, tagIds)."""
-    return spark.read.parquet(path).select(
+    """Stored profile (userId, tagIds) of a version, or of a store in buckets."""
+    rows = read_store(spark, path) if read_manifest(spark, path) else spark.read.parquet(path)
+    return rows.select(
         F.col("userId").cast("string"), F.col("tagIds").cast("string")
     )
 

@@ -14,12 +14,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
-def _versions(spark: SparkSession, root: str, pattern: str) -> list[int]:
-    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{VERSION_PREFIX}*{pattern}")
+def _versions(spark: SparkSession, root: str, pattern: str, prefix: str = VERSION_PREFIX) -> list[int]:
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}*{pattern}")
     fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(glob) or []
     paths = [status.getPath().toString() for status in found]
-    return sorted(int(p.rsplit(VERSION_PREFIX, 1)[1].split("/")[0]) for p in paths)
+    return sorted(int(p.rsplit(prefix, 1)[1].split("/")[0]) for p in paths)
+
+
+def latest_number(spark: SparkSession, root: str, prefix: str) -> int | None:
+    """Number of the newest folder of that prefix that was written to its end, or None."""
+    done = _versions(spark, root, "/_SUCCESS", prefix)
+    return done[-1] if done else None
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:

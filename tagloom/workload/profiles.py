@@ -11,8 +11,8 @@ from tagloom.operators.merge import merge_profiles, one_row_per_user, upsert
 from tagloom.plans import tag_jobs
 from tagloom.plans.template import run_tag_job
 from tagloom.session import cut_lineage, scratch_path
+from tagloom.sources.buckets import create_store
 from tagloom.sources.readers import read_profile, read_source
-from tagloom.sources.versions import save_version
 from tagloom.sources.writers import write_source
 from tagloom.workload import inputs as src
 from tagloom.workload import matching
@@ -55,8 +55,8 @@ def political_profile(spark, sf_dir):
 
 
 def gender_saved(spark, sf_dir):
-    """Gender tags written over a store without merging, and read back."""
-    rule = {"inType": "store", "path": scratch_path(spark, "store"), "rowKey": "userId"}
+    """Gender tags written over a store in buckets without merging, and read back."""
+    rule = {"inType": "store", "path": scratch_path(spark, "store"), "rowKey": "userId", "buckets": "8"}
     write_source(src.stored_profile(spark, sf_dir), rule)
     write_source(tag_jobs.gender_tags(src.users(spark, sf_dir)), rule)
     return read_source(spark, {**rule, "selectFields": "userId,tagIds"})
@@ -72,6 +72,16 @@ def profile_upsert(spark, sf_dir):
     return upsert(store, updates, "userId")
 
 
+def bucket_upsert(spark, sf_dir):
+    """Segments of the customers in debt and payment tags, written over a store in buckets one after the other."""
+    rule = {"inType": "store", "path": scratch_path(spark, "store"), "rowKey": "userId", "buckets": "16"}
+    write_source(src.stored_profile(spark, sf_dir), rule)
+    debtors = src.table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    write_source(debtors.select(F.col("c_custkey").cast("string").alias("userId"), F.col("c_mktsegment").alias("segment")), rule)
+    write_source(_payment(spark, sf_dir), rule)
+    return read_source(spark, {**rule, "selectFields": "userId,tagIds,segment"})
+
+
 def profile_all(spark, sf_dir):
     """The matching and counting jobs as one profile, merged in a single pass."""
     users, summary = src.users(spark, sf_dir), agg.order_summary(src.orders(spark, sf_dir))
@@ -94,7 +104,7 @@ def profile_all(spark, sf_dir):
 
 
 def profile_run(spark, sf_dir):
-    """A whole run from the catalogue to the next saved profile version."""
+    """A whole run from the catalogue to the next version of a profile in buckets."""
     rule = f"inType=parquet##path={sf_dir}/orders.parquet##selectFields=o_custkey,o_orderpriority"
     parent = fixed.TAG_IDS["payment"]
     job_tags = [(parent, rule, 4, None)] + [(i, r, 5, parent) for i, r in src.PRIORITY_RULES]
@@ -110,7 +120,7 @@ def profile_run(spark, sf_dir):
         return tag_jobs.payment_tags(renamed, rules)
 
     root = scratch_path(spark, "profile")
-    save_version(src.stored_profile(spark, sf_dir), root)
+    create_store(src.stored_profile(spark, sf_dir), root, "userId", 8)
     return read_profile(spark, run_tag_job(spark, catalogue, parent, compute, root))
 
 
@@ -124,6 +134,7 @@ QUERIES = {
         political_profile,
         gender_saved,
         profile_upsert,
+        bucket_upsert,
         profile_all,
         profile_run,
     )
@@ -191,6 +202,12 @@ updates AS (
   FROM customer LEFT JOIN payment ON CAST(c_custkey AS VARCHAR) = payment.user_id)
 SELECT coalesce(u.user_id, s.user_id) AS "userId", coalesce(u.tags, s.tags) AS "tagIds", u.segment
 FROM updates u FULL JOIN stored s ON u.user_id = s.user_id""",
+    "bucket_upsert": f"""WITH {src.STORED_SQL}, {PAYMENT_SQL},
+debtors AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment AS segment FROM customer WHERE c_acctbal < 0),
+users AS (SELECT user_id FROM stored UNION SELECT user_id FROM debtors UNION SELECT user_id FROM payment)
+SELECT u.user_id AS "userId", coalesce(p.tags, s.tags) AS "tagIds", d.segment
+FROM users u LEFT JOIN stored s USING (user_id) LEFT JOIN payment p USING (user_id)
+LEFT JOIN debtors d USING (user_id)""",
     "profile_all": _merge_sql(_all_tags_sql(), "FULL JOIN"),
     "profile_run": _merge_sql(_priority_sql(), "FULL JOIN"),
 }
