@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,54 +58,61 @@ def with_models(tags: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def _numbered(new: DataFrame, first: int) -> DataFrame:
-    """`new` with dense ids from `first` up, without bringing the rows into one task.
+    """`new` prefixes with dense ids from `first` up, level by level, without bringing the rows into one task.
 
-    Rows are numbered within 4096 hash buckets; the buckets' start numbers come from a running
-    sum over at most 4096 counts.
+    Rows are numbered within 4096 hash buckets a level; the buckets' start numbers come from a running
+    sum over at most 4096 counts for each of the three levels.
     """
-    key = F.concat_ws("/", F.col("level"), F.col("pid"), F.col("name"))
-    bucketed = new.withColumn("_bucket", F.substring(F.md5(key), 1, ID_BUCKET_DIGITS))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    path = F.concat_ws("/", "path")
+    bucketed = new.withColumn("_bucket", F.substring(F.md5(path), 1, ID_BUCKET_DIGITS))
+    before = Window.orderBy("level", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = bucketed.groupBy("level", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     start = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    starts = starts.select("_bucket", start.alias("_start"))
-    within = Window.partitionBy("_bucket").orderBy("pid", "name")
-    numbered = bucketed.join(F.broadcast(starts), "_bucket")
+    starts = starts.select("level", "_bucket", start.alias("_start"))
+    within = Window.partitionBy("level", "_bucket").orderBy("path")
+    numbered = bucketed.join(F.broadcast(starts), ["level", "_bucket"])
     place = F.col("_start") + F.row_number().over(within) - 1
     return numbered.withColumn("id", F.lit(first) + place).drop("_bucket", "_start")
 
 
+def known_paths(catalogue: DataFrame) -> DataFrame:
+    """(path, level, id) of every tag of the upper levels, the path being the names from the top down.
+
+    Of tags with the same name under the same parent the lowest id counts.
+    """
+    tags = catalogue.where(F.col("level").between(1, PATH_LEVELS) & F.col("name").isNotNull())
+    tags = tags.groupBy("name", "level", "pid").agg(F.min("id").alias("id"))
+    found = tags.where((F.col("level") == 1) & (F.col("pid") == ROOT_PID))
+    found = found.select(F.array("name").alias("path"), "level", "id")
+    levels = [found]
+    for level in range(2, PATH_LEVELS + 1):
+        below = tags.where(F.col("level") == level).select("name", "pid", F.col("id").alias("_id"))
+        met = levels[-1].join(below, F.col("id") == F.col("pid"))
+        path = F.concat("path", F.array("name")).alias("path")
+        levels.append(met.select(path, F.lit(level).alias("level"), F.col("_id").alias("id")))
+    return reduce(DataFrame.unionByName, levels)
+
+
 def add_paths(catalogue: DataFrame, paths: DataFrame) -> DataFrame:
     """Catalogue rows to add so that every (level1, level2, level3) path of names exists.
 
-    A path ends at its first null name. Each level looks up its tags below the ids of the level
-    above; what is not there yet gets a new id.
+    A path ends at its first null name. All levels are done at once: the distinct beginnings of all paths that no tag
+    has yet are numbered by one running count, parents before children, and written; a parent is
+    looked up by the beginning one name shorter, among old and new tags.
     """
     names = [f"level{i}" for i in range(1, PATH_LEVELS + 1)]
-    open_paths = cut_lineage(paths.select(*names).distinct())
-    open_paths = open_paths.withColumn("_pid", F.lit(ROOT_PID).cast("long"))
+    beginnings = F.array(*(F.array(*names[:i]) for i in range(1, PATH_LEVELS + 1)))
+    prefixes = paths.select(F.explode(beginnings).alias("path")).where(~F.exists("path", F.isnull)).distinct()
+    prefixes = prefixes.withColumn("level", F.size("path"))
+    known = known_paths(catalogue)
     first = (catalogue.agg(F.max("id")).first()[0] or 0) + 1
-    added = None
-    for level, name in enumerate(names, start=1):
-        open_paths = open_paths.where(F.col(name).isNotNull())
-        wanted = open_paths.select(
-            F.col(name).alias("name"), F.lit(level).alias("level"), F.col("_pid").alias("pid")
-        ).distinct()
-        known = catalogue.where(F.col("level") == level)
-        known = known.groupBy("name", "level", "pid").agg(F.min("id").alias("id"))
-        missing = wanted.join(known, ["name", "level", "pid"], "left_anti")
-        fresh = _numbered(missing, first).select("id", "name", "level", "pid")
-        # The next level's ids start after this level's, so they are counted and kept here.
-        fresh = cut_lineage(fresh)
-        first += fresh.count()
-        added = fresh if added is None else added.unionByName(fresh)
-        ids = known.select("id", "name", "pid").unionByName(fresh.select("id", "name", "pid"))
-        ids = ids.select(
-            F.col("id").alias("_id"), F.col("name").alias(name), F.col("pid").alias("_pid")
-        )
-        open_paths = open_paths.join(ids, ["_pid", name]).drop("_pid")
-        open_paths = open_paths.withColumnRenamed("_id", "_pid")
-    return added
+    fresh = cut_lineage(_numbered(prefixes.join(known.select("path"), "path", "left_anti"), first))
+    above = known.select("path", "id").unionByName(fresh.select("path", "id"))
+    above = above.select(F.col("path").alias("_above"), F.col("id").alias("_pid"))
+    parent = F.slice("path", 1, F.col("level") - 1)
+    placed = fresh.withColumn("_parent", parent).join(above, F.col("_parent") == F.col("_above"), "left")
+    pid = F.coalesce("_pid", F.lit(ROOT_PID)).cast("long")
+    return placed.select("id", F.element_at("path", -1).alias("name"), "level", pid.alias("pid"))
 
 
 def schedule_fields(schedule: Column) -> list[Column]:

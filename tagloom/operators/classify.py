@@ -14,14 +14,16 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
     VectorIndexer,
+    VectorIndexerModel,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
 from tagloom.functions.measures import majority_rule
 from tagloom.operators.bounded import local_frame
 from tagloom.operators.lookup import Rules, attach_tags
+from tagloom.operators.ranges import with_running_sum
 
 SPLIT_STEPS = 1_000_000
 
@@ -177,6 +179,104 @@ def fit_gender_tree(kinds: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 
 
+def tree_leaves(model: PipelineModel) -> list[dict]:
+    """The leaves of a fitted tree as split intervals over the raw features.
+
+    Each leaf has its `predict` value and `bounds`: feature number to (above, up to, values, others). A
+    feature lies above the first and up to the second, None for no bound; where the feature indexer took it
+    as categorical, it is one of `values`, or, with `others`, none of those the indexer knows.
+    """
+    tree = next(stage for stage in model.stages if hasattr(stage, "toDebugString"))
+    known: dict[int, dict[int, float]] = {}
+    for stage in model.stages:
+        if isinstance(stage, VectorIndexerModel):
+            known = {f: {index: value for value, index in m.items()} for f, m in stage.categoryMaps.items()}
+    leaves = []
+
+    def raw(feature: int, above, up_to, categories) -> tuple:
+        if categories is None:
+            return above, up_to, None, False
+        values = known[feature]
+        return None, None, sorted(values[c] for c in categories if c in values), len(values) in categories
+
+    def walk(node, bounds: dict) -> None:
+        if node.getClass().getSimpleName() == "LeafNode":
+            sides = {f: raw(f, *side) for f, side in bounds.items()}
+            leaves.append({"predict": float(node.prediction()), "bounds": sides, "known": {f: sorted(m.values()) for f, m in known.items()}})
+            return
+        split = node.split()
+        feature = split.featureIndex()
+        above, up_to, left = bounds.get(feature, (None, None, None))
+        if split.getClass().getSimpleName() == "ContinuousSplit":
+            sides = ((above, split.threshold(), None), (split.threshold(), up_to, None))
+        else:
+            parts = [{int(c) for c in side} for side in (split.leftCategories(), split.rightCategories())]
+            # A category the split does not list goes with the larger part.
+            unseen = len(known[feature])
+            if unseen not in parts[0] | parts[1]:
+                parts[len(parts[0]) <= (len(parts[0]) + len(parts[1])) // 2].add(unseen)
+            sides = tuple((None, None, part if left is None else part & left) for part in parts)
+        for child, side in zip((node.leftChild(), node.rightChild()), sides):
+            walk(child, {**bounds, feature: side})
+
+    walk(tree._java_obj.rootNode(), {})
+    return leaves
+
+
+def in_leaf(leaf: Mapping, features: Sequence[str]) -> Column:
+    """Whether a row's features lie in the intervals of a leaf."""
+    inside = F.lit(True)
+    for feature, (above, up_to, values, others) in leaf["bounds"].items():
+        value = F.col(features[feature])
+        if values is not None:
+            among = value.isin(*values) if values else F.lit(False)
+            inside = inside & (among | ~value.isin(*leaf["known"][feature]) if others else among)
+        if above is not None:
+            inside = inside & (value > above)
+        if up_to is not None:
+            inside = inside & (value <= up_to)
+    return inside
+
+
+def predicted_by_leaves(leaves: Sequence[Mapping], features: Sequence[str]) -> Column:
+    """The prediction of the leaf a row lies in, as one expression without vectors."""
+    return F.coalesce(*(F.when(in_leaf(leaf, features), leaf["predict"]) for leaf in leaves))
+
+
+def leaves_frame(spark: SparkSession, leaves: Sequence[Mapping], features: Sequence[str]) -> DataFrame:
+    """The leaves as a table, one row per leaf and feature: (leaf, predict, feature, above, up_to, values, others)."""
+    rows = [
+        (i, leaf["predict"], name, *leaf["bounds"].get(f, (None, None, None, False)))
+        for i, leaf in enumerate(leaves)
+        for f, name in enumerate(features)
+    ]
+    types = [pa.int32(), pa.float64(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.bool_()]
+    return local_frame(spark, rows, ["leaf", "predict", "feature", "above", "up_to", "values", "others"], types)
+
+
+def rank_sum_auc(predicted: DataFrame, score: str = "predict", label: str = "label", count: str | None = None) -> DataFrame:
+    """One row (`positives`, `negatives`, `auc`): the exact area under ROC as a rank sum.
+
+    Rows are counted per distinct score first; a positive beats the negatives of lower scores and ties with half
+    of those of its own, in whole numbers, so the result does not depend on the order of the rows. `count` names whole
+    numbers of rows that a row stands for. Without rows of both labels `auc` is null.
+    """
+    n = F.col(count) if count else F.lit(1)
+    whole = "decimal(38,0)"
+
+    def rows_of(wanted: int) -> Column:
+        return F.sum(F.when(F.col(label) == wanted, n).otherwise(0)).cast("long")
+
+    by_score = predicted.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score"))
+    by_score = by_score.agg(rows_of(1).alias("pos"), rows_of(0).alias("neg"))
+    ranked = with_running_sum(by_score, "score", "neg", "below")
+    beaten = F.sum(F.col("pos").cast(whole) * (2 * F.col("below") + F.col("neg")).cast("decimal(20,0)")).cast(whole)
+    totals = ranked.agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), beaten.alias("beaten"))
+    pairs = F.col("positives").cast("double") * F.col("negatives").cast("double") * 2
+    auc = F.when(pairs > 0, F.col("beaten").cast("double") / pairs)
+    return totals.select("positives", "negatives", auc.alias("auc"))
+
+
 def accuracy(predicted: DataFrame, weight: str | None = None) -> dict[str, float]:
     """Share of rows whose `predict` equals `label`, and the error rate."""
     evaluator = MulticlassClassificationEvaluator(

@@ -20,6 +20,7 @@ from tagloom.operators.bounded import (
     local_frame,
     lookup_join,
 )
+from tagloom.operators.ranges import band_join_by_sweep
 
 Rules = DataFrame | Sequence[tuple[int, str]]
 
@@ -177,43 +178,27 @@ def attach_band_tags(
     if fits_broadcast(bands, max_rows=BAND_SCAN_MAX_ROWS):
         inside = F.col("value").between(F.col("low"), F.col("high"))
         return points.join(F.broadcast(bands), inside).select("userId", "tagIds")
+    if isinstance(bands.schema["low"].dataType, StringType):
+        return band_join_by_sweep(points, bands)
     return _band_join_by_cell(points, bands)
 
 
-def _common_prefix(a: Column, b: Column) -> Column:
-    """Number of leading characters that two texts share."""
-    ends = F.sequence(F.lit(1), F.least(F.length(a), F.length(b)) + 1)
-    differ = F.transform(ends, lambda i: F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1)))
-    at = F.array_position(differ, F.lit(True))
-    return F.when(at > 0, at - 1).otherwise(F.least(F.length(a), F.length(b))).cast("int")
-
-
 def _band_join_by_cell(points: DataFrame, bands: DataFrame) -> DataFrame:
-    """Band join as an equality join, for rule frames too large to test band by band.
+    """Band join of numbers as an equality join, for rule frames too large to test band by band.
 
-    A band of numbers lies in one or two cells of the smallest power-of-two width above its span; a
-    point looks into its cell at every width in use (64 at most). A band of texts lies in the cell
-    of the beginning its ends share, which all texts between them share too; a point looks up its
-    beginnings of every length in use. The band is tested again after the join, so the cells
+    A band lies in one or two cells of the smallest power-of-two width above its span; a
+    point looks into its cell at every width in use (64 at most). The band is tested again after the join, so the cells
     only narrow the candidates and the rows are those of a test band by band.
     """
     whole = bands.where(F.col("low") <= F.col("high"))
-    if isinstance(bands.schema["low"].dataType, StringType):
-        sized = whole.withColumn("size", _common_prefix(F.col("low"), F.col("high")))
-        own = F.array(F.substr("low", F.lit(1), F.col("size")))
-        cell_of = F.substr("value", F.lit(1), F.col("size"))
-    else:
-        sized = whole.withColumn("size", F.length(F.bin(F.col("high") - F.col("low"))).cast("int"))
-        own = F.array_distinct(
-            F.array(F.expr("shiftright(low, size)"), F.expr("shiftright(high, size)"))
-        )
-        cell_of = F.expr("shiftright(value, size)")
+    sized = whole.withColumn("size", F.length(F.bin(F.col("high") - F.col("low"))).cast("int"))
+    own = F.array_distinct(F.array(F.expr("shiftright(low, size)"), F.expr("shiftright(high, size)")))
     cells = sized.withColumn("cell", F.explode(own)).select("tagIds", "low", "high", "size", "cell")
     sizes = sorted(row[0] for row in sized.select("size").distinct().collect())
     if not sizes:
         return points.select("userId", F.lit(None).cast("string").alias("tagIds")).limit(0)
     probes = points.withColumn("size", F.explode(F.array(*[F.lit(n) for n in sizes])))
-    probes = probes.withColumn("cell", cell_of)
+    probes = probes.withColumn("cell", F.expr("shiftright(value, size)"))
     joined = lookup_join(probes, cells, ["size", "cell"], "inner")
     inside = F.col("value").between(F.col("low"), F.col("high"))
     return joined.where(inside).select("userId", "tagIds")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import inspect
+from collections.abc import Callable, Iterable
 from datetime import date
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from tagloom.operators import classify, clusters, recommend
 from tagloom.operators.lookup import Rules, attach_band_tags, attach_tags
 from tagloom.operators.merge import merge_profiles, one_row_per_user
 from tagloom.session import cut_lineage
+from tagloom.sources.writers import load_or_fit
 
 
 def gender_tags(users: DataFrame, rules: Rules = tuple(fixed.GENDER_RULES)) -> DataFrame:
@@ -60,6 +64,12 @@ def payment_tags(orders: DataFrame, rules: Rules = tuple(fixed.PAYMENT_RULES)) -
     return attach_tags(best, rules, "paymentCode", "memberId", unmatched="default")
 
 
+def _bands(scores: Callable, bands: dict) -> dict:
+    """All bands of a scoring function, its own where none are given."""
+    own = {name: p.default for name, p in inspect.signature(scores).parameters.items() if p.default is not p.empty}
+    return own | bands
+
+
 def rfm_tags(
     orders: DataFrame,
     rules: Rules = tuple(fixed.RFM_RULES),
@@ -72,7 +82,7 @@ def rfm_tags(
     """Customer value."""
     scored = cut_lineage(agg.rfm_scores(agg.rfm_features(orders, as_of, shift_days), **bands))
     columns = ["recency", "frequency", "monetary"]
-    return clusters.tag_by_score_clusters(scored, columns, k, rules, model_path)
+    return clusters.tag_by_score_clusters(scored, columns, k, rules, model_path, _bands(agg.rfm_scores, bands))
 
 
 def rfm_elbow(
@@ -94,12 +104,13 @@ def rfe_tags(
     as_of: date | str | None = None,
     shift_days: int = fixed.RFE_SHIFT_DAYS,
     k: int = fixed.RFE_K,
+    model_path: str | None = None,
     **bands,
 ) -> DataFrame:
     """Activity (T10)."""
     scored = cut_lineage(agg.rfe_scores(agg.rfe_features(views, as_of, shift_days), **bands))
     columns = ["recency", "frequency", "engagements"]
-    return clusters.tag_by_score_clusters(scored, columns, k, rules)
+    return clusters.tag_by_score_clusters(scored, columns, k, rules, model_path, _bands(agg.rfe_scores, bands))
 
 
 def psm_tags(
@@ -107,22 +118,34 @@ def psm_tags(
     rules: Rules = tuple(fixed.PSM_RULES),
     k: int = fixed.PSM_K,
     zero_discount_eps: float | None = None,
-    parts: int = fixed.FIT_PARTS,
+    error: float = clusters.SUMMARY_ERROR,
+    model_path: str | None = None,
 ) -> DataFrame:
-    """Price sensitivity (T11): scores are continuous, so all users take part in the fit."""
-    clustered, model = psm_clusters(orders, k, zero_discount_eps, parts)
+    """Price sensitivity (T11): scores are continuous, so the fit runs on a summary of all users' scores."""
+    clustered, model = psm_clusters(orders, k, zero_discount_eps, error, model_path)
     tagged = clusters.zip_clusters(clustered, clusters.centre_sums(model), rules)
     return tagged.select(F.col("userId").cast("string"), "tagIds")
 
 
 def psm_clusters(
-    orders: DataFrame, k: int = fixed.PSM_K, zero_discount_eps: float | None = None, parts: int = fixed.FIT_PARTS
+    orders: DataFrame,
+    k: int = fixed.PSM_K,
+    zero_discount_eps: float | None = None,
+    error: float = clusters.SUMMARY_ERROR,
+    model_path: str | None = None,
 ):
     """(userId, psm, predict) and the fitted model behind T11."""
-    scored = cut_lineage(agg.psm_scores(agg.psm_features(orders), zero_discount_eps))
-    vectors = clusters.assemble(clusters.dealt(scored, "userId", parts=parts), ["psm"])
-    model = clusters.kmeans(k).fit(vectors)
-    return model.transform(vectors).select("userId", "psm", "predict"), model
+    return _psm_fit(agg.psm_features(orders), k, zero_discount_eps, error, model_path)
+
+
+def _psm_fit(features: DataFrame, k: int, zero_discount_eps: float | None, error: float, model_path: str | None):
+    """Members stay where they are: the fit reads the weighted points of `value_summary`, whatever the partitioning."""
+    scored = cut_lineage(agg.psm_scores(features, zero_discount_eps))
+    points = clusters.value_summary(scored, "psm", error)
+    settings = {"columns": ["psm"], "zero_discount_eps": zero_discount_eps, "error": error}
+    model = clusters.fit_score_clusters(points, k, model_path, settings)
+    clustered = model.transform(clusters.assemble(scored, ["psm"]))
+    return clustered.select("userId", "psm", "predict"), model
 
 
 def cycle_from(
@@ -154,7 +177,7 @@ def rfm_from(
     features = totals.select("userId", recency, "frequency", "monetary")
     scored = cut_lineage(agg.rfm_scores(features, **bands))
     columns = ["recency", "frequency", "monetary"]
-    tagged = clusters.tag_by_score_clusters(scored, columns, k, rules, model_path)
+    tagged = clusters.tag_by_score_clusters(scored, columns, k, rules, model_path, _bands(agg.rfm_scores, bands))
     return tagged.select(F.col("userId").cast("string"), "tagIds")
 
 
@@ -163,13 +186,12 @@ def psm_from(
     rules: Rules,
     k: int = fixed.PSM_K,
     zero_discount_eps: float | None = None,
-    parts: int = fixed.FIT_PARTS,
+    error: float = clusters.SUMMARY_ERROR,
+    model_path: str | None = None,
 ) -> DataFrame:
     """T11 from the totals of each member."""
-    scored = cut_lineage(agg.psm_scores(totals, zero_discount_eps))
-    vectors = clusters.assemble(clusters.dealt(scored, "userId", parts=parts), ["psm"])
-    model = clusters.kmeans(k).fit(vectors)
-    tagged = clusters.zip_clusters(model.transform(vectors), clusters.centre_sums(model), rules)
+    clustered, model = _psm_fit(totals, k, zero_discount_eps, error, model_path)
+    tagged = clusters.zip_clusters(clustered, clusters.centre_sums(model), rules)
     return tagged.select(F.col("userId").cast("string"), "tagIds")
 
 
@@ -181,7 +203,7 @@ def order_tags(
     as_of: date | str | None = None,
     cycle_shift_days: int = fixed.CYCLE_SHIFT_DAYS,
     rfm_shift_days: int = fixed.RFM_SHIFT_DAYS,
-    psm_parts: int = fixed.FIT_PARTS,
+    psm_error: float = clusters.SUMMARY_ERROR,
     **bands,
 ) -> DataFrame:
     """Rows of T7, T9 and T11 from a single pass over the orders.
@@ -191,10 +213,10 @@ def order_tags(
     totals = cut_lineage(agg.order_totals(orders))
     cycle = cycle_from(totals, cycle_rules, as_of, cycle_shift_days)
     rfm = rfm_from(totals, rfm_rules, as_of, rfm_shift_days, **bands)
-    return cycle.unionByName(rfm).unionByName(psm_from(totals, psm_rules, parts=psm_parts))
+    return cycle.unionByName(rfm).unionByName(psm_from(totals, psm_rules, error=psm_error))
 
 
-def usg_kinds(items: DataFrame, orders: DataFrame):
+def usg_kinds(items: DataFrame, orders: DataFrame, model_path: str | None = None):
     """The kinds of items with counts, train flag and predicted class, the model, and the items
     per user and kind they were counted from (T12).
 
@@ -202,24 +224,28 @@ def usg_kinds(items: DataFrame, orders: DataFrame):
     """
     counted = cut_lineage(classify.user_kinds(classify.item_features(items), orders))
     kinds = cut_lineage(classify.kinds_of(counted))
-    model = classify.fit_gender_tree(kinds)
-    return model.transform(kinds).select(*classify.KIND, "n", "label", "predict"), model, counted
+    settings = {"features": classify.KIND[:2], "seed": fixed.KMEANS_SEED, "max_categories": fixed.USG_MAX_CATEGORIES, **fixed.USG_TREE}
+    model = load_or_fit(kinds.sparkSession, model_path, PipelineModel.load, lambda: classify.fit_gender_tree(kinds), settings)
+    predicted = classify.predicted_by_leaves(classify.tree_leaves(model), classify.KIND[:2])
+    label = F.col("gender").cast("double").alias("label")
+    return kinds.select(*classify.KIND, "n", label, predicted.alias("predict")), model, counted
 
 
 def usg_tags(
-    items: DataFrame, orders: DataFrame, rules: Rules = tuple(fixed.USG_RULES)
+    items: DataFrame, orders: DataFrame, rules: Rules = tuple(fixed.USG_RULES), model_path: str | None = None
 ) -> DataFrame:
     """Shopping gender (T12): each item of the train and test sets votes once.
 
-    Items and orders are read and joined once; the fit and the votes both come from the counts.
+    Items and orders are read and joined once; the fit and the votes both come from the counts. The tree is applied as the
+    intervals of its leaves.
     """
-    kinds, _, counted = usg_kinds(items, orders)
+    kinds, _, counted = usg_kinds(items, orders, model_path)
     classes = F.broadcast(kinds.select(*classify.KIND, "predict"))  # bounded by the dictionaries
     return classify.vote_tags(classify.votes_of(counted.join(classes, classify.KIND)), rules)
 
 
 def usg_quality(items: DataFrame, orders: DataFrame) -> dict[str, dict[str, float]]:
-    """Accuracy, error and area under ROC on the train and the test items."""
+    """Accuracy, error and exact area under ROC on the train and the test items."""
     kinds, _, _ = usg_kinds(items, orders)
     weighted = kinds.withColumn("weight", F.col("n").cast("double"))
     parts = {"train": F.col("train"), "test": ~F.col("train")}
@@ -227,14 +253,19 @@ def usg_quality(items: DataFrame, orders: DataFrame) -> dict[str, dict[str, floa
     for name, rows in parts.items():
         part = weighted.where(rows)
         result[name] = classify.accuracy(part, "weight")
-        result[name]["auc"] = classify.area_under_roc(part, "weight")
+        result[name]["auc"] = classify.rank_sum_auc(part, count="n").first()["auc"]
     return result
 
 
-def brand_tags(views: DataFrame, blocks: int = recommend.BLOCKS) -> DataFrame:
+def brand_tags(views: DataFrame, blocks: int = recommend.BLOCKS, model_path: str | None = None) -> DataFrame:
     """Product preference (T13): `tagIds` lists product ids, best first."""
     ratings = cut_lineage(agg.product_ratings(views))
-    model = recommend.stored_model(recommend.fit_preferences(ratings, blocks))
+    if model_path:
+        settings = {"seed": fixed.KMEANS_SEED, **fixed.ALS_SETTINGS}
+        load_or_fit(views.sparkSession, model_path, ALSModel.load, lambda: recommend.fit_preferences(ratings, blocks), settings)
+        model = ALSModel.load(model_path)
+    else:
+        model = recommend.stored_model(recommend.fit_preferences(ratings, blocks))
     return recommend.top_products(model)
 
 

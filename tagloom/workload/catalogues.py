@@ -68,32 +68,31 @@ QUERIES = {
 }
 
 
-def _path_level_sql(level: int) -> str:
-    """New tags of one level, and the ids of all its wanted tags."""
-    name = f"level{level}"
-    above = "-1" if level == 1 else f"p{level - 1}.id"
-    join = ""
-    for i in range(1, level):
-        pid = "-1" if i == 1 else f"p{i - 1}.id"
-        join += f" JOIN ids{i} p{i} ON p{i}.name = paths.level{i} AND p{i}.pid = {pid}"
-    first = "(SELECT max(id) FROM catalogue)" if level == 1 else (
-        f"(SELECT max(id) FROM (SELECT max(id) AS id FROM catalogue"
-        + "".join(f" UNION ALL SELECT max(id) FROM new{i}" for i in range(1, level)) + ") AS m)"
-    )
-    key = f"{level} || '/' || pid || '/' || name"
-    return f"""want{level} AS (
-  SELECT DISTINCT {name} AS name, {level} AS level, CAST({above} AS BIGINT) AS pid
-  FROM paths{join} WHERE {name} IS NOT NULL),
-new{level} AS (
-  SELECT {first} + row_number() OVER (ORDER BY substr(md5({key}), 1, 3), pid, name) AS id,
-         name, level, pid
-  FROM want{level} w
-  WHERE NOT EXISTS (SELECT 1 FROM catalogue c WHERE c.name = w.name AND c.level = w.level
-                    AND c.pid = w.pid)),
-ids{level} AS (
-  SELECT id, name, pid FROM new{level}
+#: Beginnings of paths that no tag has, numbered level by level in the order of the md5 of the path.
+_PATH_UPSERT = """old AS (
+  SELECT min(id) AS id, name, level, pid FROM catalogue WHERE level <= 3 GROUP BY name, level, pid),
+known AS (
+  SELECT id, 1 AS level, [name] AS path FROM old WHERE level = 1 AND pid = -1
+  UNION ALL
+  SELECT b.id, 2, [a.name, b.name] FROM old a JOIN old b ON b.pid = a.id AND b.level = 2
+  WHERE a.level = 1 AND a.pid = -1
   UNION ALL
-  SELECT min(id), name, pid FROM catalogue WHERE level = {level} GROUP BY name, pid)"""
+  SELECT c.id, 3, [a.name, b.name, c.name] FROM old a JOIN old b ON b.pid = a.id AND b.level = 2
+  JOIN old c ON c.pid = b.id AND c.level = 3 WHERE a.level = 1 AND a.pid = -1),
+wanted AS (
+  SELECT 1 AS level, [level1] AS path FROM paths WHERE level1 IS NOT NULL
+  UNION
+  SELECT 2, [level1, level2] FROM paths WHERE level1 IS NOT NULL AND level2 IS NOT NULL
+  UNION
+  SELECT 3, [level1, level2, level3] FROM paths
+  WHERE level1 IS NOT NULL AND level2 IS NOT NULL AND level3 IS NOT NULL),
+fresh AS (
+  SELECT level, path, (SELECT max(id) FROM catalogue) + row_number() OVER (
+    ORDER BY level, substr(md5(array_to_string(path, '/')), 1, 3), path) AS id
+  FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.path = w.path)),
+above AS (SELECT path, id FROM known UNION ALL SELECT path, id FROM fresh)
+SELECT f.id, f.path[-1] AS name, f.level, CAST(coalesce(a.id, -1) AS BIGINT) AS pid
+FROM fresh f LEFT JOIN above a ON a.path = f.path[:f.level - 1]"""
 
 
 SQL = {
@@ -111,9 +110,7 @@ ON w.name = c.name AND w.level = c.level AND w.pid = c.pid""",
     "tag_with_model": f"""WITH {src.CATALOGUE_SQL}, {src.MODELS_SQL}
 SELECT c.id, c.name, c.pid, m.id AS model_id, m.model_name, m.sche_time AS model_sche_time
 FROM catalogue c LEFT JOIN models m ON c.id = m.tag_id AND m.freq > 25 WHERE c.level = 4""",
-    "tag_path_upsert": f"""WITH {src.CATALOGUE_SQL}, {src.PATHS_SQL},
-{_path_level_sql(1)}, {_path_level_sql(2)}, {_path_level_sql(3)}
-SELECT * FROM new1 UNION ALL SELECT * FROM new2 UNION ALL SELECT * FROM new3""",
+    "tag_path_upsert": f"WITH {src.CATALOGUE_SQL}, {src.PATHS_SQL}, {_PATH_UPSERT}",
     "schedule_unpack": f"""WITH {src.MODELS_SQL}
 SELECT id, freq AS frequency, CAST(floor(epoch(starts)) AS BIGINT) AS start_seconds,
        CAST(floor(epoch(ends)) AS BIGINT) AS end_seconds, sche_time AS packed FROM models""",

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.session import apply_engine_conf
-from tagloom.workload import catalogues, features, known_fits, learning, matching, profiles
+from tagloom.workload import catalogues, certificates, features, known_fits, learning, matching, profiles
 
-MODULES = (matching, features, learning, known_fits, profiles, catalogues)
+MODULES = (matching, features, learning, known_fits, certificates, profiles, catalogues)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

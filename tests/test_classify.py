@@ -194,3 +194,50 @@ def test_hot_order_is_split_by_adaptive_execution(spark, pairs):
     finally:
         for key in small:
             spark.conf.unset(key)
+
+
+def test_leaves_predict_like_the_model(spark):
+    """Continuous and categorical splits, values the indexer never saw included."""
+    rows = spark.range(3_000).select(
+        (F.col("id") % 40).cast("double").alias("a"),
+        F.pmod(F.xxhash64("id"), F.lit(5)).cast("double").alias("b"),
+        F.when((F.col("id") % 40 > 17) != (F.pmod(F.xxhash64("id"), F.lit(5)).isin(1, 3)), "yes").otherwise("no").alias("label_text"),
+    )
+    indexer = classify.index_labels(rows, "label_text")
+    model = classify.tree_pipeline(indexer, ["a", "b"], {"maxDepth": 4, "maxBins": 8}, max_categories=5).fit(rows.where("b <> 4"))
+    leaves = classify.tree_leaves(model)
+    assert any(side[2] is not None for leaf in leaves for side in leaf["bounds"].values())
+    unseen = rows.unionByName(rows.limit(200).withColumn("b", F.lit(9.0)).withColumn("a", F.col("a") * 1.5))
+    own = model.transform(unseen).withColumn("by_leaf", classify.predicted_by_leaves(leaves, ["a", "b"]))
+    assert own.where("by_leaf IS NULL OR by_leaf <> predict").count() == 0 and own.select("predict").distinct().count() == 2
+    table = classify.leaves_frame(spark, leaves, ["a", "b"])
+    assert table.count() == 2 * len(leaves) and table.columns[:4] == ["leaf", "predict", "feature", "above"]
+
+
+def test_usg_tags_by_leaves_and_by_model(shop, spark, tmp_path):
+    items, orders = shop
+    kinds, model, _ = tag_jobs.usg_kinds(items, orders)
+    own = model.transform(kinds.drop("label", "predict")).select(*classify.KIND, F.col("predict").alias("own"))
+    assert kinds.join(own, classify.KIND).where("own <> predict OR predict IS NULL").count() == 0
+    path = f"file://{tmp_path}/usg"
+    first = {tuple(r) for r in tag_jobs.usg_tags(items, orders, model_path=path).collect()}
+    assert {tuple(r) for r in tag_jobs.usg_tags(items, orders, model_path=path).collect()} == first
+
+
+def test_rank_sum_auc(spark):
+    """Against all pairs, with ties, and with counted rows; null without both labels."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(rng.randrange(25) / 7, float(rng.random() < 0.4), rng.randrange(4)) for _ in range(400)] + [(None, 1.0, 3)]
+    df = spark.createDataFrame(rows, "predict double, label double, n long").repartition(6)
+    for count in (None, "n"):
+        kept = [(s, label, n if count else 1) for s, label, n in rows if s is not None]
+        pairs = [(a[0], b[0], a[2] * b[2]) for a in kept if a[1] for b in kept if not b[1]]
+        want = sum(w * ((a > b) + 0.5 * (a == b)) for a, b, w in pairs) / sum(w for *_, w in pairs)
+        found = classify.rank_sum_auc(df, count=count).first()
+        assert abs(found["auc"] - want) < 1e-12
+    assert classify.rank_sum_auc(df.where("label = 1")).first()["auc"] is None
+    assert classify.rank_sum_auc(df.limit(0)).first()["auc"] is None
+    known = classify.area_under_roc(df.where("predict IS NOT NULL"))
+    assert abs(known - classify.rank_sum_auc(df).first()["auc"]) < 1e-9

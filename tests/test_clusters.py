@@ -1,3 +1,7 @@
+import bisect
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeansModel
@@ -6,7 +10,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tagloom import fixed_values as fixed
-from tagloom.operators import clusters
+from tagloom.operators import aggregates, clusters
 from tagloom.plans import tag_jobs
 from tagloom.plans.standard import standard_jobs
 from tagloom.sources.versions import path_exists
@@ -115,8 +119,14 @@ def test_model_is_fitted_once(spark, scored, tmp_path, pairs):
     points = clusters.score_points(scored, RFM)
     first = clusters.fit_score_clusters(points, 3, path)
     assert path_exists(spark, path) and len(KMeansModel.load(path).clusterCenters()) == 3
-    again = clusters.fit_score_clusters(points, 7, path)
-    assert np.array_equal(first.clusterCenters(), again.clusterCenters())
+    again = clusters.fit_score_clusters(points, 3, path)
+    assert again.uid == first.uid and np.array_equal(first.clusterCenters(), again.clusterCenters())
+    # Other settings make another model, in the place of the first; so does one without settings beside it.
+    other = clusters.fit_score_clusters(points, 7, path)
+    assert len(other.clusterCenters()) == 7 and KMeansModel.load(path).uid == other.uid
+    assert clusters.fit_score_clusters(points, 7, path, {"columns": RFM}).uid != other.uid
+    first.write().overwrite().save(path)
+    assert clusters.fit_score_clusters(points, 3, path).uid != first.uid
 
 
 def test_psm_tags(frame, spark):
@@ -175,22 +185,56 @@ def test_price_sensitivity_does_not_follow_the_partitioning(spark, pairs):
     assert found[0] and all(f == found[0] for f in found)
 
 
-@pytest.mark.parametrize("parts", [3, 11])
-def test_parts_of_a_fit_are_a_setting(spark, monkeypatch, parts):
-    """The jobs with a fit on all users deal them to as many parts as they are told."""
-    seen, dealt = [], clusters.dealt
-
-    def watched(*args, **named):
-        out = dealt(*args, **named)
-        seen.append(out.rdd.getNumPartitions())
-        return out
-
-    monkeypatch.setattr(clusters, "dealt", watched)
+def test_fit_of_a_summary_is_the_same_for_any_partitioning(spark, pairs):
+    """Tags of 1, 8 and 200 partitions are equal, and the fit reads no more rows than the summary has bins."""
+    rng = random.Random(4)
+    rows = [(f"u{i}", f"s{i}-{j}", rng.lognormvariate(3, 1), rng.choice([0.0, 1.0, 3.5])) for i in range(800) for j in range(3)]
+    orders = spark.createDataFrame(rows, "memberId string, orderSn string, orderAmount double, couponCodeValue double")
+    found = [pairs(tag_jobs.psm_tags(orders.repartition(n))) for n in (1, 8, 200)]
+    assert found[0] and found[0] == found[1] == found[2]
+    scored = aggregates.psm_scores(aggregates.psm_features(orders))
+    points = clusters.value_summary(scored, "psm", 0.05)
+    assert points.rdd.getNumPartitions() == 1 and points.count() < 60
+    assert points.agg(F.sum("weight")).first()[0] == scored.count()
+
+
+@pytest.mark.parametrize("error", [0.1, 1e-3])
+def test_points_of_a_summary_are_near_their_values(spark, error):
+    """Every value has a point within the error, with the weight of the values nearest to it; signs, zero and nulls."""
+    rng = random.Random(2)
+    values = [rng.lognormvariate(0, 4) * rng.choice([1, -1]) for _ in range(2_000)] + [0.0, -0.0, 1e-12, 5e300, -5e300]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
+    points = [(r["x"], r["weight"]) for r in clusters.value_summary(df, "x", error).collect()]
+    places = sorted(p for p, _ in points)
+    for v in values:
+        at = bisect.bisect_left(places, v)
+        near = min(places[max(0, at - 1) : at + 1], key=lambda p: abs(p - v))
+        assert abs(near - v) <= error * abs(v) * (1 + 1e-9) + clusters.SUMMARY_LEAST
+    assert sum(w for _, w in points) == len(values)
+    mean = sum(p * w for p, w in points if abs(p) < 1e300) / len(values)
+    assert abs(mean - math.fsum(v for v in values if abs(v) < 1e300) / len(values)) <= error * sum(abs(v) for v in values if abs(v) < 1e300) / len(values)
+
+
+def test_settings_of_price_sensitivity_reach_the_fit(spark, monkeypatch):
+    seen, summary = [], clusters.value_summary
+
+    def watched(values, column, error):
+        seen.append(error)
+        return summary(values, column, error)
+
+    monkeypatch.setattr(clusters, "value_summary", watched)
     rows = [(f"u{i}", f"s{i}", 100.0 + i, float(i % 7), 1_500_000_000 + i) for i in range(60)]
     orders = spark.createDataFrame(rows, "memberId string, orderSn string, orderAmount double, couponCodeValue double, finishTime long")
     orders = orders.withColumn("paymentCode", F.lit("alipay"))
-    tag_jobs.psm_tags(orders, parts=parts, zero_discount_eps=0.01)
-    jobs = standard_jobs(settings={"psm": {"parts": parts, "zero_discount_eps": 0.01}})
+    tag_jobs.psm_tags(orders, error=0.01, zero_discount_eps=0.01)
+    jobs = standard_jobs(settings={"psm": {"error": 0.02, "zero_discount_eps": 0.01}})
     jobs["psm"](fixed.PSM_RULES, orders)
-    tag_jobs.order_tags(orders, as_of="2019-11-25", psm_parts=parts)
-    assert len(seen) == 3 and set(seen) == {parts}
+    tag_jobs.order_tags(orders, as_of="2019-11-25", psm_error=0.03)
+    assert seen == [0.01, 0.02, 0.03]
+
+
+def test_too_many_score_vectors_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "MAX_SCORE_VECTORS", 10)
+    scored = spark.createDataFrame([(str(i), float(i)) for i in range(11)], "userId string, value double")
+    with pytest.raises(ValueError, match="banded"):
+        clusters.tag_by_score_clusters(scored, ["value"], 2, fixed.PSM_RULES)

@@ -31,3 +31,26 @@ def test_brand_tags(spark):
     rows = tag_jobs.brand_tags(views(spark)).collect()
     assert len(rows) == 50
     assert all(len(set(r["tagIds"].split(","))) == 5 for r in rows)
+
+
+def test_stripes_find_the_best_and_skip_pairs(spark):
+    """Long products first: the same lists as by all pairs, from fewer pairs; ties and short lists too."""
+    rng = np.random.default_rng(3)
+    users = rng.normal(size=(150, 8)).astype(np.float32)
+    products = (rng.normal(size=(700, 8)) * rng.exponential(size=(700, 1)) ** 2).astype(np.float32)
+    products[10:14] = products[9]
+    users[5] = 0
+
+    def frame(rows):
+        return spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(rows)], "id int, features array<float>").repartition(3)
+
+    best, pairs = recommend.best_inner_products(frame(users), frame(products), n=5, first=16)
+    scores = users.astype(float) @ products.astype(float).T
+    found = {r["id"]: [b["product"] for b in r["best"]] for r in best.collect()}
+    assert len(found) == 150 and pairs < 0.6 * scores.size
+    for user, ids in found.items():
+        assert len(set(ids)) == 5
+        assert np.allclose(scores[user, ids], np.sort(scores[user])[::-1][:5], rtol=1e-4, atol=1e-4)
+    few, _ = recommend.best_inner_products(frame(users), frame(products[:3]), n=5, first=2)
+    assert {len(r["best"]) for r in few.collect()} == {3}
+    assert recommend.best_inner_products(frame(users).limit(0), frame(products))[0].count() == 0
