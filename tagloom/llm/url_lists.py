@@ -8,7 +8,7 @@ and month, into which intervals are laid out, with the fetch time inside the int
 not overlap, so a capture meets at most one of each; a host with a third of the captures is a skewed key of a
 plain join that adaptive execution splits.
 
-URLs are compared without scheme, user, port, query and fragment, hosts in lower case. A null or host-less URL, or a
+URLs are compared without scheme, user, port, query and fragment, hosts in lower case and paths as they are. A null or host-less URL, or a
 null fetch time, matches nothing and is kept. Repeated captures are judged each; repeated entries count once. Intervals still open end at
 the day after the last capture. Empty tables give no rows, or nothing listed. Other columns are not read.
 """
@@ -48,13 +48,19 @@ def keys_of(url: Column) -> Column:
     return F.when(host.isNotNull(), F.array_distinct(F.concat(paths, domains)))
 
 
+def listed_key(key: Column) -> Column:
+    """A key as captures are looked up by: its host in lower case, its path as it is."""
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substr(key, F.length(host) + 1))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, key, from_day, to_day) from dated entries (list, key, day, listed); to_day is null while open.
 
     One row a day remains for each list and key, so a window holds at most as many rows as the log has days.
     """
     known = entries.where("list is not null and key is not null and day is not null and listed is not null")
-    days = known.groupBy("list", F.lower("key").alias("key"), "day").agg(F.min("listed").alias("listed"))
+    days = known.groupBy("list", listed_key(F.col("key")).alias("key"), "day").agg(F.min("listed").alias("listed"))
     order = Window.partitionBy("list", "key").orderBy("day")
     days = days.withColumn("before", F.lag("listed").over(order)).where("listed <> coalesce(before, false)")
     days = days.withColumn("to_day", F.lead("day").over(order))
@@ -66,9 +72,11 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     rows = cut_lineage(captures.withColumn("row", F.monotonically_increasing_id()))
     keyed = rows.select("row", F.to_date("fetched").alias("on"), F.explode(keys_of(F.col("url"))).alias("key"))
     keyed = keyed.withColumn("month", F.trunc("on", "month"))
-    last = rows.agg(F.date_add(F.max(F.to_date("fetched")), 1)).first()[0]  # one value
-    spans = intervals(entries).withColumn("until", F.coalesce("to_day", F.lit(last).cast("date")))
-    spans = spans.where("from_day < until").select(
+    on = F.to_date("fetched")
+    first, last = rows.agg(F.min(on), F.date_add(F.max(on), 1)).first()  # two values
+    # Only the months with captures are laid out, however far an interval reaches.
+    spans = intervals(entries).withColumn("until", F.least(F.coalesce("to_day", F.lit(last)), F.lit(last)).cast("date"))
+    spans = spans.withColumn("from_day", F.greatest("from_day", F.lit(first)).cast("date")).where("from_day < until").select(
         "list",
         F.col("key").alias("listed_key"),
         "from_day",
@@ -136,7 +144,7 @@ keys AS (
   UNION SELECT 'pages', host || rtrim(path, '/') FROM parts
     WHERE host IS NOT NULL AND CAST('0x' || md5(url)[1:8] AS BIGINT) % 5 = 0),
 log AS (
-  SELECT list, lower(key) AS key, DATE '2023-01-01'
+  SELECT list, lower(split_part(key, '/', 1)) || substr(key, length(split_part(key, '/', 1)) + 1) AS key, DATE '2023-01-01'
     + CAST(CAST('0x' || md5(list || '|' || key || i)[1:8] AS BIGINT) % 700 AS INT) AS day, i % 2 = 0 AS listed
   FROM keys, range(4) AS steps(i) WHERE CAST('0x' || md5(list || '|' || key)[1:8] AS BIGINT) % 3 > 0),
 days AS (SELECT list, key, day, bool_and(listed) AS listed FROM log GROUP BY ALL),
