@@ -27,11 +27,13 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tagloom.llm.common import exact, fresh, text_slices
 from tagloom.llm.repeats import _joined, word_codes
@@ -41,22 +43,30 @@ from tagloom.session import cut_lineage
 STEPS = (1, 2)
 AGREE = 5
 TABLE_BITS = 22
+#: Words and items a task keeps ready; they change nothing but its speed.
+CACHE_WORDS, CACHE_ITEMS = 200_000, 5_000
 THRESHOLD = 0.5
 PASSAGE = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 _SIGNS = re.compile(r"[\W_]+")
 
 
-def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word in lower case without signs, its place among all words, and text bounds."""
-    from xxhash import xxh3_64_intdigest
+@lru_cache(CACHE_WORDS)
+def _hash_of(word: str) -> int | None:
+    """Hash of a word in lower case without signs, None if nothing is left of it."""
+    plain = _SIGNS.sub("", word.lower())
+    return xxh3_64_intdigest(plain) if plain else None
 
-    codes, words, bounds = word_codes(texts)
-    plain = [_SIGNS.sub("", w.lower()) for w in words.to_pylist()]
-    hashes = np.array([xxh3_64_intdigest(w) for w in plain], np.uint64)
-    some = np.array([bool(w) for w in plain], bool)[codes]
+
+def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word in lower case without signs, its place among all words, and where each text's hashes and
+    words start."""
+    codes, words, starts = word_codes(texts)
+    found = [_hash_of(w) for w in words.to_pylist()]
+    hashes = np.array([h or 0 for h in found], np.uint64)
+    some = np.array([h is not None for h in found], bool)[codes]
     place = np.flatnonzero(some)
-    return hashes[codes[place]], place, np.concatenate([[0], np.cumsum(some)])[bounds]
+    return hashes[codes[place]], place, np.concatenate([[0], np.cumsum(some)])[starts], starts
 
 
 def least_score(n_words: int, threshold: float) -> float:
@@ -77,7 +87,7 @@ def _keys(words: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
 def _item_runs(threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in text_slices(batches, "text"):
-            words, _, bounds = plain_words(rows.column(1))
+            words, _, bounds, _ = plain_words(rows.column(1))
             n_words = np.diff(bounds)
             text = np.repeat(np.arange(len(n_words)), n_words)
             needed = np.array([pairs_needed(n, threshold) for n in n_words.tolist()], np.int32)
@@ -106,7 +116,7 @@ def _hits(shared):
         table = shared.value
         some = table.any(axis=1)
         for rows in text_slices(batches, "text"):
-            words, _, bounds = plain_words(rows.column(2))
+            words, _, bounds, _ = plain_words(rows.column(2))
             whose, held = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for size, step, runs in _keys(words):
                 if not some[size - 1]:
@@ -166,25 +176,47 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _near_pairs(item: np.ndarray, text: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+class Places:
+    """Where the words and pairs of a text begin, looked up by key; each size is sorted when first asked for."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.sorted = words, {}
+
+    def of(self, size: int, keys: np.ndarray) -> np.ndarray:
+        """The sorted distinct places of any of the keys."""
+        if size not in self.sorted:
+            runs = [runs for n, _, runs in _keys(self.words) if n == size]
+            every = np.concatenate(runs)
+            order = np.argsort(every, kind="stable")
+            self.sorted[size] = every[order], np.concatenate([np.arange(len(r)) for r in runs])[order]
+        found, at = self.sorted[size]
+        ends = np.searchsorted(found, keys, "left"), np.searchsorted(found, keys, "right")
+        return np.unique(np.concatenate([at[a:b] for a, b in zip(*(e.tolist() for e in ends)) if b > a] or [at[:0]]))
+
+
+class Item:
+    """The words of an item, and the distinct keys it is found by: pairs, or its one word."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.size = words, min(2, max(1, len(words)))
+        self.keys = np.unique(np.concatenate([runs for n, _, runs in _keys(words) if n == self.size]))
+
+
+def _near_pairs(item: Item, text: Places, threshold: float) -> list[tuple[int, int]]:
     """Stretches of the text that hold every alignment with the item that has the least score.
 
     Such an alignment has at most 3 n words of the text less its score, and `pairs_needed` pairs begin in it.
     """
-    if not len(item):
+    n = len(item.words)
+    if not n:
         return []
-    own = [runs for size, _, runs in _keys(item) if (size > 1) == (len(item) > 1)]
-    shared = np.zeros(len(text), bool)
-    for size, _, runs in _keys(text):
-        if (size > 1) == (len(item) > 1):
-            shared[: len(runs)] |= np.isin(runs, np.concatenate(own))
-    at = np.flatnonzero(shared)
-    needed = pairs_needed(len(item), threshold)
-    reach = math.floor(3 * len(item) - least_score(len(item), threshold) + 1e-9)
+    at = text.of(item.size, item.keys)
+    needed = pairs_needed(n, threshold)
+    reach = math.floor(3 * n - least_score(n, threshold) + 1e-9)
     first, last = at[: max(0, len(at) - needed + 1)], at[needed - 1 :]
     close = last - first < reach
     out: list[tuple[int, int]] = []
-    for a, b in zip(np.maximum(last[close] - reach, 0).tolist(), np.minimum(first[close] + reach, len(text)).tolist()):
+    for a, b in zip(np.maximum(last[close] - reach, 0).tolist(), np.minimum(first[close] + reach, len(text.words)).tolist()):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], b)
         else:
@@ -194,17 +226,22 @@ def _near_pairs(item: np.ndarray, text: np.ndarray, threshold: float) -> list[tu
 
 def _aligned(threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[int, Item] = {}
         for rows in text_slices(batches, "text"):
-            words, place, bounds = plain_words(rows.column(2))
-            starts = word_codes(rows.column(2))[2]
+            words, place, bounds, starts = plain_words(rows.column(2))
             out: list[tuple] = []
             for i, items in enumerate(rows.column(3).to_pylist()):
                 text = words[bounds[i] : bounds[i + 1]]
-                own, _, ends = plain_words(pa.array([x["text"] for x in items], pa.string()))
-                for k, item in enumerate(items):
-                    wanted = own[ends[k] : ends[k + 1]]
-                    best = (0, 0, 0)
-                    for a, b in _near_pairs(wanted, text, threshold):
+                places = Places(text)
+                if len(met) > CACHE_ITEMS:
+                    met.clear()
+                new = {x["item"]: x["text"] for x in items if x["item"] not in met}
+                own, _, ends, _ = plain_words(pa.array(new.values(), pa.string()))
+                met |= {item: Item(own[ends[k] : ends[k + 1]]) for k, item in enumerate(new)}
+                for item in items:
+                    known = met[item["item"]]
+                    wanted, best = known.words, (0, 0, 0)
+                    for a, b in _near_pairs(known, places, threshold):
                         score, first, end = align(wanted, text[a:b])
                         if score > best[0]:
                             best = (score, a + first, a + end)

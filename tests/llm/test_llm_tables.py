@@ -226,11 +226,12 @@ def test_keys_of_urls(spark):
 
 def test_lists_as_of_fetch_time(spark):
     draw = random.Random(11)
-    keys = ["a.com", "x.a.com", "x.a.com/p", "b.org", "B.org"]
+    keys = ["a.com", "x.a.com", "x.a.com/p", "b.org", "B.org", "X.a.com/P", "x.A.com/P/Q"]
     day = lambda n: date.fromordinal(738_000 + n)
-    log = [(draw.choice("LM"), draw.choice(keys), day(draw.randrange(200)), draw.random() < 0.6) for _ in range(60)]
+    log = [(draw.choice("LM"), draw.choice(keys), day(draw.randrange(200)), draw.random() < 0.6) for _ in range(90)]
+    log += [("L", "b.org", date(1, 1, 1), True), ("M", "X.a.com/P", date(9999, 1, 1), True)]
     log += [log[0], (None, "a.com", day(1), True), ("L", None, day(1), True), ("L", "a.com", None, True), ("L", "a.com", day(3), None)]
-    urls = ["http://x.a.com/p/q", "http://a.com/", "http://b.org/z", "http://c.net/", None, "junk"]
+    urls = ["http://x.a.com/p/q", "http://a.com/", "http://b.org/z", "http://c.net/", None, "junk", "http://x.A.com/P/Q/r", "//x.a.com/P/q"]
     rows = [(i, draw.choice(urls), datetime.combine(day(draw.randrange(-5, 230)), datetime.min.time()), "k") for i in range(300)]
     rows += [(900, urls[0], None, "k"), (901, urls[0], rows[0][2], "k"), (901, urls[0], rows[0][2], "k")]
     captures = spark.createDataFrame(rows, "page_id long, url string, fetched timestamp, key string")
@@ -239,12 +240,18 @@ def test_lists_as_of_fetch_time(spark):
     assert found.columns == [*captures.columns, "lists", "blocked"]
 
     def active(name, key, on):
-        past = [(d, listed) for n, k, d, listed in log if n == name and (k or "").lower() == key and d and listed is not None and d <= on]
+        def same(k):
+            host, slash, path = (k or "").partition("/")
+            return host.lower() + slash + path == key
+
+        past = [(d, listed) for n, k, d, listed in log if n == name and same(k) and d and listed is not None and d <= on]
         last = max((d for d, _ in past), default=None)
         return bool(past) and all(listed for d, listed in past if d == last)
 
     for r in found.collect():
-        own = {None: [], "junk": [], urls[0]: keys[:3], urls[1]: keys[:1], urls[2]: ["b.org"], urls[3]: []}[r.url]
+        own = {None: [], "junk": [], urls[0]: keys[:3], urls[1]: keys[:1], urls[2]: ["b.org"], urls[3]: []}
+        own |= {urls[6]: [*keys[:2], "x.a.com/P", "x.a.com/P/Q"], urls[7]: [*keys[:2], "x.a.com/P"]}
+        own = own[r.url]
         lists = sorted({n for n in "LM" for k in own if r.fetched and active(n, k, r.fetched.date())})
         assert (r.lists, r.blocked) == (lists, bool(lists)), r
     assert found.count() == len(rows)

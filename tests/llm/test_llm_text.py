@@ -478,3 +478,18 @@ def test_excerpts_of_long_items(spark):
     assert {r.id for r in found} == {13, 25, 140, 1000}
     assert {(r.first_word, r.end_word) for r in found if r.id == 25} == {(1, 26)}
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [12]
+
+
+def test_places_of_keys():
+    """Where any key of an item begins in a text, by looking at every word and pair of it."""
+    rng = random.Random(9)
+    for n, m in [(1, 9), (2, 40), (9, 60), (30, 200), (3, 0), (5, 1)]:
+        words = [np.array([rng.randrange(12) for _ in range(k)], np.uint64) for k in (n, m)]
+        item, text = decontaminate.Item(words[0]), words[1].tolist()
+        own = words[0].tolist()
+        pairs = {(own[i], own[i + s]) for s in (1, 2) for i in range(n - s)}
+        if n == 1:
+            want = [i for i, w in enumerate(text) if w == own[0]]
+        else:
+            want = [i for i in range(m) if any(i + s < m and (text[i], text[i + s]) in pairs for s in (1, 2))]
+        assert decontaminate.Places(words[1]).of(item.size, item.keys).tolist() == want
