@@ -17,7 +17,7 @@ table gives no rows; other columns are not looked at.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html import unescape
 
 import pandas as pd
@@ -74,13 +74,30 @@ _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+
 _COPYRIGHT = re.compile(r"©|\(c\)\s|copyright\b|all rights reserved", re.I)
 
 
+class Element:
+    """An open element: what it adds to the elements around it, so that a block need not list them."""
+
+    __slots__ = ("name", "serial", "parent", "depth", "good", "bad")
+
+    def __init__(self, name: str, serial: int, parent: Element | None, evidence: float):
+        self.name, self.serial, self.parent = name, serial, parent
+        self.depth = parent.depth + 1 if parent else 1
+        self.good = (parent.good if parent else 0.0) + max(0.0, evidence)
+        self.bad = (parent.bad if parent else 0.0) + min(0.0, evidence)
+
+
 class Block:
-    """A run of text without block borders in it, and the elements around it."""
+    """A run of text without block borders in it, the element it stands in, and the number of elements around both it and the
+    block before."""
 
-    __slots__ = ("text", "path", "linked")
+    __slots__ = ("text", "element", "shared", "linked")
 
-    def __init__(self, text: str, path: tuple, linked: int):
-        self.text, self.path, self.linked = text, path, linked
+    def __init__(self, text: str, element: Element | None, shared: int, linked: int):
+        self.text, self.element, self.shared, self.linked = text, element, shared, linked
+
+    @property
+    def depth(self) -> int:
+        return self.element.depth if self.element else 0
 
 
 def _evidence(name: str, attributes: str) -> float:
@@ -98,26 +115,37 @@ def _evidence(name: str, attributes: str) -> float:
 
 
 def blocks_of(html: str) -> list[Block]:
-    """The blocks of a page in order."""
+    """The blocks of a page in order, in time that does not grow with the depth of its elements."""
     found: list[Block] = []
-    stack: list[tuple[str, int, float]] = []  # name, serial number, evidence
+    stack: list[Element] = []
+    is_open: Counter[str] = Counter()  # open elements by name
+    endless: set[str] = set()  # names with no end tag in the rest of the page
     words: list[str] = []
-    links, linked, serial, at = 0, 0, 0, 0
+    links, linked, serial, at, lowest = 0, 0, 0, 0, 0  # lowest: the least depth since the block before
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, lowest
         text = " ".join(unescape("".join(words)).split())
         if text:
-            found.append(Block(text, tuple(stack), linked))
+            found.append(Block(text, stack[-1] if stack else None, lowest, linked))
+            lowest = len(stack)
         words.clear()
         linked = 0
 
+    def close(depth: int) -> None:
+        nonlocal lowest
+        is_open.subtract(element.name for element in stack[depth:])
+        del stack[depth:]
+        lowest = min(lowest, depth)
+
     def pop_to(names: set, borders: set) -> None:
+        if not any(is_open[name] for name in names):
+            return
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                del stack[i:]
+            if stack[i].name in names:
+                close(i)
                 return
-            if stack[i][0] in borders:
+            if stack[i].name in borders:
                 return
 
     def add(text: str) -> None:
@@ -143,11 +171,13 @@ def blocks_of(html: str) -> list[Block]:
         name, closing, attributes = name.lower(), bool(token[1] or token[4]), token[3] or token[6] or ""
         if name in RAW:
             if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-                if close:
-                    at = close.end()
+                ended = None if name in endless else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
+                if ended:
+                    at = ended.end()
                 elif name in TO_END:
                     at = end
+                else:
+                    endless.add(name)
             words.append(" ")
         elif name == "a":
             links = 0 if closing else 1
@@ -159,9 +189,8 @@ def blocks_of(html: str) -> list[Block]:
             flush()
             links = 0
             if closing:
-                if any(s[0] == name for s in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                if is_open[name]:
+                    close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name))
                 continue
             if name in ENDS_P:
                 pop_to({"p"}, BLOCKS - {"p"})
@@ -169,15 +198,15 @@ def blocks_of(html: str) -> list[Block]:
                 pop_to(*ENDS[name])
             if not attributes.endswith("/"):
                 serial += 1
-                stack.append((name, serial, _evidence(name, attributes)))
+                is_open[name] += 1
+                stack.append(Element(name, serial, stack[-1] if stack else None, _evidence(name, attributes)))
     flush()
     return found
 
 
 def score_of(block: Block) -> float:
     """Evidence that a block is content; below zero for boilerplate."""
-    good = sum(e for _, _, e in block.path if e > 0)
-    bad = sum(e for _, _, e in block.path if e < 0)
+    good, bad = (block.element.good, block.element.bad) if block.element else (0.0, 0.0)
     size = len(block.text)
     own = min(1.5, size / 120) - 0.6
     if block.text[-1] in ".!?…\"”»:;。":
@@ -193,15 +222,10 @@ def _ties(blocks: list[Block]) -> list[tuple[int, int, int]]:
     ties, last_of = [], {}
     for i, block in enumerate(blocks):
         if i:
-            before = blocks[i - 1].path
-            shared = 0
-            for a, b in zip(before, block.path):
-                if a[1] != b[1]:
-                    break
-                shared += 1
-            near = shared / max(1, len(before), len(block.path))
+            near = block.shared / max(1, blocks[i - 1].depth, block.depth)
             ties.append((i - 1, i, int(SCALE * (0.1 + 0.9 * near))))
-        kind = (block.path[-2][1] if len(block.path) > 1 else 0, block.path[-1][0] if block.path else "")
+        own = block.element
+        kind = (own.parent.serial if own and own.parent else 0, own.name if own else "")
         if kind in last_of and last_of[kind] < i - 1:
             ties.append((last_of[kind], i, SCALE // 2))
         last_of[kind] = i

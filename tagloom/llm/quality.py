@@ -8,8 +8,8 @@ all features, each held as the product of two short vectors:
 
 The bracket is the sum-of-squares identity: all pairs cost one pass over the features a text has.
 
-The model is fitted on a sample of labelled rows of bounded size (`SAMPLE_ROWS`, the rows least by a hash of
-their id); their vectors are all that reaches the driver. Rows whose crc32(id) mod 5 is 0 are held out. Label, language,
+The model is fitted on a sample of labelled rows of bounded size (`SAMPLE_ROWS`, the ids least by a hash, one text of
+each); their vectors are all that reaches the driver. Rows whose crc32(id) mod 5 is 0 are held out. Label, language,
 source and id are no inputs. Scoring reads every text whole, in one pass without a shuffle.
 
 Null and empty texts are scored like any text, as one without words. Null ids are never held out. Without labelled
@@ -181,6 +181,8 @@ def train(
     chosen = chosen.groupBy(exact(id_col).alias("id")).agg(F.max(exact(label_col)).alias("label"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     rows = docs.select(exact(id_col).alias("id"), exact(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    # One text for each id, so that ids with many rows keep to the bound.
+    rows = rows.groupBy("id", "label").agg(F.min_by("text", F.coalesce(F.xxhash64("text"), F.lit(0))).alias("text"))
 
     def vectors(batches):
         for batch in batches:

@@ -6,8 +6,8 @@ equal hashes are repeats, in texts of any length: among ten million words an equ
 expected three times in a million texts.
 
 Rule failures are counted by host. A host's failure rate is shrunk to the mean of all hosts by a beta
-prior whose strength is taken from the spread of the hosts' rates (moments), so a host with few
-documents is not judged by chance. A host over `HOST_LIMIT` is rejected with all its documents. Counts are partial
+prior whose strength is taken from the spread of the hosts' rates beyond what chance gives hosts of their size (moments), so
+a host with few documents is not judged by chance. A host over `HOST_LIMIT` is rejected with all its documents. Counts are partial
 aggregates, so a host with a third of all rows costs as much as any.
 
 Null and empty texts have no words and fail; null hosts are one host of their own; repeated rows count
@@ -31,6 +31,8 @@ MAX_LINE_PERCENT = 50
 HOST_LIMIT = 0.7
 #: The prior counts as so many documents at least and at most.
 PRIOR_LEAST, PRIOR_MOST = 2.0, 1000.0
+#: A spread of the hosts' rates up to here is none: the strongest prior.
+LEAST_SPREAD = 1e-12
 _GAP_CHARS = " \t\n\x0b\x0c\r"
 _SIGNS = r"[#*$%&|<>]"
 
@@ -88,6 +90,22 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     )
 
 
+def _prior(hosts: DataFrame) -> tuple[float, float]:
+    """Mean and strength of the beta prior of failure rates, from their moments over the hosts (n, f).
+
+    Rates of small hosts vary by chance alone; that part, the mean variance of a sample of each host's size, is
+    taken off the spread first. What is left is how much hosts differ. Averages are taken of decimals, so no order of
+    the rows changes them.
+    """
+    rate = F.col("f") / F.col("n")
+    averages = [F.avg(x.cast("decimal(20,18)")).cast("double") for x in (rate, rate * rate, 1 / F.col("n"))]
+    mean, square, per_row = (x or 0.0 for x in hosts.agg(*averages).first())  # one row
+    spread = square - mean * mean - mean * (1 - mean) * per_row
+    if spread <= LEAST_SPREAD:
+        return mean, PRIOR_MOST
+    return mean, min(PRIOR_MOST, max(PRIOR_LEAST, mean * (1 - mean) / spread - 1))
+
+
 def with_verdicts(measured: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
     """The measures with base_failed, the host's shrunk failure rate and kept."""
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
@@ -99,12 +117,8 @@ def with_verdicts(measured: DataFrame, host_limit: float = HOST_LIMIT) -> DataFr
     rows = cut_lineage(measured.withColumn("base_failed", base).withColumn("rule_failed", failed))
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("rule_failed").cast("long")).alias("f"))
     hosts = cut_lineage(hosts)
-    rate = F.col("f") / F.col("n")
-    mean, spread = hosts.agg(F.avg(rate), F.var_pop(rate)).first()  # one row
-    strength = PRIOR_MOST
-    if spread:
-        strength = min(PRIOR_MOST, max(PRIOR_LEAST, mean * (1 - mean) / spread - 1))
-    shrunk = (F.col("f") + F.lit((mean or 0.0) * strength)) / (F.col("n") + F.lit(strength))
+    mean, strength = _prior(hosts)
+    shrunk = (F.col("f") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
     judged = hosts.select(F.col("host").alias("of"), shrunk.alias("host_rate"))
     judged = rows.join(judged, F.col("host").eqNullSafe(F.col("of"))).drop("of")
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= host_limit))
@@ -141,8 +155,10 @@ ruled AS (
 hosts AS (
   SELECT source, count(*) AS n, sum(CAST(rule_failed AS INT)) AS f FROM ruled GROUP BY source),
 prior AS (
-  SELECT avg(f / n) AS m, CASE WHEN var_pop(f / n) = 0 THEN {PRIOR_MOST}
-    ELSE least({PRIOR_MOST}, greatest({PRIOR_LEAST}, avg(f / n) * (1 - avg(f / n)) / var_pop(f / n) - 1)) END AS s FROM hosts),
+  SELECT m, CASE WHEN spread <= {LEAST_SPREAD} THEN {PRIOR_MOST}
+    ELSE least({PRIOR_MOST}, greatest({PRIOR_LEAST}, m * (1 - m) / spread - 1)) END AS s
+  FROM (SELECT avg(f / n) AS m, avg((f / n) * (f / n)) - avg(f / n) * avg(f / n)
+          - avg(f / n) * (1 - avg(f / n)) * avg(1 / n) AS spread FROM hosts) AS moments),
 rates AS (
   SELECT source, (f + m * s) / (n + s) AS host_rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -1,6 +1,7 @@
 """Operators on tables, pages and URLs, and the pipeline: brute force, twins, awkward rows."""
 
 import random
+import time
 import zlib
 from collections import Counter
 from datetime import date, datetime
@@ -40,6 +41,22 @@ def test_every_operator_is_registered():
     assert set(QUERIES) <= set(found) and "pipeline" in found
 
 
+# Main text (5)
+
+
+@pytest.mark.parametrize("part", ["<div>word ", "<svg>x ", "<div><li>a</li></p>", "<p class=content>A line of text.<a href=x>b</a>"])
+def test_pages_of_any_depth_take_linear_time(part):
+    """A page four times as long takes about four times as long, not sixteen."""
+
+    def seconds(n):
+        start = time.process_time()
+        main_text.extract(part * n)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(40_000) < 8 * seconds(10_000) + 0.5
+
+
 # Shards (4)
 
 DOCS = "doc_id long, text string, source string, id long, part int, row long, shard int, host string, n int"
@@ -212,6 +229,24 @@ def test_windows_with_like_hash_bits_do_not_repeat(spark):
     assert rules.measures(docs).first().n_repeat_words == 0
 
 
+def test_small_hosts_are_shrunk_to_the_mean(spark):
+    """A thousand hosts of one document tell nothing apart but by chance: none is rejected for one failure."""
+    names = ["id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words"]
+    rows = [(i, f"h{i}", 10 if i % 3 == 0 else 100, 400, 0, 0, 1, 0) for i in range(1_000)]
+    measured = spark.createDataFrame(rows, ", ".join(f"{n} {'string' if n == 'host' else 'long'}" for n in names))
+    judged = rules.with_verdicts(measured)
+    assert judged.where("NOT base_failed AND NOT kept").count() == 0
+    low, high = judged.agg(F.min("host_rate"), F.max("host_rate")).first()
+    assert high - low < 0.01
+    # Hosts that differ by far more than chance keep their rates.
+    rows += [(i, f"b{i // 10 % 5}", 10 if i % 10 else 100, 400, 0, 0, 1, 0) for i in range(1_000, 2_000)]
+    rows += [(i, f"g{i % 5}", 100, 400, 0, 0, 1, 0) for i in range(2_000, 3_000)]
+    big = [r for r in rows if r[1][0] in "bg"]
+    judged = rules.with_verdicts(spark.createDataFrame(big, measured.schema))
+    assert judged.where("host LIKE 'b%' AND NOT base_failed AND kept").count() == 0
+    assert judged.where("host LIKE 'g%' AND NOT kept").count() == 0
+
+
 # URL lists (7)
 
 

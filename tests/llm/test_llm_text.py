@@ -493,3 +493,18 @@ def test_places_of_keys():
         else:
             want = [i for i in range(m) if any(i + s < m and (text[i], text[i + s]) in pairs for s in (1, 2))]
         assert decontaminate.Places(words[1]).of(item.size, item.keys).tolist() == want
+
+
+def test_bound_of_the_label_sample_with_repeated_ids(spark, monkeypatch):
+    """An id with very many rows gives one of them to the fit; the same whatever the order."""
+    rows = [(7, f"text {i} of the same id!") for i in range(500)] + [(i, f"good text of words {i}.") for i in range(10, 60)]
+    docs = spark.createDataFrame([*rows, (8, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0), *((i, i % 2) for i in range(10, 60))], "doc_id long, quality int")
+    seen = []
+    fit = quality.fit_machine
+    monkeypatch.setattr(quality, "fit_machine", lambda x, stats, label: seen.append(len(x)) or fit(x, stats, label))
+    first = quality.train(docs, labels, sample_rows=30)
+    again = quality.train(docs.repartition(7), labels, sample_rows=30)
+    assert seen[0] == seen[1] <= 30
+    texts = pa.array(["text 3 of the same id!", "good text of words 12.", ""])
+    assert first.score(texts).tolist() == again.score(texts).tolist()
