@@ -22,7 +22,7 @@ from tagloom.session import cut_lineage, scratch_path
 from tagloom.workload import inputs as src
 from tagloom.workload.features import _PRODUCT, ITEM_VOTES_SQL, ORDER_BANDS, PSM_SQL, VIEW_BANDS, rfe_scores_sql, rfm_scores_sql
 from tagloom.workload.known_fits import HIGH_NATION, _nations
-from tagloom.workload.learning import RFM, rfm_points
+from tagloom.workload.learning import MEASURES, RFM, measurements, rfm_points, vectors
 
 TOLERANCE = 1e-9
 
@@ -129,6 +129,36 @@ def usg_certificate(spark, sf_dir):
     )
 
 
+def iris_certificate(spark, sf_dir):
+    """Rows of each label after scaling, rows not in their nearest cluster, slots outside 0 to 1."""
+    scaled = cut_lineage(clusters.dealt(clusters.min_max_scale(vectors(spark, sf_dir)), "vec_id"))
+    model = clusters.kmeans(fixed.IRIS_K, features="scalerFeatures").fit(scaled)
+    slots = vector_to_array("scalerFeatures")
+    distances = F.array(*_distances(slots, model.clusterCenters()))
+    found = model.transform(scaled).select(F.col("label"), "predict", distances.alias("d"), slots.alias("s"))
+    outside = F.exists("s", lambda x: (x < -TOLERANCE) | (x > 1 + TOLERANCE))
+    return found.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.get("d", F.col("predict")) > F.array_min("d") + TOLERANCE).alias("not_nearest"),
+        F.count_if(outside).alias("outside"),
+    )
+
+
+def tree_certificate(spark, sf_dir):
+    """Rows of the measurements, rows whose leaf says otherwise than the tree, and whether the stated accuracy
+    is not the share of right rows."""
+    rows = measurements(spark, sf_dir)
+    predicted, model = tag_jobs.iris_tree(rows, MEASURES, "Species", MEASURES)
+    by_leaf = classify.predicted_by_leaves(classify.tree_leaves(model), MEASURES)
+    stated = classify.accuracy(predicted)["accuracy"]
+    right = F.avg((F.col("label") == F.col("predict")).cast("double"))
+    differs = predicted.agg((F.abs(right - stated) > TOLERANCE).cast("long").alias("accuracy_differs"))
+    unlike = model.transform(rows).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~by_leaf.eqNullSafe(F.col("predict"))).alias("unlike_tree")
+    )
+    return unlike.withColumn("accuracy_differs", F.lit(differs.first()[0]))
+
+
 def als_equations(spark, sf_dir):
     """Users with ratings, and users whose factors do not solve the equations of the last half step.
 
@@ -240,6 +270,8 @@ QUERIES = {
         elbow_certificate,
         summary_certificate,
         usg_certificate,
+        iris_certificate,
+        tree_certificate,
         als_equations,
         best_products,
         auc_rank_sum,
@@ -271,6 +303,10 @@ FROM psm WHERE tdon > 0 AND ton > 0 AND tra <> 0""",
     "usg_certificate": f"""WITH {ITEM_VOTES_SQL}
 SELECT count(DISTINCT (color, product_type, gender)) AS kinds, count(*) AS items, CAST(0 AS BIGINT) AS not_in_one_leaf,
   CAST(0 AS BIGINT) AS unlike_model, CAST(0 AS BIGINT) AS off_majority FROM bought""",
+    "iris_certificate": """SELECT CAST(label AS DOUBLE) AS label, count(*) AS n, CAST(0 AS BIGINT) AS not_nearest,
+  CAST(0 AS BIGINT) AS outside FROM embeddings GROUP BY 1""",
+    "tree_certificate": """SELECT count(*) AS n, CAST(0 AS BIGINT) AS unlike_tree, CAST(0 AS BIGINT) AS accuracy_differs
+FROM embeddings""",
     "als_equations": f"""WITH {src.VIEWS_SQL},
 seen AS (SELECT visitor, {_PRODUCT} AS product FROM views)
 SELECT count(DISTINCT visitor) AS users, CAST(0 AS BIGINT) AS unsolved FROM seen WHERE product IS NOT NULL""",
