@@ -10,7 +10,9 @@ One code over all 64 bits would send every fingerprint to thousands of anchors;
 
 At an anchor only links that join two groups are kept, so a crowd of near copies gives as many
 links as it has members, not pairs. A group holds distinct fingerprints, 16 bytes each; exact copies
-have one fingerprint and cost nothing. Links become components by joins (`components.connected`).
+have one fingerprint and cost nothing. An anchor with more than `CROWD` fingerprints is split: they meet there by a piece of the
+other half, which has four pieces of eight bits, one of them equal wherever at most three bits differ; so no link is
+lost, and a crowd whose other halves differ comes in 256 parts or more. Links become components by joins (`components.connected`).
 
 A null or empty text, or one without words, has fingerprint zero and is linked like any other.
 Rows that repeat an id are judged each on its own. Null ids are never the smallest id of a component;
@@ -34,6 +36,9 @@ from tagloom.session import cut_lineage
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 3
+#: Fingerprints at an anchor from which on it is split.
+CROWD = 20_000
+PIECES, PIECE_BITS = 4, 8
 _EVERY_EIGHTH = np.uint64(0x0101010101010101)
 
 
@@ -131,7 +136,7 @@ def _spanning_links(homes: np.ndarray, fps: np.ndarray, max_bits: int) -> list[t
 
 
 def _links_at_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of sorted rows (anchor, fp, home); an anchor's rows may go over several batches."""
+    """Links of sorted rows (key of an anchor, fp, home); an anchor's rows may go over several batches."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def links(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
@@ -172,7 +177,14 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     halves = (F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32))
     rows = fps.select("fp", F.explode(F.concat(*(_anchors(h, i) for i, h in enumerate(halves)))).alias("a"))
     rows = rows.select(F.col("a.anchor").alias("anchor"), "fp", F.col("a.home").alias("home"))
-    dealt = rows.repartition("anchor").sortWithinPartitions("anchor")
+    crowded = cut_lineage(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD))
+    # The anchor's last bit tells which half it is of. Keys that fall together by chance only compare more.
+    other = F.when(F.col("anchor") % 2 == 0, halves[1]).otherwise(halves[0])
+    pieces = [F.shiftrightunsigned(other, PIECE_BITS * i).bitwiseAND((1 << PIECE_BITS) - 1) for i in range(PIECES)]
+    parts = F.array(*(F.xxhash64("anchor", F.lit(i), piece) for i, piece in enumerate(pieces)))
+    met = rows.join(crowded, "anchor", "left")
+    keys = F.when(F.col("n").isNull(), F.array("anchor")).otherwise(parts)
+    dealt = met.select(F.explode(keys).alias("key"), "fp", "home").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(_links_at_anchors, "u long, v long")
 
 

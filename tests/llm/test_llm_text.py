@@ -508,3 +508,32 @@ def test_bound_of_the_label_sample_with_repeated_ids(spark, monkeypatch):
     assert seen[0] == seen[1] <= 30
     texts = pa.array(["text 3 of the same id!", "good text of words 12.", ""])
     assert first.score(texts).tolist() == again.score(texts).tolist()
+
+
+@pytest.mark.parametrize("crowd", [1, 6])
+def test_crowded_anchors_lose_no_link(spark, monkeypatch, crowd):
+    """Anchors split by pieces of the other half give the components of all pairs."""
+    rng = random.Random(crowd)
+    base = [rng.getrandbits(64) for _ in range(8)]
+    fps = {b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(6))) & (2**64 - 1) for b in base for _ in range(40)}
+    fps |= {(base[0] & 0xFFFFFFFF) | rng.getrandbits(32) << 32 for _ in range(150)}  # one half agrees, the other does not
+    fps = sorted(fps)
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rows = spark.createDataFrame([(fp - 2**64 if fp >= 2**63 else fp,) for fp in fps], "fp long").repartition(4)
+    links = [(r["u"] % 2**64, r["v"] % 2**64) for r in simhash.fingerprint_links(rows).collect()]
+    assert all((u ^ v).bit_count() <= 3 for u, v in links)
+
+    def roots(pairs):
+        root = {fp: fp for fp in fps}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for u, v in pairs:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+        return {fp: find(fp) for fp in fps}
+
+    assert roots(links) == roots([(u, v) for i, u in enumerate(fps) for v in fps[:i] if (u ^ v).bit_count() <= 3])
