@@ -27,10 +27,10 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -43,28 +43,30 @@ from tagloom.session import cut_lineage
 STEPS = (1, 2)
 AGREE = 5
 TABLE_BITS = 22
-#: Words and items a task keeps ready; they change nothing but its speed.
-CACHE_WORDS, CACHE_ITEMS = 200_000, 5_000
+#: Items a task keeps ready, cut into words; they change nothing but its speed.
+CACHE_ITEMS = 5_000
 THRESHOLD = 0.5
 PASSAGE = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 _SIGNS = re.compile(r"[\W_]+")
 
 
-@lru_cache(CACHE_WORDS)
-def _hash_of(word: str) -> int | None:
-    """Hash of a word in lower case without signs, None if nothing is left of it."""
-    plain = _SIGNS.sub("", word.lower())
-    return xxh3_64_intdigest(plain) if plain else None
+def _plain(words: pa.Array) -> list[bytes]:
+    """Words in lower case without signs; those of ASCII letters all at once, the others one by one."""
+    plain = pc.replace_substring_regex(pc.ascii_lower(words), "[^a-z0-9]+", "").cast(pa.binary()).to_pylist()
+    others = np.flatnonzero(~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))
+    for i, word in zip(others.tolist(), words.take(pa.array(others)).to_pylist()):
+        plain[i] = _SIGNS.sub("", word.lower()).encode()
+    return plain
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every word in lower case without signs, its place among all words, and where each text's hashes and
     words start."""
     codes, words, starts = word_codes(texts)
-    found = [_hash_of(w) for w in words.to_pylist()]
-    hashes = np.array([h or 0 for h in found], np.uint64)
-    some = np.array([h is not None for h in found], bool)[codes]
+    plain = _plain(words)
+    hashes = np.fromiter(map(xxh3_64_intdigest, plain), np.uint64, len(plain))
+    some = np.fromiter(map(bool, plain), bool, len(plain))[codes]
     place = np.flatnonzero(some)
     return hashes[codes[place]], place, np.concatenate([[0], np.cumsum(some)])[starts], starts
 
