@@ -1,11 +1,11 @@
 """Stores bucketed by key: an update joins without moving the store and rewrites only the buckets it touches.
 
-A store is a folder. `bucket` tables below `version=N` hold the buckets that version N rewrote, each as a
-partition whose files carry the bucket's number, as Spark's bucketed tables do; `manifest=N` says for every
-bucket which version holds it. A version counts once its manifest is whole, so a job that dies half way leaves the store
-as it was. Opening a store registers its current buckets as a table of the session under a name of its own; a join by the
-key with it shuffles the other side only, and a filter on `bucket` reads no other bucket's files. One writer at a time;
-files that no manifest names any more are left to the retention rules of the folder.
+A store is a folder. `bucket` tables below `buckets=N` hold the buckets that version N rewrote, each as a
+partition whose files carry the bucket's number, as Spark's bucketed tables do; the file `manifest=N` says for every
+bucket which version holds it. A manifest is written aside and renamed, and a version counts once it has one, so a job that dies
+half way leaves the store as it was, and of two writers of the same version the second fails. Opening a store registers its current buckets as a table of the session under a name of its own; a join by the
+key with it shuffles the other side only, and a filter on `bucket` reads no other bucket's files. Files that no manifest names any
+more are left to the retention rules of the folder.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from tagloom.operators.merge import last_cells
 from tagloom.session import cut_lineage
-from tagloom.sources.versions import latest_number, path_exists
+from tagloom.sources.versions import numbers_of, path_exists, read_text, write_text_once
 
 BUCKETS = 64
 BUCKET = "bucket"
@@ -46,18 +46,18 @@ def bucket_of(key: str, buckets: int) -> Column:
 
 def read_manifest(spark: SparkSession, root: str) -> Manifest | None:
     """The newest whole manifest, or None if there is no store at `root`."""
-    number = latest_number(spark, root, MANIFEST)
-    if number is None:
+    numbers = numbers_of(spark, root, MANIFEST)
+    if not numbers:
         return None
-    found = json.loads(spark.read.text(f"{root}/{MANIFEST}{number:08d}").first()[0])
+    number = numbers[-1]
+    found = json.loads(read_text(spark, f"{root}/{MANIFEST}{number:08d}"))
     versions = {int(b): v for b, v in found["versions"].items()}
     return Manifest(number, found["key"], found["buckets"], StructType.fromJson(found["schema"]), versions)
 
 
 def _save_manifest(spark: SparkSession, root: str, manifest: Manifest) -> None:
     text = {"key": manifest.key, "buckets": manifest.buckets, "schema": manifest.schema.jsonValue(), "versions": manifest.versions}
-    line = spark.createDataFrame([(json.dumps(text),)], "value string")
-    line.coalesce(1).write.text(f"{root}/{MANIFEST}{manifest.number:08d}")
+    write_text_once(spark, f"{root}/{MANIFEST}{manifest.number:08d}", json.dumps(text))
 
 
 def _write_buckets(rows: DataFrame, path: str, key: str, buckets: int) -> None:
@@ -79,18 +79,19 @@ def create_store(rows: DataFrame, root: str, key: str, buckets: int = BUCKETS) -
         raise ValueError(f"{root} holds a store")
     if BUCKET in rows.columns:
         raise ValueError(f"a column of a store cannot be named {BUCKET}")
-    whole = cut_lineage(last_cells(rows, key))
+    whole = last_cells(rows, key)
     number = _free_number(spark, root, 0)
-    _write_buckets(whole.repartition(buckets, key), f"{root}/version={number:08d}", key, buckets)
-    touched = [r[0] for r in whole.select(bucket_of(key, buckets)).distinct().collect()]
-    _save_manifest(spark, root, Manifest(number, key, buckets, whole.schema, dict.fromkeys(sorted(touched), number)))
+    path = f"{root}/buckets={number:08d}"
+    _write_buckets(whole.repartition(buckets, key), path, key, buckets)
+    filled = numbers_of(spark, path, f"{BUCKET}=")
+    _save_manifest(spark, root, Manifest(number, key, buckets, whole.schema, dict.fromkeys(filled, number)))
     return number
 
 
 def _free_number(spark: SparkSession, root: str, last: int) -> int:
     """The next number no folder has yet, also none of a version that broke off."""
     number = last + 1
-    while path_exists(spark, f"{root}/version={number:08d}"):
+    while path_exists(spark, f"{root}/buckets={number:08d}"):
         number += 1
     return number
 
@@ -107,7 +108,7 @@ def open_store(spark: SparkSession, root: str) -> DataFrame:
         f"CLUSTERED BY (`{manifest.key}`) INTO {manifest.buckets} BUCKETS LOCATION '{root}/empty'"
     )
     parts = " ".join(
-        f"PARTITION ({BUCKET} = {b}) LOCATION '{root}/version={v:08d}/{BUCKET}={b}'" for b, v in manifest.versions.items()
+        f"PARTITION ({BUCKET} = {b}) LOCATION '{root}/buckets={v:08d}/{BUCKET}={b}'" for b, v in manifest.versions.items()
     )
     if parts:
         spark.sql(f"ALTER TABLE {name} ADD {parts}")
@@ -135,8 +136,10 @@ def rewrite_store(
     result = combine(stored, fresh, key)
     number = _free_number(spark, root, manifest.number)
     # The join runs by bucket, so each of its tasks writes the one file of its bucket.
-    _write_buckets(result, f"{root}/version={number:08d}", key, buckets)
-    versions = {**manifest.versions, **dict.fromkeys(touched, number)}
+    path = f"{root}/buckets={number:08d}"
+    _write_buckets(result, path, key, buckets)
+    kept = {b: v for b, v in manifest.versions.items() if b not in set(touched)}
+    versions = kept | dict.fromkeys(numbers_of(spark, path, f"{BUCKET}="), number)
     _save_manifest(spark, root, Manifest(number, key, buckets, result.schema, dict(sorted(versions.items()))))
     return number
 

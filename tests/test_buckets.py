@@ -37,7 +37,7 @@ def test_untouched_buckets_keep_their_files(spark, store):
     after = buckets.files_of(spark, store)
     assert set(before) == set(after) == set(range(16)) and all(len(files) == 1 for files in after.values())
     assert {b for b in before if before[b] != after[b]} == touched and len(touched) < 4
-    assert all(f"version={number:08d}" in after[b][0] for b in touched)
+    assert all(f"buckets={number:08d}" in after[b][0] for b in touched)
 
 
 def test_stored_side_is_not_shuffled(spark, store):
@@ -60,7 +60,7 @@ def test_versions(spark, store, tmp_path):
     none = spark.createDataFrame([], "userId string, tagIds string")
     assert buckets.rewrite_store(store, none, upsert) == 1
     broken = spark.createDataFrame([("1", "x")], "userId string, tagIds string")
-    broken.write.parquet(f"{store}/version=00000002")
+    broken.write.parquet(f"{store}/buckets=00000002")
     buckets.rewrite_store(store, broken, upsert)
     assert buckets.read_manifest(spark, store).number == 3
     assert buckets.open_store(spark, store).where("userId = '1'").first()["tagIds"] == "x"
@@ -77,3 +77,10 @@ def test_store_of_no_rows(spark, tmp_path):
     assert read_source(spark, rule).count() == 0
     write_source(spark.createDataFrame([("a", "1"), ("a", "0")], "userId string, tagIds string"), rule)
     assert [tuple(r) for r in read_profile(spark, rule["path"]).collect()] == [("a", "1")]
+
+
+def test_two_writers_of_one_version(spark, store):
+    manifest = buckets.read_manifest(spark, store)
+    with pytest.raises(FileExistsError):
+        buckets._save_manifest(spark, store, manifest)
+    assert buckets.read_manifest(spark, store) == manifest
