@@ -217,7 +217,7 @@ def damage(conversations: DataFrame) -> DataFrame:
 
 
 def text_key() -> Column:
-    return F.md5("text")
+    return F.unhex(F.md5("text"))
 
 
 def faults(rows: DataFrame) -> DataFrame:
@@ -232,7 +232,8 @@ def faults(rows: DataFrame) -> DataFrame:
     same = ["conv_id", "role", "key"]
     turn = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("at"))
     often = bare.where("fault <> 'b'").groupBy(*same).agg(F.min(turn).alias("first"), F.max(turn).alias("last")).where("first <> last")
-    often = often.select(*(F.col(c).alias(f"{c}_") for c in same), "first")
+    # Written, so that its size is known: few rows are sent to all tasks, many are joined.
+    often = cut_lineage(often.select(*(F.col(c).alias(f"{c}_") for c in same), "first"))
     met = F.col("conv_id").eqNullSafe(F.col("conv_id_")) & (F.col("role") == F.col("role_")) & (F.col("key") == F.col("key_"))
     seen = F.col("first").isNotNull() & (F.col("fault") != "b") & (turn > F.col("first"))
     return bare.join(often, met, "left").select(*bare.columns, F.coalesce(seen, F.lit(False)).alias("seen"))
@@ -256,12 +257,12 @@ SPAN_SCHEMA = pa.schema(
         ("costs", pa.list_(pa.float64())),
         ("turn", pa.list_(pa.int64())),
         ("role", pa.list_(pa.string())),
-        ("key", pa.list_(pa.string())),
+        ("key", pa.list_(pa.binary())),
     ]
 )
 SPAN_DDL = (
     "conv_id long, part int, seq long, rows string, first_turn long, last_turn long, turns long, illegal long, first_role string, "
-    "last_role string, blank long, duplicate long, truncated long, costs array<double>, turn array<long>, role array<string>, key array<string>"
+    "last_role string, blank long, duplicate long, truncated long, costs array<double>, turn array<long>, role array<string>, key array<binary>"
 )
 
 
@@ -436,7 +437,7 @@ def edited_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows that stay or are inserted: (conv_id, part, seq, place, edit, turn, role, key, new_role)."""
     schema = pa.schema(
         [("conv", pa.int64()), ("part", pa.int32()), ("seq", pa.int64()), ("place", pa.int64()), ("edit", pa.string())]
-        + [("at", pa.int64()), ("old_role", pa.string()), ("text_key", pa.string()), ("new_role", pa.string())]
+        + [("at", pa.int64()), ("old_role", pa.string()), ("text_key", pa.binary()), ("new_role", pa.string())]
     )
 
     def records():
@@ -457,23 +458,23 @@ def edited_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _batches(records(), schema, 5_000)
 
 
+def _row_key(*columns: str | Column) -> Column:
+    columns = [F.col(c) if isinstance(c, str) else c for c in columns]
+    return F.struct(*(c.alias(f"k{i}") for i, c in enumerate(columns)))
+
+
 def repaired(rows: DataFrame, edits: DataFrame) -> DataFrame:
     """The repaired conversations: (conv_id, part, seq, place, edit, turn, role, text), ordered by part, seq, place.
 
     An undeleted row is the only one of its conversation, turn, role and text, so the join with the
-    texts, of which each is kept once, pairs single rows.
+    texts, of which each is kept once, pairs single rows. The key is one struct, in which nulls are equal, so that the texts are
+    shuffled once for both.
     """
-    ddl = "conv long, part int, seq long, place long, edit string, at long, old_role string, text_key string, new_role string"
+    ddl = "conv long, part int, seq long, place long, edit string, at long, old_role string, text_key binary, new_role string"
     kept = edits.mapInArrow(edited_rows, ddl)
-    same = ["conv_id", "turn", "role", "key"]
-    texts = rows.withColumn("key", text_key()).groupBy(*same).agg(F.first("text").alias("text"))
-    met = (
-        F.col("conv").eqNullSafe(F.col("conv_id"))
-        & F.col("at").eqNullSafe(F.col("turn"))
-        & (F.col("old_role") == F.col("role"))
-        & (F.col("text_key") == F.col("key"))
-    )
-    found = kept.join(texts, met, "left")
+    kept = kept.withColumn("row", _row_key("conv", "at", "old_role", "text_key"))
+    texts = rows.select(_row_key("conv_id", "turn", "role", text_key()).alias("row"), "text").groupBy("row").agg(F.first("text").alias("text"))
+    found = kept.join(texts, "row", "left")
     out = ("part", "seq", "place", "edit", F.col("at").alias("turn"), F.col("new_role").alias("role"))
     return found.select(F.col("conv").alias("conv_id"), *out, F.coalesce("text", F.lit("")).alias("text"))
 
