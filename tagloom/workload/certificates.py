@@ -95,13 +95,12 @@ def summary_certificate(spark, sf_dir):
     """
     scored = cut_lineage(agg.psm_scores(agg.psm_features(src.coupon_orders(spark, sf_dir))))
     points = cut_lineage(clusters.value_summary(scored, "psm"))
-    counted = points.agg(F.sum("weight").cast("long").alias("kept"), F.count(F.lit(1)).alias("bins"))
+    kept, used = points.agg(F.sum("weight").cast("long"), F.count(F.lit(1))).first()  # one row
     ratio = (1 + clusters.SUMMARY_ERROR) / (1 - clusters.SUMMARY_ERROR)
     span = scored.agg(F.count(F.lit(1)).alias("users"), F.max("psm").alias("high"), F.min("psm").alias("low"))
     bins = F.ceil(F.log(F.col("high") / F.greatest("low", F.lit(clusters.SUMMARY_LEAST))) / F.log(F.lit(ratio))) + 2
-    return counted.crossJoin(span).select(
-        "users", (F.col("users") - F.col("kept")).alias("lost"), F.greatest(F.lit(0), F.col("bins") - bins).cast("long").alias("bins_too_many")
-    )
+    too_many = F.greatest(F.lit(0), F.lit(used) - bins).cast("long")
+    return span.select("users", (F.col("users") - kept).alias("lost"), too_many.alias("bins_too_many"))
 
 
 def usg_certificate(spark, sf_dir):
