@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,9 +113,22 @@ def elbow_fits(points: DataFrame, ks: Iterable[int] = tuple(fixed.ELBOW_KS)) ->
         return pool.map(inheritable_thread_target(points.sparkSession)(fit), list(ks), chunksize=1)
 
 
+def fit_cost(points: DataFrame, model: KMeansModel) -> float:
+    """Weighted sum of squared distances of the points to the centres of their clusters (L4).
+
+    MLlib's `trainingCost` is that of the centres before they moved for the last time, so it is another wherever a fit
+    has not settled within its iterations.
+    """
+    centres = F.array(*(F.array(*map(F.lit, map(float, centre))) for centre in model.clusterCenters()))
+    slots, own = vector_to_array(model.getFeaturesCol()), F.get(centres, F.col(model.getPredictionCol()))
+    squares = F.zip_with(slots, own, lambda x, c: (x - c) * (x - c))
+    distance = F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
+    return model.transform(points).agg(F.sum(F.col("weight") * distance)).first()[0]
+
+
 def elbow(points: DataFrame, ks: Iterable[int] = tuple(fixed.ELBOW_KS)) -> DataFrame:
     """Sum of squared distances to the nearest centre for each k (L4)."""
-    rows = [(k, model.summary.trainingCost) for k, model in elbow_fits(points, ks)]
+    rows = [(k, fit_cost(points, model)) for k, model in elbow_fits(points, ks)]
     return local_frame(points.sparkSession, rows, ["k", "sse"], [pa.int32(), pa.float64()])
 
 

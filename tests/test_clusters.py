@@ -114,6 +114,18 @@ def test_elbow(scored):
     assert rows[0]["sse"] > rows[1]["sse"] > rows[2]["sse"] > 0
 
 
+def test_elbow_states_the_cost_of_its_centres(spark):
+    """Five clusters of squares still move in the last iteration, so MLlib's stated cost is not that of the centres."""
+    line = spark.range(200).select((F.col("id") * F.col("id")).cast("double").alias("x"))
+    points = clusters.score_points(line, ["x"])
+    [(_, model)] = clusters.elbow_fits(points, [5])
+    assert model.summary.numIter == fixed.KMEANS_MAX_ITER
+    centres = np.array(model.clusterCenters())[:, 0]
+    cost = sum(((i * i - centres) ** 2).min() for i in range(200))
+    assert model.summary.trainingCost > cost * 1.0005
+    assert clusters.elbow(points, [5]).first()["sse"] == pytest.approx(cost, rel=1e-9)
+
+
 def test_model_is_fitted_once(spark, scored, tmp_path, pairs):
     path = f"file://{tmp_path}/rfm"
     points = clusters.score_points(scored, RFM)
