@@ -14,6 +14,7 @@ from tagloom.operators import aggregates, clusters
 from tagloom.plans import tag_jobs
 from tagloom.plans.standard import standard_jobs
 from tagloom.sources.versions import path_exists
+from tagloom.workload import certificates
 
 RFM = ["recency", "frequency", "monetary"]
 
@@ -124,6 +125,8 @@ def test_elbow_states_the_cost_of_its_centres(spark):
     cost = sum(((i * i - centres) ** 2).min() for i in range(200))
     assert model.summary.trainingCost > cost * 1.0005
     assert clusters.elbow(points, [5]).first()["sse"] == pytest.approx(cost, rel=1e-9)
+    # The certificate of a fit holds it to that cost too.
+    assert tuple(certificates._fit_violations(points, model).first()) == (200, 200, 0, 0)
 
 
 def test_model_is_fitted_once(spark, scored, tmp_path, pairs):
