@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,18 +46,33 @@ AGREE = 5
 TABLE_BITS = 22
 #: Items a task keeps ready, cut into words; they change nothing but its speed.
 CACHE_ITEMS = 5_000
+#: Words not of ASCII letters that a task remembers, and the longest of them; they change nothing but its speed.
+KNOWN_WORDS, SHORT_WORD = 1 << 17, 64
 THRESHOLD = 0.5
 PASSAGE = 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 _SIGNS = re.compile(r"[\W_]+")
 
 
+def _plain_word(word: str) -> bytes:
+    return _SIGNS.sub("", word.lower()).encode()
+
+
+_known_word = lru_cache(KNOWN_WORDS)(_plain_word)
+
+
+def _strings(words: pa.Array) -> list:
+    """As `to_pylist`, without a scalar object for every word."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def _plain(words: pa.Array) -> list[bytes]:
-    """Words in lower case without signs; those of ASCII letters all at once, the others one by one."""
-    plain = pc.replace_substring_regex(pc.ascii_lower(words), "[^a-z0-9]+", "").cast(pa.binary()).to_pylist()
+    """Words in lower case without signs; those of ASCII letters all at once, the others one by one, short ones by
+    what is known of the words met before."""
+    plain = _strings(pc.replace_substring_regex(pc.ascii_lower(words), "[^a-z0-9]+", "").cast(pa.binary()))
     others = np.flatnonzero(~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))
-    for i, word in zip(others.tolist(), words.take(pa.array(others)).to_pylist()):
-        plain[i] = _SIGNS.sub("", word.lower()).encode()
+    for i, word in zip(others.tolist(), _strings(words.take(pa.array(others)))):
+        plain[i] = _known_word(word) if len(word) <= SHORT_WORD else _plain_word(word)
     return plain
 
 
@@ -178,6 +194,20 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def best_score(item: np.ndarray, text: np.ndarray) -> int:
+    """The score of `align` alone. Scores are held with the cost of the words left of them added, so that a way along the
+    row is a running maximum of the row itself."""
+    floor = -GAP * np.arange(len(text) + 1)
+    above, most = floor.copy(), floor.copy()
+    for word in item:
+        row = np.maximum(above + GAP, floor)
+        np.maximum(row[1:], above[:-1] + ((text == word) * (MATCH - MISMATCH) + (MISMATCH - GAP)), out=row[1:])
+        np.maximum.accumulate(row, out=row)
+        np.maximum(most, row, out=most)
+        above = row
+    return int((most - floor).max())
+
+
 class Places:
     """Where the words and pairs of a text begin, looked up by key; each size is sorted when first asked for."""
 
@@ -243,12 +273,16 @@ def _aligned(threshold: float):
                 for item in items:
                     known = met[item["item"]]
                     wanted, best = known.words, (0, 0, 0)
+                    whole = MATCH * max(1, len(wanted))
+                    least = least_score(len(wanted), threshold)
                     for a, b in _near_pairs(known, places, threshold):
-                        score, first, end = align(wanted, text[a:b])
-                        if score > best[0]:
+                        # Most stretches fall short; where an alignment lies is asked of the others alone.
+                        score = best_score(wanted, text[a:b])
+                        if score > best[0] and (score / whole >= threshold or score >= least):
+                            score, first, end = align(wanted, text[a:b])
                             best = (score, a + first, a + end)
-                    share = best[0] / (MATCH * max(1, len(wanted)))
-                    if best[0] and (share >= threshold or best[0] >= least_score(len(wanted), threshold)):
+                    share = best[0] / whole
+                    if best[0]:
                         first, last = (int(place[bounds[i] + p] - starts[i]) for p in (best[1], best[2] - 1))
                         out.append((i, item["item"], share, first, last + 1))
             cells = list(zip(*out)) or [()] * 5

@@ -369,6 +369,18 @@ def test_usual_sample_bound():
 # Decontamination (8)
 
 
+def test_scores_alone_and_words_met_before():
+    """A score without its place is that of the alignment; remembered words are normalised as others are."""
+    rng = random.Random(21)
+    for _ in range(300):
+        item, text = (np.array([rng.randrange(5) for _ in range(rng.randrange(n))], np.uint64) for n in (20, 40))
+        assert decontaminate.best_score(item, text) == decontaminate.align(item, text)[0]
+    words = ["".join(rng.choice("aZ0_-İΣß中²½́'") for _ in range(rng.randrange(100))) for _ in range(2_000)]
+    want = [re.sub(r"[\W_]+", "", w.lower()).encode() for w in words]
+    assert decontaminate._plain(pa.array(words)) == want == decontaminate._plain(pa.array(words))
+    assert decontaminate._known_word.cache_info().hits > 0
+
+
 def brute_align(item, text):
     best, table = 0, [[0] * (len(text) + 1) for _ in range(len(item) + 1)]
     for i, a in enumerate(item):
