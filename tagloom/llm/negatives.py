@@ -1,16 +1,16 @@
 """Hard negatives for embeddings, found by a vertical scan of columnar blocks (operator 13).
 
 Rows lie in blocks of up to `ROWS` vectors, one array for each dimension, with the least and the
-largest value of each. Anchors lie in blocks of about `ANCHORS`. Every pair of an anchor block and a row
+largest value of each. Anchors lie in groups of about `ANCHORS`. Every pair of an anchor group and a row
 block is one row of a join, so the work spreads over all tasks; the anchors are a stated
-query set, every hundredth row. Within a pair of blocks each anchor reads the dimensions in the order of its own
+query set, every hundredth row. Within a pair each anchor reads the dimensions in the order of its own
 magnitudes, the largest first, and adds up partial products. What the dimensions still to come can add at least and at
 most follows from their extremes in the block; candidates that can neither enter a window nor its first `TOP`
 rows leave the bitmap, and those left at the end have exact scores.
 
 Two scans: one over rows of the anchor's label, from which the best `TOP` of all blocks become its positives, and one over
-rows of other labels, with a window of scores for each positive. A block returns at most `TOP` rows for
-a window, so a label with a third of all rows is only more blocks, and merging is a rank by window.
+rows of other labels, with a window of scores for each positive. A task keeps the first `TOP` rows of a window over its
+blocks, and a row below them leaves the bitmap early. A label with a third of all rows is only more blocks, and merging is a rank by window.
 
 Rows with a null id, label, vector or component, or a component that is not finite, take no part. A vector is
 as long as it is; components beyond the end of the shorter one of two count as zero. Components are cut off at
@@ -29,10 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.operators.bounded import BROADCAST_MAX_BYTES
 from tagloom.session import cut_lineage
 
 ROWS = 4_096
-ANCHORS = 256
+ANCHORS = 2_048
+#: Groups of anchors whose first rows a task holds at once.
+GROUPS = 8
+#: Row blocks of a task: at most so many, and fewer where they would not give every core so many tasks.
+BLOCKS, TASKS = 64, 4
 #: Dimensions read between two looks at the bitmap.
 STRIDE = 8
 LARGEST = 2**24
@@ -193,22 +198,28 @@ def row_blocks(vectors: DataFrame) -> DataFrame:
     return cut_lineage(blocks.withColumn("block", F.monotonically_increasing_id()))
 
 
-def grid(anchors: DataFrame, blocks: DataFrame, n_anchors: int, n_rows: int) -> DataFrame:
-    """Every pair of an anchor group and a row block, joined on the numbers of their groups.
+def grid(anchors: DataFrame, blocks: DataFrame, n_anchors: int, n_values: int, n_rows: int) -> DataFrame:
+    """Every pair of an anchor group and a row block, for `n_anchors` anchors with `n_values` components in all.
 
-    Each side is copied as often as the other one has groups: with n rows, n / 25,600 times for the rows and
-    n / 4,096 times for the hundredth of them that are anchors.
+    Anchors within the bounds are broadcast, each group once, and a block crosses the network once. Beyond them both
+    sides are shuffled by the numbers of their groups, each copied as often as the other one has groups: with n rows,
+    n / 204,800 times for the rows and n / 4,096 times for the hundredth of them that are anchors. The copies are never
+    broadcast, however small adaptive execution takes them to be.
     """
-    across, down = -(-n_anchors // ANCHORS), -(-n_rows // ROWS)
+    across, down = max(1, -(-n_anchors // ANCHORS)), max(1, -(-n_rows // ROWS))
 
     def every(groups: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(max(groups, 1) - 1)))
+        return F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
 
-    group = F.pmod(F.xxhash64("vec_id", "key"), F.lit(max(across, 1))).cast("int")
+    group = F.pmod(F.xxhash64("vec_id", "key"), F.lit(across)).cast("int")
     listed = anchors.groupBy(group.alias("anchor_group")).agg(F.collect_list(F.struct(*anchors.columns)).alias("anchors"))
-    row_group = F.pmod(F.xxhash64("block"), F.lit(max(down, 1))).cast("int")
+    if across <= GROUPS and 8 * n_values <= BROADCAST_MAX_BYTES:
+        cores = blocks.sparkSession.sparkContext.defaultParallelism
+        dealt = blocks.repartition(max(min(down, TASKS * cores), -(-down // BLOCKS)))
+        return dealt.withColumn("anchor_group", every(across)).join(F.broadcast(listed), "anchor_group")
+    row_group = F.pmod(F.xxhash64("block"), F.lit(down)).cast("int")
     rows = blocks.withColumn("row_group", row_group).withColumn("anchor_group", every(across))
-    return rows.join(listed.withColumn("row_group", every(down)), ["anchor_group", "row_group"])
+    return rows.hint("merge").join(listed.withColumn("row_group", every(down)).hint("merge"), ["anchor_group", "row_group"])
 
 
 FOUND = "anchor_id long, key long, place int, positive_id long, positive_score long, vec_id long, score long"
@@ -221,56 +232,101 @@ def _found(records: Iterable[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def _cells(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Block, dict]]:
+class Sought:
+    """An anchor, its windows of scores, and the first `TOP` (score, id) of each so far."""
+
+    def __init__(self, anchor: dict, windows: list[tuple]):
+        """`windows` are (least, largest) score, both included, and what the rows of the window belong to."""
+        self.vec_id, self.key, self.label = anchor["vec_id"], anchor["key"], anchor["label"]
+        self.vector = np.array(anchor["vector"], np.int64)
+        self.windows = [w for w in windows if w[0] <= w[1]]
+        self.best: list[list[tuple[int, int]]] = [[] for _ in self.windows]
+
+    def add(self, block: Block, start: int, end: int, eligible: np.ndarray | None) -> None:
+        """Takes in rows start to end of a block; rows below those already held leave the scan early."""
+        held = zip(self.windows, self.best)
+        windows = [(max(low, best[-1][0]) if len(best) == TOP else low, high) for (low, high, _), best in held]
+        for best, found in zip(self.best, scan(block, start, end, eligible, self.vector, windows)):
+            if found:
+                best[:] = sorted(best + found, key=lambda row: (-row[0], row[1]))[:TOP]
+
+    def found(self) -> Iterator[tuple]:
+        for (_, _, belongs), best in zip(self.windows, self.best):
+            for score, vec_id in best:
+                yield self.vec_id, self.key, *belongs, vec_id, score
+
+
+def _scanned(batches: Iterable[pa.RecordBatch], sought, take) -> Iterator[pa.RecordBatch]:
+    """The rows found for the anchors of each group over all blocks of a task; `sought` opens an anchor, `take` adds a block."""
+    groups: dict[int, list[Sought]] = {}
+
+    def flush():
+        while groups:
+            yield _found(row for anchor in groups.pop(next(iter(groups))) for row in anchor.found())
+
     for batch in batches:
         for i in range(len(batch)):
-            cell = batch.slice(i, 1).to_pylist()[0]
-            block = Block.of_record(cell)
-            for anchor in cell["anchors"]:
-                yield block, anchor | {"vector": np.array(anchor["vector"], np.int64)}
+            cell = batch.slice(i, 1)
+            group = cell.column("anchor_group")[0].as_py()
+            if group not in groups:
+                if len(groups) >= GROUPS:
+                    yield from flush()
+                groups[group] = [sought(anchor) for anchor in cell.column("anchors")[0].as_py()]
+            block = Block.of_record(cell.select(["ids", "labels", "columns", "dims", "low", "high"]).to_pylist()[0])
+            for anchor in groups[group]:
+                take(anchor, block)
+    yield from flush()
 
 
 def scan_positives(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The best rows of each anchor's label in each block, whose rows are sorted by label."""
-    everything = [(-(2**61), 2**61)]
-    for block, anchor in _cells(batches):
-        start, end = np.searchsorted(block.labels, [anchor["label"], anchor["label"] + 1])
-        others = block.ids[start:end] != anchor["vec_id"]
+    """The best rows of each anchor's label in the blocks of a task, whose rows are sorted by label."""
+
+    def sought(anchor: dict) -> Sought:
+        return Sought(anchor, [(-(2**61), 2**61, (None, None, None))])
+
+    def take(anchor: Sought, block: Block) -> None:
+        start, end = np.searchsorted(block.labels, [anchor.label, anchor.label + 1])
+        others = block.ids[start:end] != anchor.vec_id
         if others.any():
-            best = scan(block, start, end, None if others.all() else others, anchor["vector"], everything)[0]
-            yield _found((anchor["vec_id"], anchor["key"], None, None, None, vec_id, score) for score, vec_id in best)
+            anchor.add(block, start, end, None if others.all() else others)
+
+    return _scanned(batches, sought, take)
 
 
 def scan_negatives(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first rows of other labels in the window of each of an anchor's positives, in each block."""
-    for block, anchor in _cells(batches):
-        others = (block.labels != anchor["label"]) & (block.ids != anchor["vec_id"])
-        open_windows = [(-(-WINDOW[0] * p["score"] // 100), WINDOW[1] * p["score"] // 100, p) for p in anchor["positives"]]
-        open_windows = [w for w in open_windows if w[0] <= w[1]]
-        if others.any() and open_windows:
-            best = scan(block, 0, len(block.ids), others, anchor["vector"], [w[:2] for w in open_windows])
-            yield _found(
-                (anchor["vec_id"], anchor["key"], p["place"], p["positive_id"], p["score"], vec_id, score)
-                for (_, _, p), rows_in in zip(open_windows, best)
-                for score, vec_id in rows_in
-            )
+    """The first rows of other labels in the window of each of an anchor's positives, in the blocks of a task."""
+
+    def sought(anchor: dict) -> Sought:
+        windows = [
+            (-(-WINDOW[0] * p["score"] // 100), WINDOW[1] * p["score"] // 100, (p["place"], p["positive_id"], p["score"]))
+            for p in anchor["positives"]
+        ]
+        return Sought(anchor, windows)
+
+    def take(anchor: Sought, block: Block) -> None:
+        others = (block.labels != anchor.label) & (block.ids != anchor.vec_id)
+        if others.any() and anchor.windows:
+            anchor.add(block, 0, len(block.ids), others)
+
+    return _scanned(batches, sought, take)
 
 
 def hard_negatives(embeddings: DataFrame) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for every anchor."""
     vectors = cut_lineage(prepared(embeddings))
     anchors = vectors.where(F.col("vec_id") % ANCHOR == 0).distinct().withColumn("key", F.xxhash64("vec_id", "label", "vector"))
-    n_rows, n_anchors = vectors.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % ANCHOR == 0)).first()
+    values = F.sum(F.when(F.col("vec_id") % ANCHOR == 0, F.size("vector")))
+    n_anchors, n_values, n_rows = vectors.agg(F.count_if(F.col("vec_id") % ANCHOR == 0), F.coalesce(values, F.lit(0)), F.count(F.lit(1))).first()
     blocks = row_blocks(vectors)
     order = (F.desc("score"), F.asc("vec_id"))
 
-    near = grid(anchors, blocks, n_anchors, n_rows).mapInArrow(scan_positives, FOUND)
+    near = grid(anchors, blocks, n_anchors, n_values, n_rows).mapInArrow(scan_positives, FOUND)
     placed = near.withColumn("place", F.row_number().over(Window.partitionBy("anchor_id", "key").orderBy(*order)))
     positives = placed.where(F.col("place") <= TOP).groupBy("key", F.col("anchor_id").alias("vec_id"))
     positives = positives.agg(F.collect_list(F.struct("place", F.col("vec_id").alias("positive_id"), "score")).alias("positives"))
     with_positives = anchors.join(positives, ["vec_id", "key"])
 
-    far = grid(with_positives, blocks, n_anchors, n_rows).mapInArrow(scan_negatives, FOUND)
+    far = grid(with_positives, blocks, n_anchors, n_values, n_rows).mapInArrow(scan_negatives, FOUND)
     ranked = far.withColumn("rank", F.row_number().over(Window.partitionBy("anchor_id", "key", "place").orderBy(*order)))
     return ranked.where(F.col("rank") <= TOP).select(
         "anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")

@@ -275,6 +275,44 @@ def test_negatives_like_brute_force(spark, monkeypatch, rows_in_block):
     assert negatives.hard_negatives(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def copied_before_broadcast(found):
+    """Broadcasts of the plan that ran whose rows are copied after they were last shuffled."""
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    starts = [i for i, line in enumerate(plan) if "BroadcastExchange" in line]
+    last = [next((j for j in range(i + 1, len(plan)) if "Exchange" in plan[j] or "Scan" in plan[j]), len(plan)) for i in starts]
+    return [plan[i] for i, j in zip(starts, last) if any("Generate explode" in line for line in plan[i:j])]
+
+
+@pytest.mark.parametrize("groups", [8, 0])
+def test_negatives_over_many_blocks(spark, monkeypatch, groups):
+    """Anchors are not broadcast once for each block, a block is shuffled once, and all blocks of a task count."""
+    rows = [(i, *row[1:]) for i, row in enumerate(r for r in vector_rows() * 3 if r[0] is not None)]
+    rows = [(i // 2 if i % 11 == 0 else i, *rest) for i, *rest in rows]
+    monkeypatch.setattr(negatives, "ROWS", 1_100)
+    monkeypatch.setattr(negatives, "ANCHORS", 4)
+    monkeypatch.setattr(negatives, "GROUPS", groups)
+    monkeypatch.setattr(negatives, "TASKS", 0)
+    found = negatives.hard_negatives(spark.createDataFrame(rows, VECTORS).repartition(9))
+    assert sorted(map(tuple, found.collect())) == negatives_by_hand(rows)
+    assert copied_before_broadcast(found) == []
+
+
+def test_rows_held_for_an_anchor():
+    """Blocks one after another give the first rows of all, equal ones by the smaller id."""
+    rng = random.Random(3)
+    np = negatives.np
+    vectors = [[rng.randrange(-4, 5) for _ in range(16)] for _ in range(3_000)]
+    anchor = {"vec_id": -1, "key": 7, "label": 0, "vector": [rng.randrange(-3, 4) for _ in range(16)]}
+    sought = negatives.Sought(anchor, [(10, 30, ("a",)), (-(2**61), 2**61, ("b",)), (5, 4, ("empty",))])
+    for start in range(2_500, -1, -500):
+        part = range(start, start + 500)
+        sought.add(negatives.Block.of_rows(list(part), [1] * 500, [vectors[i] for i in part]), 0, 500, np.array([i % 5 > 0 for i in part]))
+    scores = [(-sum(a * b for a, b in zip(anchor["vector"], v)), i) for i, v in enumerate(vectors) if i % 5]
+    first = sorted(scores)[:5]
+    inside = sorted(s for s in scores if 10 <= -s[0] <= 30)[:5]
+    assert list(sought.found()) == [(-1, 7, "a", i, -s) for s, i in inside] + [(-1, 7, "b", i, -s) for s, i in first]
+
+
 def test_scan_strikes_rows_out():
     """Rows leave the bitmap before all dimensions are read, and the first rows of each window stay."""
     rng = random.Random(1)
